@@ -1,0 +1 @@
+"""No streaming operator exists: every supported workload is a batch read of a bounded table."""
