@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.config import DEFAULTS
 from panelkit.functions.dates import in_ranges, label_ranges, range_start, relative_month
 from panelkit.operators.profile import QUARTILES, group_stats, value_share
-from panelkit.operators.scan import attach_by_value, exact_quantiles
+from panelkit.operators.scan import attach_by_value, quantiles_of_ranks, value_ranks
 
 
 def first_year(df: DataFrame, ranges: Sequence = DEFAULTS.first_year_ranges, date: str = "fecha") -> DataFrame:
@@ -30,11 +30,10 @@ def bar_by_era(df: DataFrame, measure: str = "monto") -> DataFrame:
 def box_stats(df: DataFrame, by: str = "sexenio", measure: str = "monto", reach: float = 1.5) -> DataFrame:
     """Quartiles, whiskers at the last value within ``reach`` interquartile ranges, and the number of outliers."""
     rows = df.where(F.col(by).isNotNull() & F.col(measure).isNotNull())
+    counts = value_ranks(rows, measure, [by])
     named = dict(zip(QUARTILES, ("q1", "median", "q3")))
-    quart = exact_quantiles(rows, [measure], QUARTILES, [by]).groupBy(by).agg(
+    quart = quantiles_of_ranks(counts, measure, QUARTILES, [by]).groupBy(by).agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in named.items()])
-    # Per distinct value rather than per row: a dominant group is reduced before it is joined.
-    counts = rows.groupBy(by, measure).agg(F.count(F.lit(1)).alias("n"))
     sized = quart.join(counts.groupBy(by).agg(F.count(F.lit(1)).alias("__values")), by)
     fenced = attach_by_value(counts, sized, [by], "__values")
     span = (F.col("q3") - F.col("q1")) * reach

@@ -6,7 +6,7 @@ A fit is one aggregation to cross products on the executors and one small solve
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import product
 
 import numpy as np
@@ -110,6 +110,7 @@ class LinearModel:
     coef: np.ndarray
     inverse: np.ndarray
     n: int
+    rank: int
     rss: float
     tss: float
     xtx: np.ndarray = field(repr=False, default=None)
@@ -117,8 +118,7 @@ class LinearModel:
 
     @property
     def df_resid(self) -> int:
-        scale = np.sqrt(np.where(np.diag(self.xtx) > 0, np.diag(self.xtx), 1.0))
-        return self.n - int(np.linalg.matrix_rank(self.xtx / np.outer(scale, scale), hermitian=True))
+        return self.n - self.rank
 
     @property
     def r2(self) -> float | None:
@@ -137,34 +137,37 @@ class LinearModel:
 def ols(df: DataFrame, target: str, design: Design, cov: str | None = "HC3") -> LinearModel:
     """Least squares; ``cov='HC3'`` adds the heteroskedasticity-robust covariance in a second pass."""
     xs = [c for _, c in design.terms()]
-    y = F.col(target).cast("double")
-    shift = df.agg(F.avg(y)).first()[0] or 0.0
-    g = gram(df, xs, y - F.lit(shift) if design.intercept else y)
+    y, p = F.col(target).cast("double"), len(xs)
+    move, shift = np.eye(p), 0.0
+    if design.intercept:
+        # Columns are centred before they are multiplied: a lag that hardly varies would drown in the intercept.
+        means = df.agg(*[F.avg(c) for c in xs[1:]], F.avg(y)).first()
+        shift, centre = means[-1] or 0.0, [m or 0.0 for m in means[:-1]]
+        move[0, 1:] = [-m for m in centre]
+        g = gram(df, [xs[0], *[c - F.lit(float(m)) for c, m in zip(xs[1:], centre)]], y - F.lit(float(shift)))
+    else:
+        g = gram(df, xs, y)
     scale = np.sqrt(np.where(np.diag(g.xtx) > 0, np.diag(g.xtx), 1.0))
-    inverse = np.linalg.pinv(g.xtx / np.outer(scale, scale), hermitian=True) / np.outer(scale, scale)
-    coef = inverse @ g.xty
+    unit = g.xtx / np.outer(scale, scale)
+    solved = np.linalg.pinv(unit, hermitian=True) / np.outer(scale, scale)
+    coef = solved @ g.xty
     rss = max(g.yty - float(coef @ g.xty), 0.0)
+    coef, inverse, back = move @ coef, move @ solved @ move.T, np.linalg.inv(move)
     if design.intercept:
-        coef = coef.copy()
         coef[0] += shift
-        tss = g.yty  # y is centred, up to rounding
-    else:
-        tss = g.yty
-    model = LinearModel(design, target, coef, inverse, g.n, rss, tss, g.xtx)
+    rank, raw = int(np.linalg.matrix_rank(unit, hermitian=True)), back.T @ g.xtx @ back
+    model = LinearModel(design, target, coef, inverse, g.n, rank, rss, g.yty, raw)
+    # The residual sum comes from the residuals: as a difference of totals it would lose most digits of a good fit.
+    scored = df.select(*[c.alias(f"x{i}") for i, c in enumerate(xs)], (y - model.predict()).alias("e"))
     if cov != "HC3":
+        rss = scored.agg(F.sum(F.col("e") * F.col("e"))).first()[0] or 0.0
         spread = rss / model.df_resid if model.df_resid else float("nan")
-        return _with_cov(model, inverse * spread)
-    scored = df.select(*[c.alias(f"x{i}") for i, c in enumerate(xs)], (y - model.predict()).alias("e"))
-    p = len(xs)
+        return replace(model, rss=rss, cov=inverse * spread)
     lever = sum((F.col(f"x{i}") * F.col(f"x{j}") * F.lit(float(inverse[i, j]) * (1 if i == j else 2))
                  for i in range(p) for j in range(i, p)), F.lit(0.0))
     scaled = scored.withColumn("w", ratio("e", 1 - lever))
-    meat = gram(scaled, [F.col(f"x{i}") * F.col("w") for i in range(p)], F.lit(0.0)).xtx
-    return _with_cov(model, inverse @ meat @ inverse)
-
-
-def _with_cov(m: LinearModel, cov: np.ndarray) -> LinearModel:
-    return LinearModel(m.design, m.target, m.coef, m.inverse, m.n, m.rss, m.tss, m.xtx, cov)
+    meat = gram(scaled, [F.col(f"x{i}") * F.col("w") for i in range(p)], F.col("e"))
+    return replace(model, rss=meat.yty, cov=inverse @ meat.xtx @ inverse)
 
 
 def coef_table(spark, model: LinearModel, factor: float = DEFAULTS.interval_factor, p_value: bool = True) -> DataFrame:
@@ -259,20 +262,23 @@ def fit_by(df: DataFrame, target: str, xs: Sequence[str], by: Sequence[str]) ->
 
     All groups are fitted by one aggregation; the small solves run on the executors, one row per group.
     """
-    cols = [F.lit(1.0), *[F.col(x).cast("double") for x in xs]]
-    p, y = len(cols), F.col(target).cast("double")
-    sums = [F.sum(cols[i] * cols[j]) for i in range(p) for j in range(i, p)] + [F.sum(c * y) for c in cols]
-    packed = df.dropna(subset=[target, *xs]).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.array(*sums).alias("__s"))
+    p, y = len(xs), F.col(target).cast("double")
+    cols = [F.col(x).cast("double") for x in xs]
+    stats = [F.covar_pop(cols[i], cols[j]) for i in range(p) for j in range(i, p)] + [F.covar_pop(c, y) for c in cols]
+    stats += [F.avg(c) for c in cols] + [F.avg(y)]
+    packed = df.dropna(subset=[target, *xs]).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.array(*stats).alias("__s"))
 
     @F.pandas_udf("array<double>")
     def solve(rows: pd.Series) -> pd.Series:
         i, j = np.triu_indices(p)
-        out = []
+        size, out = len(i), []
         for r in rows:
-            xtx = np.zeros((p, p))
-            xtx[i, j] = xtx[j, i] = r[:-p]
-            scale = np.sqrt(np.where(np.diag(xtx) > 0, np.diag(xtx), 1.0))
-            out.append((np.linalg.pinv(xtx / np.outer(scale, scale), hermitian=True) @ (r[-p:] / scale) / scale).tolist())
+            r = np.asarray(r, dtype=float)
+            cov = np.zeros((p, p))
+            cov[i, j] = cov[j, i] = r[:size]
+            scale = np.sqrt(np.where(np.diag(cov) > 0, np.diag(cov), 1.0))
+            slopes = np.linalg.pinv(cov / np.outer(scale, scale), hermitian=True) @ (r[size:size + p] / scale) / scale
+            out.append([float(r[-1] - slopes @ r[size + p:-1]), *slopes.tolist()])
         return pd.Series(out)
 
     return packed.select(*by, "n", solve("__s").alias("coef"))

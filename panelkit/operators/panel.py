@@ -37,9 +37,14 @@ def clean_facts(df: DataFrame, low=DEFAULTS.clean_from, high=DEFAULTS.clean_to)
 
 def prepare_facts(df: DataFrame, required: Sequence[str] = (), year: str = "ciclo", month: str = "mes",
                   measure: str = "monto", cutoff=DEFAULTS.era_cutoff, before=DEFAULTS.era_before,
-                  after=DEFAULTS.era_after) -> DataFrame:
-    """Lenient preparation: month date and numeric measure, rows lacking one dropped, era label added."""
+                  after=DEFAULTS.era_after, years: tuple[int, int] | None = None) -> DataFrame:
+    """Lenient preparation: month date and numeric measure, rows lacking one dropped, era label added.
+
+    ``years`` bounds the year column before anything is derived, so that the scan can skip files and partitions.
+    """
     require_columns(df, [year, month, measure, *required])
+    if years:
+        df = df.where(F.col(year).between(*years))
     number_of = F.col("mes_num") if "mes_num" in df.columns else month_number(month)
     dated = df.withColumn("mes_num", number_of).withColumn("fecha", month_date(year, "mes_num", strict=False))
     return coerce_numeric(dated.where(F.col("fecha").isNotNull()), measure).withColumn(

@@ -139,20 +139,26 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])).alias("cell"))
     long = long.select(*by, "cell.column", "cell.value")
     ranked = value_ranks(long, "value", [*by, "column"])
-    sizes = ranked.groupBy(*by, "column").agg(F.sum("n").alias("__size"), F.count(F.lit(1)).alias("__values"))
-    by = [*by, "column"]
-    if by == ["column"]:
-        sized = ranked.join(F.broadcast(sizes), by)  # one row per column
+    return quantiles_of_ranks(ranked, "value", probs, [*by, "column"], few_groups=not by)
+
+
+def quantiles_of_ranks(ranked: DataFrame, value: str, probs: Sequence[float], by: Sequence[str],
+                       few_groups: bool = False) -> DataFrame:
+    """Exact quantiles from a table of ``value_ranks``. ``few_groups`` promises a fixed number of groups."""
+    by = list(by)
+    sizes = ranked.groupBy(*by).agg(F.sum("n").alias("__size"), F.count(F.lit(1)).alias("__values"))
+    if few_groups:
+        sized = ranked.join(F.broadcast(sizes), by)
     else:
         sized = attach_by_value(ranked, sizes, by, "__values")
     probe = sized.select(
-        *by, "value", "before", "n", F.explode(F.array(*[
+        *by, value, "before", "n", F.explode(F.array(*[
             F.struct(F.lit(float(p)).alias("prob"), ((F.col("__size") - 1) * float(p)).alias("position"))
             for p in probs])).alias("q"))
     low, high = F.floor("q.position"), F.ceil("q.position")
     covers = lambda at: (F.col("before") <= at) & (at < F.col("before") + F.col("n"))
     found = probe.where(covers(low) | covers(high)).groupBy(*by, F.col("q.prob").alias("prob")).agg(
-        F.max(F.when(covers(low), F.col("value"))).alias("lo"),
-        F.max(F.when(covers(high), F.col("value"))).alias("hi"),
+        F.max(F.when(covers(low), F.col(value))).alias("lo"),
+        F.max(F.when(covers(high), F.col(value))).alias("hi"),
         F.first(F.col("q.position") - low).alias("part"))
     return found.select(*by, "prob", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("value"))
