@@ -124,11 +124,10 @@ def remove_stopwords(normalized, stopwords: Iterable[str]) -> Column:
     return F.array_join(F.filter(F.split(col(normalized), " "), lambda t: ~t.isin(words)), " ")
 
 
-def ngrams(words, n: int) -> Column:
-    """Space-joined runs of ``n`` neighbouring array elements."""
-    words = col(words)
+def ngrams(words: str, n: int) -> Column:
+    """Space-joined runs of ``n`` neighbouring elements of an array column, given by name."""
     if n == 1:
-        return words
+        return F.col(words)
     count = F.size(words) - (n - 1)
     at = F.sequence(F.lit(1), F.greatest(count, F.lit(1)))
     return F.when(count > 0, F.transform(at, lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(

@@ -37,8 +37,8 @@ def assign(df: DataFrame, model: KMeansModel) -> DataFrame:
 def assign_to_centres(df: DataFrame, centres: DataFrame, x: str = "x", label: str = "cluster") -> DataFrame:
     """Nearest given centre of every row: ``centres`` has one row per cluster, ties go to the smaller label."""
     packed = centres.agg(F.array_sort(F.collect_list(F.struct(F.col(label).alias("l"), F.col(x).alias("c"))))).scalar()
-    near = F.transform(packed, lambda s: F.struct(_squared(F.col(x), s["c"]).alias("d"), s["l"].alias("l")))
-    return df.withColumn(label, F.array_min(near)["l"])
+    near = F.transform("__centres", lambda s: F.struct(_squared(F.col(x), s["c"]).alias("d"), s["l"].alias("l")))
+    return df.withColumn("__centres", packed).withColumn(label, F.array_min(near)["l"]).drop("__centres")
 
 
 def _squared(a: Column, b: Column) -> Column:

@@ -35,9 +35,11 @@ def corpus(df: DataFrame, columns: Sequence[str] | None = None, keep: Sequence[s
     return df.select(*keep, normalize_text(join_text(columns, null_text)).alias("texto"), "weight")
 
 
-def _marked(words: Column) -> Column:
-    """Sorted terms of one document, each with a flag on its first occurrence."""
-    ordered = F.array_sort(words)
+def _with_first_flag(ordered: str) -> Column:
+    """Terms of a sorted array column, each with a flag on its first occurrence.
+
+    Takes a column name: a lambda that refers to an expression would compute it anew for every element.
+    """
     return F.transform(ordered, lambda t, i: F.struct(
         t.alias("term"), ((i == 0) | (F.get(ordered, i - 1) != t)).cast("long").alias("first")))
 
@@ -55,8 +57,11 @@ def term_freq(df: DataFrame, text: str = "texto", n: int = 1, min_df: int = DEFA
     by = list(by)
     rows = df.dropna(subset=by) if by else df
     w = F.col(weight) if weight and weight in df.columns else F.lit(1).cast("long")
-    words = rows.select(*by, w.alias("__w"), ngrams(kept_tokens(text, stopwords, min_len), n).alias("__words"))
-    cells = words.select(*by, "__w", F.explode(_marked(F.col("__words"))).alias("__c"))
+    words = rows.select(*by, w.alias("__w"), kept_tokens(text, stopwords, min_len).alias("__kept"))
+    if n > 1:
+        words = words.select(*by, "__w", ngrams("__kept", n).alias("__kept"))
+    ordered = words.select(*by, "__w", F.sort_array("__kept").alias("__ordered"))
+    cells = ordered.select(*by, "__w", F.explode(_with_first_flag("__ordered")).alias("__c"))
     freq = cells.groupBy(*by, F.col("__c.term").alias("term")).agg(
         F.sum("__w").alias("freq"), F.sum(F.col("__w") * F.col("__c.first")).alias("doc_freq"))
     kept = freq.where(F.col("doc_freq" if floor == "documents" else "freq") >= min_df)

@@ -68,7 +68,7 @@ def slug(spark, d):
 
 
 @query("tokens", f"""WITH t AS (SELECT lang, regexp_extract_all({_norm_sql('text')}, '[\\p{{L}}\\p{{N}}_]{{2,}}') AS k FROM documents)
-  SELECT lang, unnest(k) AS token, count(*) AS n FROM t GROUP BY ALL""")
+  SELECT lang, token, count(*) AS n FROM (SELECT lang, unnest(k) AS token FROM t) GROUP BY ALL""")
 def tokens(spark, d):
     words = table(spark, d, "documents").select("lang", F.explode(X.tokens(X.normalize_text("text"))).alias("token"))
     return words.groupBy("lang", "token").agg(F.count(F.lit(1)).alias("n"))
