@@ -75,24 +75,37 @@ def _expand_long(c: Column) -> Column:
     return F.array_join(F.transform(F.split(c, ""), one), "")
 
 
+def _class(spans: Iterable[tuple[int, int]], negated: bool = False) -> str:
+    return "[" + "^" * negated + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans) + "]"
+
+
 @lru_cache(maxsize=1)
-def _long_class() -> str:
-    points = sorted(ord(k) for k, _ in _accent_tables()[3])
-    spans, start, last = [], points[0], points[0]
-    for p in points[1:] + [None]:
-        if p != (last + 1):
-            spans.append((start, last))
-            start = p
-        last = p
-    spans.append((_HANGUL_FIRST, _HANGUL_LAST))
-    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans) + "]"
+def _long_classes() -> tuple[str, str]:
+    """(quick test, exact test) for characters with a longer plain form.
+
+    The exact class has hundreds of ranges and is slow. The quick one only asks for a character outside the widest
+    stretches that hold none, which ordinary text in most scripts does not have.
+    """
+    points = sorted({ord(k) for k, _ in _accent_tables()[3]} | {_HANGUL_FIRST})
+    spans: list[list[int]] = []
+    for p in points:
+        if spans and p == spans[-1][1] + 1:
+            spans[-1][1] = p
+        else:
+            spans.append([p, p])
+    spans = [[a, _HANGUL_LAST if a == _HANGUL_FIRST else b] for a, b in spans]
+    edges = [-1, *[e for span in spans for e in span], sys.maxunicode + 1]
+    gaps = [(a + 1, b - 1) for a, b in zip(edges[::2], edges[1::2]) if b - a > 1]
+    wide = [g for g in gaps if g[1] < 0x250 or g[1] - g[0] > 300 or 0x2000 <= g[0] <= 0x2030]
+    return _class(wide, negated=True), _class(spans)
 
 
 def strip_accents(c) -> Column:
     """Compatibility decomposition without combining marks: ``ñ`` to ``n``, ``ﬁ`` to ``fi``."""
     c = col(c)
     source, target, dropped, _ = _accent_tables()
-    expanded = F.when(c.rlike(_long_class()), _expand_long(c)).otherwise(c)
+    quick, exact = _long_classes()
+    expanded = F.when(c.rlike(quick) & c.rlike(exact), _expand_long(c)).otherwise(c)
     return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(expanded, source + dropped, target)).otherwise(c)
 
 

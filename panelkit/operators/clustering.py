@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from panelkit.config import DEFAULTS
 from panelkit.functions.scalars import ratio
-from panelkit.operators.neighbors import BLOCK_ROWS, _block_count, _blocked, _matrix, _tiles, distances
+from panelkit.operators.neighbors import BLOCK_ROWS, _block_count, _blocked, _matrix, _own_names, _tiles, distances
 from panelkit.operators.sampling import sample_cap
 
 
@@ -51,24 +51,25 @@ def silhouette_points(df: DataFrame, key: str = "id", x: str = "x", cluster: str
     side = df.select(F.col(key).alias("id"), F.col(x).alias("x"), F.col(cluster).alias("cluster"))
     types = {f.name: f.dataType.simpleString() for f in side.schema}
     blocks = _block_count(side.count(), block_rows)
-    left, right = _blocked(side, "id", "__tb", blocks, "__qb", blocks), _blocked(side, "id", "__qb", blocks, "__tb", blocks)
+    left = _blocked(side, "id", "__tb", blocks, "__qb", blocks)
+    right = _own_names(_blocked(side, "id", "__qb", blocks, "__tb", blocks))
 
     def sums(t: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if t.empty or q.empty:
             return pd.DataFrame(columns=["id", "cluster", "other", "total"])
-        xt, xq = _matrix(t["x"]), _matrix(q["x"])
+        xt, xq = _matrix(t["x"]), _matrix(q["q_x"])
         names, code = np.unique(t["cluster"].to_numpy(), return_inverse=True)
         member = np.eye(len(names))[code]
         parts = []
         for a, z in _tiles(len(q), len(t), xt.shape[1]):
             total = distances(xq[a:z], xt, 2) @ member
             parts.append(pd.DataFrame({
-                "id": np.repeat(q["id"].to_numpy()[a:z], len(names)),
-                "cluster": np.repeat(q["cluster"].to_numpy()[a:z], len(names)),
+                "id": np.repeat(q["q_id"].to_numpy()[a:z], len(names)),
+                "cluster": np.repeat(q["q_cluster"].to_numpy()[a:z], len(names)),
                 "other": np.tile(names, z - a), "total": total.ravel()}))
         return pd.concat(parts)
 
-    found = left.groupBy("__tb", "__qb").cogroup(right.groupBy("__tb", "__qb")).applyInPandas(
+    found = left.groupBy("__tb", "__qb").cogroup(right.groupBy("q___tb", "q___qb")).applyInPandas(
         sums, f"id {types['id']}, cluster {types['cluster']}, other {types['cluster']}, total double")
     per = found.groupBy("id", "cluster", "other").agg(F.sum("total").alias("total"))
     sizes = F.broadcast(side.groupBy(F.col("cluster").alias("other")).agg(F.count(F.lit(1)).alias("size")))  # k rows

@@ -34,6 +34,11 @@ def _blocked(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other:
     return copies.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
 
 
+def _own_names(df: DataFrame) -> DataFrame:
+    """Columns under a ``q_`` prefix, so that a table can meet itself."""
+    return df.select(*[F.col(c).alias(f"q_{c}") for c in df.columns])
+
+
 def _matrix(col: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=float) for v in col])
 
@@ -79,7 +84,7 @@ def knn_neighbors(train: DataFrame, query: DataFrame, k: int, ps: Sequence[int]
     left, right = side(train, F.col(label).alias("label")), side(query)
     n_train, n_query = _block_count(left.count(), block_rows), _block_count(right.count(), block_rows)
     left = _blocked(left, "id", "__tb", n_train, "__qb", n_query)
-    right = _blocked(right, "id", "__qb", n_query, "__tb", n_train)
+    right = _own_names(_blocked(right, "id", "__qb", n_query, "__tb", n_train))
     types = {**{f.name: f.dataType.simpleString() for f in query.schema}, **{f.name: f.dataType.simpleString() for f in train.schema}}
     schema = ", ".join([f"`{b}` {types[b]}" for b in by] + [
         "p int", f"id {types[key]}", f"neighbor {types[key]}", "distance double", f"label {types[label]}"])
@@ -88,9 +93,9 @@ def knn_neighbors(train: DataFrame, query: DataFrame, k: int, ps: Sequence[int]
     def nearest(t: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if t.empty or q.empty:
             return pd.DataFrame(columns=[*by, "p", "id", "neighbor", "distance", "label"])
-        xt, xq = _matrix(t["x"]), _matrix(q["x"])
-        codes = _codes(t["levels"], q["levels"])
-        ids, qids, labels = t["id"].to_numpy(), q["id"].to_numpy(), t["label"].to_numpy()
+        xt, xq = _matrix(t["x"]), _matrix(q["q_x"])
+        codes = _codes(t["levels"], q["q_levels"])
+        ids, qids, labels = t["id"].to_numpy(), q["q_id"].to_numpy(), t["label"].to_numpy()
         place = pd.factorize(ids, sort=True)[0]
         parts = []
         for p in metrics:
@@ -109,11 +114,11 @@ def knn_neighbors(train: DataFrame, query: DataFrame, k: int, ps: Sequence[int]
                                            "distance": d[rows, cols], "label": labels[cols]}))
         out = pd.concat(parts)
         for b in by:
-            out[b] = q[b].iloc[0]
+            out[b] = t[b].iloc[0]
         return out[[*by, "p", "id", "neighbor", "distance", "label"]]
 
     group = [*by, "__tb", "__qb"]
-    found = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(nearest, schema)
+    found = left.groupBy(*group).cogroup(right.groupBy(*[f"q_{g}" for g in group])).applyInPandas(nearest, schema)
     order = W.partitionBy(*by, "p", "id").orderBy("distance", "neighbor")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 

@@ -12,7 +12,7 @@ from panelkit.functions.scalars import number
 from panelkit.functions.textnorm import slug
 
 FACT_TYPES = {"ciclo": T.IntegerType(), "mes": T.StringType(), "monto": T.DoubleType()}
-REPLACEMENT = "�"
+REPLACEMENT = "\ufffd"  # what the reader puts for bytes it cannot decode
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -39,15 +39,16 @@ def read_facts(spark: SparkSession, path, schema: T.StructType | None = None,
     """Scan a fact table from parquet, or from CSV with a header.
 
     CSV columns are text except the ones in ``FACT_TYPES`` or ``schema``. The first encoding that decodes every
-    line wins; the reader marks bytes it cannot decode, so one early-stopping probe per encoding is enough.
+    line wins, found by one early-stopping pass per encoding.
     """
     first = path if isinstance(path, str) else path[0]
     if first.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(*([path] if isinstance(path, str) else path))
     chosen = encodings[-1]
     for encoding in encodings[:-1]:
-        lines = spark.read.option("encoding", encoding).text(path)
-        if lines.where(F.instr("value", REPLACEMENT) > 0).isEmpty():
+        probe = _csv(spark, path, encoding)
+        text = F.concat_ws("", *[F.col(f"`{c}`") for c in probe.columns])
+        if not any(REPLACEMENT in c for c in probe.columns) and probe.where(F.instr(text, REPLACEMENT) > 0).isEmpty():
             chosen = encoding
             break
     df = _csv(spark, path, chosen)
@@ -71,10 +72,17 @@ def write_table(df: DataFrame, path: str, single_file: bool = False, fmt: str =
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.option("header", True).csv(path) if fmt == "csv" else writer.format(fmt).save(path)
+    _save(writer, path, fmt)
+
+
+def _save(writer, path: str, fmt: str) -> None:
+    if fmt == "csv":
+        writer.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    else:
+        writer.format(fmt).save(path)
 
 
 def write_slices(df: DataFrame, by: str, path: str, mode: str = "overwrite", fmt: str = "csv") -> None:
     """One folder per value of ``by``, named by its slug, in one job."""
     writer = df.withColumn("slice", slug(by)).write.mode(mode).partitionBy("slice")
-    writer.option("header", True).csv(path) if fmt == "csv" else writer.format(fmt).save(path)
+    _save(writer, path, fmt)
