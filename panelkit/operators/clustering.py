@@ -18,6 +18,7 @@ from panelkit.config import DEFAULTS
 from panelkit.functions.scalars import ratio
 from panelkit.operators.neighbors import BLOCK_ROWS, _block_count, _blocked, _matrix, _own_names, _tiles, distances
 from panelkit.operators.sampling import sample_cap
+from panelkit.operators.scan import attach_by_value
 
 
 def kmeans_fit(df: DataFrame, k: int, features: str = "features", seed: int = DEFAULTS.seed,
@@ -72,10 +73,10 @@ def silhouette_points(df: DataFrame, key: str = "id", x: str = "x", cluster: str
     found = left.groupBy("__tb", "__qb").cogroup(right.groupBy("q___tb", "q___qb")).applyInPandas(
         sums, f"id {types['id']}, cluster {types['cluster']}, other {types['cluster']}, total double")
     per = found.groupBy("id", "cluster", "other").agg(F.sum("total").alias("total"))
-    sizes = F.broadcast(side.groupBy(F.col("cluster").alias("other")).agg(F.count(F.lit(1)).alias("size")))  # k rows
+    sizes = side.groupBy(F.col("cluster").alias("other")).agg(F.count(F.lit(1)).alias("size"))
     own = F.col("cluster") == F.col("other")
     mean = F.when(own, ratio("total", F.col("size") - 1)).otherwise(ratio("total", "size"))
-    scored = per.join(sizes, "other").groupBy("id", "cluster").agg(
+    scored = attach_by_value(per, sizes, ["other"], "size").groupBy("id", "cluster").agg(
         F.max(F.when(own, mean)).alias("a"), F.min(F.when(~own, mean)).alias("b"))
     value = F.when(F.col("a").isNull(), 0.0).otherwise(F.coalesce(ratio(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
     return scored.select("id", "cluster", F.when(F.col("b").isNotNull(), value).alias("silhouette"))
@@ -117,8 +118,8 @@ def calinski_harabasz(df: DataFrame, x: str = "x", cluster: str = "cluster") ->
 
 def davies_bouldin(df: DataFrame, x: str = "x", cluster: str = "cluster") -> DataFrame:
     """Mean over clusters of the worst (spread + spread) / centre distance, null for a single cluster."""
-    centres = F.broadcast(_spreads(df, x, cluster).select("cluster", "centre"))  # one row per cluster
-    rows = df.select(F.col(cluster).alias("cluster"), F.col(x).alias("x")).join(centres, "cluster")
+    centres = _spreads(df, x, cluster).select("cluster", "centre", "n")
+    rows = attach_by_value(df.select(F.col(cluster).alias("cluster"), F.col(x).alias("x")), centres, ["cluster"])
     spread = rows.groupBy("cluster", "centre").agg(F.avg(F.sqrt(_squared(F.col("x"), F.col("centre")))).alias("s"))
     packed = spread.agg(F.collect_list(F.struct("cluster", "centre", "s")).alias("all"))
     gap = lambda u, v: F.sqrt(_squared(u["centre"], v["centre"]))

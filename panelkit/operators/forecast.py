@@ -12,6 +12,7 @@ from panelkit.functions.dates import month_index, split_label
 from panelkit.functions.scalars import sinh
 from panelkit.operators.linear import fit_by
 from panelkit.operators.panel import add_seasonality, calendar_lag, time_index
+from panelkit.session import materialize
 
 FEATURES = ("t", "sin12", "cos12", "lag1", "lag12")
 LAGS = 12
@@ -120,7 +121,7 @@ def forecast_table(panel: DataFrame, keys: Sequence[str] = (), holdout_start=DEF
     """
     keys = list(keys)
     start = F.lit(holdout_start)
-    observed = panel.withColumnRenamed(f"{measure}_asinh", "y")
+    observed = materialize(panel.withColumnRenamed(f"{measure}_asinh", "y"))
     features = forecast_features(observed, keys, date, "y")
     train, test = features.where(F.col(date) < start), features.where(F.col(date) >= start)
     model = fit_forecaster(train, keys) if model is None else model

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelkit.config import DEFAULTS
@@ -13,6 +14,7 @@ from panelkit.functions.scalars import ratio
 from panelkit.functions.tails import chi2_pvalue, f_pvalue, rank_sum_pvalue, t_pvalue
 from panelkit.operators.linear import gram
 from panelkit.operators.scan import Running, attach_by_value, running, value_ranks
+from panelkit.session import materialize
 
 
 def two_sample_moments(df: DataFrame, y: str, group: str, a, b, by: Sequence[str] = ()) -> DataFrame:
@@ -62,6 +64,7 @@ def fdr_bh(df: DataFrame, p: str = "p_value", alpha: float = DEFAULTS.fdr_alpha,
     Rows without a p-value keep null results and do not count as tests.
     """
     by = list(by)
+    df = materialize(df)  # one row per test; what computes them runs once
     tested = df.where(F.col(p).isNotNull())
     order = [p, *[k for k in key if k not in by]]
     tests = tested.groupBy(*by).agg(F.count(F.lit(1)).alias("__m"))
@@ -107,15 +110,16 @@ def kruskal(df: DataFrame, y: str, group: str, by: Sequence[str] = (), p_value:
     """Kruskal-Wallis H with tie correction and epsilon squared; needs two groups."""
     by = list(by)
     cells = df.dropna(subset=[y, group, *by]).groupBy(*by, y, group).agg(F.count(F.lit(1)).alias("cell"))
-    ranks = value_ranks_of_counts(cells, y, by)
-    placed = cells.join(ranks, [*by, y])
+    placed = running(cells, [y, group], {"__upto": Running("cell")}, by=by)
+    tied = W.partitionBy(*by, y)  # at most one row per group
+    placed = placed.select("*", F.sum("cell").over(tied).cast("double").alias("__n"),
+                           F.min(F.col("__upto") - F.col("cell")).over(tied).alias("__before"))
+    rank, cell = F.col("__before") + (F.col("__n") + 1) / 2, F.col("cell")
     groups = placed.groupBy(*by, group).agg(
-        F.sum("cell").alias("n_g"), F.sum(F.col("cell") * F.col("avg_rank")).alias("r_g"))
-    parts = groups.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("k"), F.sum("n_g").alias("n"), F.sum(F.col("r_g") * F.col("r_g") / F.col("n_g")).alias("__s"))
-    n_tied = F.col("n").cast("double")
-    ties = ranks.groupBy(*by).agg(F.sum(n_tied * n_tied * n_tied - n_tied).alias("__tie"))
-    stats = parts.join(ties, by) if by else parts.withColumn("__tie", ties.select("__tie").scalar())
+        F.sum(cell).alias("n_g"), F.sum(cell * rank).alias("r_g"), F.sum(cell * (F.col("__n") * F.col("__n") - 1)).alias("t_g"))
+    stats = groups.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n_g").alias("n"), F.sum(F.col("r_g") * F.col("r_g") / F.col("n_g")).alias("__s"),
+        F.sum("t_g").alias("__tie"))
     size = F.col("n").cast("double")
     raw = ratio(12 * F.col("__s"), size * (size + 1)) - 3 * (size + 1)
     stats = stats.where(F.col("k") >= 2).withColumn(
@@ -126,13 +130,6 @@ def kruskal(df: DataFrame, y: str, group: str, by: Sequence[str] = (), p_value:
     return stats.drop("__s", "__tie")
 
 
-def value_ranks_of_counts(cells: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    """Value ranks from a table that already counts rows per (value, group)."""
-    counts = cells.groupBy(*by, value).agg(F.sum("cell").alias("n"))
-    ranked = running(counts, [value], {"__upto": Running("n")}, by=by)
-    return ranked.withColumn("avg_rank", F.col("__upto") - F.col("n") + (F.col("n") + 1) / 2).drop("__upto")
-
-
 def anova_cells(df: DataFrame, y: str, a: str, b: str) -> DataFrame:
     """Count, mean and squared deviation of every factor combination."""
     rows = df.dropna(subset=[y, a, b])

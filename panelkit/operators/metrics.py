@@ -76,7 +76,7 @@ def roc_curve(df: DataFrame, truth: str, score: str, drop_collinear: bool = True
     points = rows.groupBy(score).agg(F.sum(F.col(truth).cast("long")).alias("__pos"),
                                      F.sum(1 - F.col(truth).cast("long")).alias("__neg"))
     upto = running(points, [score], {"tp": Running("__pos", reverse=True), "fp": Running("__neg", reverse=True)})
-    sums = rows.agg(F.sum(F.col(truth).cast("long")).alias("p"), F.sum(1 - F.col(truth).cast("long")).alias("n")).first()
+    sums = upto.agg(F.max("tp").alias("p"), F.max("fp").alias("n")).first()
     pos, neg = sums["p"] or 0, sums["n"] or 0
     if drop_collinear:
         step = running(upto, [score], {

@@ -61,6 +61,7 @@ def monthly_panel(df: DataFrame, keys: Sequence[str] = (), date: str = "fecha",
 
 
 def _series(keys: Sequence[str]):
+    """Window partition of one series. Lags work on panels: a series has one row per month, however many facts."""
     return W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))
 
 
@@ -167,5 +168,5 @@ def time_series_folds(df: DataFrame, order: Sequence[str], folds: int = DEFAULTS
     ``order`` must identify a row; the default use is date first, then the series keys.
     """
     placed = running(df.withColumn("__one", F.lit(1)), order, {"__upto": Running("__one")}).drop("__one")
-    size = df.agg(F.count(F.lit(1))).scalar()
+    size = placed.agg(F.max("__upto")).scalar()
     return placed.withColumn(out, fold_of(F.col("__upto") - 1, size, folds)).drop("__upto")

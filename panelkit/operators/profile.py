@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from panelkit.config import DEFAULTS
 from panelkit.operators.scan import attach_by_value, exact_quantiles
+from panelkit.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -43,16 +44,26 @@ def profile_nulls(df: DataFrame) -> DataFrame:
     return _stack(counts, df.columns, "long").withColumnRenamed("value", "n_null").where(F.col("n_null") > 0)
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, digits: int | None = 2) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles; one row per column."""
+def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, digits: int | None = 2,
+                     approximate: bool = False) -> DataFrame:
+    """Count, mean, sample deviation, extremes and quartiles; one row per column.
+
+    Quartiles are exact, which shuffles the distinct values of every column. ``approximate`` takes them from a
+    sketch in the same pass instead.
+    """
     columns = list(columns or numeric_columns(df))
     measures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     one = df.agg(*[fn(F.col(c).cast("double")).alias(f"{c}__{m}") for c in columns for m, fn in measures.items()])
     cells = [F.struct(F.lit(c).alias("column"), *[F.col(f"{c}__{m}").alias(m) for m in measures]) for c in columns]
     basic = one.select(F.inline(F.array(*cells)))
     named = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
-    quart = exact_quantiles(df, columns, QUARTILES).groupBy("column").agg(
-        *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in named.items()])
+    if approximate:
+        sketch = df.agg(*[F.percentile_approx(F.col(c).cast("double"), list(QUARTILES)).alias(c) for c in columns])
+        quart = sketch.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), *[
+            F.col(c)[i].alias(n) for i, n in enumerate(named.values())]) for c in columns])))
+    else:
+        quart = exact_quantiles(df, columns, QUARTILES).groupBy("column").agg(
+            *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in named.items()])
     out = basic.join(quart, "column", "left")
     shown = ["mean", "std", "min", "q25", "q50", "q75", "max"]
     value = (lambda c: F.round(c, digits)) if digits is not None else F.col
@@ -90,7 +101,7 @@ def describe_all(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 def value_share(df: DataFrame, column: str, by: str) -> DataFrame:
     """Share of each value among its group's rows, in percent."""
-    counts = df.dropna(subset=[column, by]).groupBy(by, column).agg(F.count(F.lit(1)).alias("count"))
+    counts = materialize(df.dropna(subset=[column, by]).groupBy(by, column).agg(F.count(F.lit(1)).alias("count")))
     totals = counts.groupBy(by).agg(F.sum("count").alias("__rows"), F.count(F.lit(1)).alias("__values"))
     shares = attach_by_value(counts, totals, [by], "__values")
     return shares.select(by, column, "count", (F.col("count") / F.col("__rows") * 100).alias("share"))

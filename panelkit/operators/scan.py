@@ -111,6 +111,7 @@ def attach_by_value(rows: DataFrame, table: DataFrame, on: Sequence[str], weight
     The rest comes by a shuffled join, in which rows that already have their value are spread by task number.
     """
     on = list(on)
+    table = materialize(table)
     payload = [c for c in table.columns if c not in on]
     total = table.agg(F.sum(weight)).scalar()
     is_hot = F.col(weight) * hot_values >= total

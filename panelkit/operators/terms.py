@@ -35,37 +35,37 @@ def corpus(df: DataFrame, columns: Sequence[str] | None = None, keep: Sequence[s
     return df.select(*keep, normalize_text(join_text(columns, null_text)).alias("texto"), "weight")
 
 
-def _with_first_flag(ordered: str) -> Column:
-    """Terms of a sorted array column, each with a flag on its first occurrence.
+def _with_first_flag(ordered: str, n: int) -> Column:
+    """Terms of a sorted array column, each with its length and a flag on its first occurrence.
 
     Takes a column name: a lambda that refers to an expression would compute it anew for every element.
     """
     return F.transform(ordered, lambda t, i: F.struct(
-        t.alias("term"), ((i == 0) | (F.get(ordered, i - 1) != t)).cast("long").alias("first")))
+        F.lit(n).alias("n"), t.alias("term"), ((i == 0) | (F.get(ordered, i - 1) != t)).cast("long").alias("first")))
 
 
-def term_freq(df: DataFrame, text: str = "texto", n: int = 1, min_df: int = DEFAULTS.min_df,
+def term_freq(df: DataFrame, text: str = "texto", n: int | Sequence[int] = 1, min_df: int = DEFAULTS.min_df,
               by: Sequence[str] = (), stopwords: Iterable[str] = DEFAULTS.stopwords, min_len: int = 2,
               floor: str = "documents", weight: str | None = "weight") -> DataFrame:
     """Frequency of every n-gram of kept words per slice, from normalised text.
 
-    ``floor`` says what ``min_df`` bounds: the number of documents with the term, or its total frequency.
-    Each document yields its terms already sorted, so both counts come out of a single shuffle.
+    ``floor`` says what ``min_df`` bounds: the number of documents with the term, or its total frequency. Several
+    ``n`` are counted together and told apart by a column ``n``. Each document yields its terms already sorted, so
+    both counts of all lengths come out of a single shuffle.
     """
-    if n < 1:
+    by, lengths = list(by), [n] if isinstance(n, int) else list(n)
+    if min(lengths) < 1:
         raise ValueError("n must be at least 1")
-    by = list(by)
     rows = df.dropna(subset=by) if by else df
     w = F.col(weight) if weight and weight in df.columns else F.lit(1).cast("long")
     words = rows.select(*by, w.alias("__w"), kept_tokens(text, stopwords, min_len).alias("__kept"))
-    if n > 1:
-        words = words.select(*by, "__w", ngrams("__kept", n).alias("__kept"))
-    ordered = words.select(*by, "__w", F.sort_array("__kept").alias("__ordered"))
-    cells = ordered.select(*by, "__w", F.explode(_with_first_flag("__ordered")).alias("__c"))
-    freq = cells.groupBy(*by, F.col("__c.term").alias("term")).agg(
-        F.sum("__w").alias("freq"), F.sum(F.col("__w") * F.col("__c.first")).alias("doc_freq"))
-    kept = freq.where(F.col("doc_freq" if floor == "documents" else "freq") >= min_df)
-    return kept.where(F.col("term") != "")
+    grams = words.select(*by, "__w", *[ngrams("__kept", k).alias(f"__g{k}") for k in lengths])
+    ordered = grams.select(*by, "__w", *[F.sort_array(f"__g{k}").alias(f"__o{k}") for k in lengths])
+    marked = F.concat(*[_with_first_flag(f"__o{k}", k) for k in lengths])
+    cells = ordered.select(*by, "__w", F.explode(marked).alias("__c"))
+    key = [*by, F.col("__c.term").alias("term")] if isinstance(n, int) else [*by, F.col("__c.n").alias("n"), F.col("__c.term").alias("term")]
+    freq = cells.groupBy(*key).agg(F.sum("__w").alias("freq"), F.sum(F.col("__w") * F.col("__c.first")).alias("doc_freq"))
+    return freq.where((F.col("doc_freq" if floor == "documents" else "freq") >= min_df) & (F.col("term") != ""))
 
 
 def top_terms(freq: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:

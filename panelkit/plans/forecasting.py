@@ -10,7 +10,6 @@ from panelkit.operators import forecast as FC
 from panelkit.operators.panel import monthly_panel
 from panelkit.plans.ols_sql import ols_ctes
 from panelkit.plans.registry import FACTS_SQL, ORDER_FACTS_SQL, facts, order_facts, query, r, rounded
-from panelkit.session import materialize
 from panelkit.sources.adapters import LINEITEM_HOLDOUT
 
 KEYS = ["subtema"]
@@ -115,7 +114,7 @@ TABLE_SQL = f"""WITH RECURSIVE {FIT_SQL}, lt AS (SELECT subtema, max(mi) AS l FR
 
 @query("forecast_table", TABLE_SQL)
 def forecast_table(spark, d):
-    panel = materialize(_series(spark, d))
+    panel = _series(spark, d)
     out = FC.forecast_table(panel, KEYS, holdout_start=LINEITEM_HOLDOUT)
     return out.select("subtema", "fecha", F.round("y_true_asinh", 6).alias("y_true_asinh"), F.round("y_true", 4).alias("y_true"),
                       F.round("yhat_asinh", 5).alias("yhat_asinh"), "split")

@@ -107,10 +107,8 @@ def _top_sql(n: int) -> str:
 
 @query("top_terms_global", f"WITH {_renamed(_freq_sql(1), 1)}, {_renamed(_freq_sql(2), 2)} {_top_sql(1)} UNION ALL {_top_sql(2)}")
 def top_terms_global(spark, d):
-    docs = _corpus(spark, d)
-    one, two = (T.top_terms(T.term_freq(docs, n=n), DEFAULTS.top_terms).select(F.lit(n).alias("n"), "term", "freq", "doc_freq")
-                for n in (1, 2))
-    return one.unionByName(two)
+    freq = T.term_freq(_corpus(spark, d), n=(1, 2))
+    return T.top_terms(freq, DEFAULTS.top_terms, ["n"])
 
 
 @query("top_terms_by_era", f"""WITH {_freq_sql(by='lang', min_df=DEFAULTS.slice_min_df)} SELECT lang, term, freq, doc_freq FROM freq

@@ -39,7 +39,7 @@ def read_facts(spark: SparkSession, path, schema: T.StructType | None = None,
     """Scan a fact table from parquet, or from CSV with a header.
 
     CSV columns are text except the ones in ``FACT_TYPES`` or ``schema``. The first encoding that decodes every
-    line wins, found by one early-stopping pass per encoding.
+    line wins, found by one pass per encoding; name a single one to skip that.
     """
     first = path if isinstance(path, str) else path[0]
     if first.rstrip("/").endswith(".parquet"):
