@@ -111,8 +111,12 @@ def strip_accents(c) -> Column:
 
 def normalize_text(c) -> Column:
     """Lower case, no accents, punctuation and digits to single spaces; null to the empty text."""
-    plain = strip_accents(F.lower(F.coalesce(col(c), F.lit(""))))
-    return F.trim(F.regexp_replace(plain, r"[^\p{L}\p{Nl}\p{No}_]+", " "))
+    return normalize_lower(F.lower(F.coalesce(col(c), F.lit(""))))
+
+
+def normalize_lower(c) -> Column:
+    """``normalize_text`` for text that is in lower case already."""
+    return F.trim(F.regexp_replace(strip_accents(c), r"[^\p{L}\p{Nl}\p{No}_]+", " "))
 
 
 def tokens(c, min_len: int = 2) -> Column:
@@ -141,10 +145,11 @@ def ngrams(words: str, n: int) -> Column:
     """Space-joined runs of ``n`` neighbouring elements of an array column, given by name."""
     if n == 1:
         return F.col(words)
-    count = F.size(words) - (n - 1)
-    at = F.sequence(F.lit(1), F.greatest(count, F.lit(1)))
-    return F.when(count > 0, F.transform(at, lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(
-        F.array().cast("array<string>"))
+    count = F.greatest(F.size(words) - (n - 1), F.lit(0))
+    out = F.slice(words, 1, count)
+    for k in range(2, n + 1):
+        out = F.zip_with(out, F.slice(words, k, count), lambda left, right: F.concat(left, F.lit(" "), right))
+    return out
 
 
 def join_text(columns: Sequence, null_text: str = "") -> Column:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelkit.config import DEFAULTS
 from panelkit.functions.scalars import display_weight
-from panelkit.functions.textnorm import join_text, kept_tokens, ngrams, normalize_text
+from panelkit.functions.textnorm import join_text, kept_tokens, ngrams, normalize_lower
+from panelkit.session import spread
 
 
 def text_columns(df: DataFrame, preferred: Sequence[str] = DEFAULTS.text_columns, k: int = 4) -> list[str]:
@@ -31,17 +32,10 @@ def corpus(df: DataFrame, columns: Sequence[str] | None = None, keep: Sequence[s
         names = list(dict.fromkeys([*keep, *columns]))
         df = df.groupBy(*names).agg(F.count(F.lit(1)).alias("weight"))
     else:
-        df = df.withColumn("weight", F.lit(1).cast("long"))
-    return df.select(*keep, normalize_text(join_text(columns, null_text)).alias("texto"), "weight")
-
-
-def _with_first_flag(ordered: str, n: int) -> Column:
-    """Terms of a sorted array column, each with its length and a flag on its first occurrence.
-
-    Takes a column name: a lambda that refers to an expression would compute it anew for every element.
-    """
-    return F.transform(ordered, lambda t, i: F.struct(
-        F.lit(n).alias("n"), t.alias("term"), ((i == 0) | (F.get(ordered, i - 1) != t)).cast("long").alias("first")))
+        names = list(dict.fromkeys([*keep, *columns]))
+        df = spread(df.select(*names)).withColumn("weight", F.lit(1).cast("long"))
+    low = df.select(*keep, F.lower(join_text(columns, null_text)).alias("texto"), "weight")
+    return low.select(*keep, normalize_lower("texto").alias("texto"), "weight")
 
 
 def term_freq(df: DataFrame, text: str = "texto", n: int | Sequence[int] = 1, min_df: int = DEFAULTS.min_df,
@@ -50,22 +44,28 @@ def term_freq(df: DataFrame, text: str = "texto", n: int | Sequence[int] = 1, mi
     """Frequency of every n-gram of kept words per slice, from normalised text.
 
     ``floor`` says what ``min_df`` bounds: the number of documents with the term, or its total frequency. Several
-    ``n`` are counted together and told apart by a column ``n``. Each document yields its terms already sorted, so
-    both counts of all lengths come out of a single shuffle.
+    ``n`` are counted together and told apart by a column ``n``: both counts of all lengths come out of one scan and
+    one shuffle.
     """
     by, lengths = list(by), [n] if isinstance(n, int) else list(n)
     if min(lengths) < 1:
         raise ValueError("n must be at least 1")
     rows = df.dropna(subset=by) if by else df
     w = F.col(weight) if weight and weight in df.columns else F.lit(1).cast("long")
-    words = rows.select(*by, w.alias("__w"), kept_tokens(text, stopwords, min_len).alias("__kept"))
+    # The test for empty text mentions the column a second time, which keeps the optimizer from pasting the whole
+    # normalisation into the filter below, where it would run outside generated code.
+    kept = F.when(F.length(text) > 0, kept_tokens(text, stopwords, min_len)).alias("__kept")
+    words = rows.select(*by, w.alias("__w"), kept)
     grams = words.select(*by, "__w", *[ngrams("__kept", k).alias(f"__g{k}") for k in lengths])
-    ordered = grams.select(*by, "__w", *[F.sort_array(f"__g{k}").alias(f"__o{k}") for k in lengths])
-    marked = F.concat(*[_with_first_flag(f"__o{k}", k) for k in lengths])
-    cells = ordered.select(*by, "__w", F.explode(marked).alias("__c"))
-    key = [*by, F.col("__c.term").alias("term")] if isinstance(n, int) else [*by, F.col("__c.n").alias("n"), F.col("__c.term").alias("term")]
-    freq = cells.groupBy(*key).agg(F.sum("__w").alias("freq"), F.sum(F.col("__w") * F.col("__c.first")).alias("doc_freq"))
-    return freq.where((F.col("doc_freq" if floor == "documents" else "freq") >= min_df) & (F.col("term") != ""))
+    # Each document yields, per length, all its terms and then its distinct terms.
+    lists = F.array(*[x for k in lengths for x in (F.col(f"__g{k}"), F.array_distinct(f"__g{k}"))])
+    tagged = grams.select(*by, "__w", F.posexplode(lists).alias("__list", "__terms"))
+    cells = tagged.select(*by, "__w", "__list", F.explode("__terms").alias("term"))
+    length = [] if isinstance(n, int) else [F.element_at(F.array(*[F.lit(k) for k in lengths]), F.floor(F.col("__list") / 2).cast("int") + 1).alias("n")]
+    every = F.col("__list") % 2 == 0
+    freq = cells.groupBy(*by, *length, "term").agg(
+        F.sum(F.when(every, F.col("__w")).otherwise(0)).alias("freq"), F.sum(F.when(~every, F.col("__w")).otherwise(0)).alias("doc_freq"))
+    return freq.where(F.col("doc_freq" if floor == "documents" else "freq") >= min_df)
 
 
 def top_terms(freq: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:

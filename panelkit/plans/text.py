@@ -9,6 +9,7 @@ from panelkit.functions import textnorm as X
 from panelkit.functions.scalars import display_weight
 from panelkit.operators import terms as T
 from panelkit.plans.registry import query, r, rounded
+from panelkit.session import spread
 from panelkit.sources.adapters import table
 
 STOP = sorted(DEFAULTS.stopwords)
@@ -33,18 +34,22 @@ def _freq_sql(n: int = 1, by: str = "", floor: str = "df", min_df: int = DEFAULT
         HAVING {'count(DISTINCT doc_id)' if floor == 'df' else 'count(*)'} >= {min_df})"""
 
 
+def _documents(spark, d, *columns):
+    return spread(table(spark, d, "documents").select(*columns, "text"))
+
+
 def _corpus(spark, d, keep=()):
     return T.corpus(table(spark, d, "documents"), ["text"], keep, collapse=False)
 
 
 @query("strip_accents", "SELECT doc_id, md5(strip_accents(text)) AS plain FROM documents")
 def strip_accents(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.md5(X.strip_accents("text").cast("binary")).alias("plain"))
+    return _documents(spark, d, "doc_id").select("doc_id", F.md5(X.strip_accents("text").cast("binary")).alias("plain"))
 
 
 @query("normalize_text", f"SELECT doc_id, length({_norm_sql('text')}) AS n, md5({_norm_sql('text')}) AS texto FROM documents")
 def normalize_text(spark, d):
-    norm = table(spark, d, "documents").select("doc_id", X.normalize_text("text").alias("texto"))
+    norm = _documents(spark, d, "doc_id").select("doc_id", X.normalize_text("text").alias("texto"))
     return norm.select("doc_id", F.length("texto").cast("long").alias("n"), F.md5(F.col("texto").cast("binary")).alias("texto"))
 
 
@@ -52,7 +57,7 @@ def normalize_text(spark, d):
   lambda w: NOT list_contains({STOP_SQL}, w)), ' ')) AS texto FROM documents""")
 def remove_stopwords(spark, d):
     kept = X.remove_stopwords(X.normalize_text("text"), STOP)
-    return table(spark, d, "documents").select("doc_id", F.md5(kept.cast("binary")).alias("texto"))
+    return _documents(spark, d, "doc_id").select("doc_id", F.md5(kept.cast("binary")).alias("texto"))
 
 
 @query("join_text", """SELECT d.doc_id, concat_ws(' ', d.lang, d.source, coalesce(l.quality::VARCHAR, 'nan')) AS texto
@@ -70,7 +75,7 @@ def slug(spark, d):
 @query("tokens", f"""WITH t AS (SELECT lang, regexp_extract_all({_norm_sql('text')}, '[\\p{{L}}\\p{{N}}_]{{2,}}') AS k FROM documents)
   SELECT lang, token, count(*) AS n FROM (SELECT lang, unnest(k) AS token FROM t) GROUP BY ALL""")
 def tokens(spark, d):
-    words = table(spark, d, "documents").select("lang", F.explode(X.tokens(X.normalize_text("text"))).alias("token"))
+    words = _documents(spark, d, "lang").select("lang", F.explode(X.tokens(X.normalize_text("text"))).alias("token"))
     return words.groupBy("lang", "token").agg(F.count(F.lit(1)).alias("n"))
 
 
