@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +36,9 @@ def month_date(year, month, strict: bool = True) -> Column:
     if strict:
         return F.make_date(col(year).cast("int"), col(month).cast("int"), F.lit(1))
     y, m = col(year).try_cast("int"), col(month).try_cast("int")
-    one, zero = F.lit(1), F.lit(0)
-    return F.to_date(F.try_make_timestamp_ntz(y, m, one, zero, zero, zero))
+    # One lookup that is null outside 1..12, so that the month expression is evaluated once.
+    months = (y - 1970) * 12 + F.get(F.array(*[F.lit(i) for i in range(12)]), m - 1)
+    return F.when(y.between(1, 9999), F.add_months(F.lit(date(1970, 1, 1)), months))
 
 
 def month_start(c) -> Column:
