@@ -146,41 +146,38 @@ def anova_two_way(df: DataFrame, y: str, a: str, b: str, p_value: bool = True) -
     spark = df.sparkSession
     cells = anova_cells(df, y, a, b).persist()
     try:
-        sizes = cells.agg(F.count_distinct(a).alias("a"), F.count_distinct(b).alias("b"), F.count(F.lit(1)).alias("c"),
-                          F.sum("n").alias("n"), F.sum("m2").alias("m2"),
-                          (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean")).first()
-        small, large = (a, b) if sizes["a"] <= sizes["b"] else (b, a)
-        levels = [r[0] for r in cells.select(small).distinct().orderBy(small).collect()]
-        centred = cells.withColumn("__s", F.col("n") * (F.col("mean") - sizes["mean"]))
-        total_between = centred.agg(F.sum(F.col("__s") * F.col("__s") / F.col("n"))).first()[0]
-
-        def between(factor):
-            sums = centred.groupBy(factor).agg(F.sum("__s").alias("s"), F.sum("n").alias("n"))
-            return sums.agg(F.sum(F.col("s") * F.col("s") / F.col("n"))).first()[0]
-
-        ss = {f: between(f) for f in (a, b)}
-        # Rows: one per level of the larger factor, holding counts and centred sums of the smaller factor's levels.
-        at = lambda lv, c: F.coalesce(F.sum(F.when(F.col(small) == F.lit(lv), F.col(c))), F.lit(0.0)).cast("double")
-        wide = centred.groupBy(large).agg(*[at(lv, "n").alias(f"n{i}") for i, lv in enumerate(levels)],
-                                          *[at(lv, "__s").alias(f"s{i}") for i, lv in enumerate(levels)])
-        n_cols, k = [f"n{i}" for i in range(len(levels))], len(levels)
-        n_all, s_all = sum(F.col(c) for c in n_cols), sum(F.col(f"s{i}") for i in range(k))
-        scaled = wide.select(*[(F.col(c) / F.sqrt(n_all)).alias(c) for c in n_cols], (s_all / F.sqrt(n_all)).alias("y"))
-        cross = gram(scaled, [F.col(c) for c in n_cols], F.col("y"))
-        margins = wide.agg(*[F.sum(c).alias(c) for c in n_cols], *[F.sum(f"s{i}").alias(f"s{i}") for i in range(k)]).first()
-        swept = np.diag([margins[c] for c in n_cols]) - cross.xtx
-        rest = np.array([margins[f"s{i}"] for i in range(k)]) - cross.xty
-        effects, rank = np.linalg.pinv(swept, rcond=1e-10, hermitian=True), np.linalg.matrix_rank(swept, tol=1e-8 * sizes["n"])
-        both = ss[large] + float(rest @ effects @ rest)
+        centre = cells.agg(F.sum(F.col("n") * F.col("mean")) / F.sum("n")).scalar()
+        centred = cells.withColumn("__s", F.col("n") * (F.col("mean") - centre))
+        # Grouping levels of (a, b): 0 cells, 1 margin of a, 2 margin of b, 3 everything.
+        margins = centred.cube(a, b).agg(F.sum("__s").alias("s"), F.sum("n").alias("n"), F.sum("m2").alias("m2"),
+                                         F.grouping_id().alias("level"))
+        found = margins.groupBy("level").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("m2").alias("m2"),
+                                             F.sum(F.col("s") * F.col("s") / F.col("n")).alias("ss"))
+        by_level = {r["level"]: r for r in found.collect()}
+        n, residual, n_cells = by_level[0]["n"], by_level[0]["m2"], by_level[0]["k"]
+        k_a, k_b = by_level[1]["k"], by_level[2]["k"]
+        ss_a, ss_b, ss_cells = by_level[1]["ss"], by_level[2]["ss"], by_level[0]["ss"]
+        small, large, level = (a, b, 1) if k_a <= k_b else (b, a, 2)
+        own = margins.where(F.col("level") == level).orderBy(small).select(small, "n", "s").collect()
+        # Rows: one per level of the larger factor, holding the counts of the smaller factor's levels.
+        here = lambda lv: F.coalesce(F.sum(F.when(F.col(small) == F.lit(lv), F.col("n"))), F.lit(0)).cast("double")
+        wide = centred.groupBy(large).agg(F.sum("n").alias("n"), F.sum("__s").alias("s"),
+                                          *[here(r[0]).alias(f"n{i}") for i, r in enumerate(own)])
+        share = [F.col(f"n{i}") / F.sqrt("n") for i in range(len(own))]
+        cross = gram(wide, share, F.col("s") / F.sqrt("n"))
     finally:
         cells.unpersist()
-    rank_both = sizes[0 if large == a else 1] + int(rank)
+    swept = np.diag([float(r["n"]) for r in own]) - cross.xtx
+    rest = np.array([r["s"] for r in own]) - cross.xty
+    rank = int(np.linalg.matrix_rank(swept, tol=1e-8 * n, hermitian=True))
+    both = (ss_b if large == b else ss_a) + float(rest @ np.linalg.pinv(swept, rcond=1e-10, hermitian=True) @ rest)
+    rank_both = (k_b if large == b else k_a) + rank
     rows = [
-        (f"C({a})", both - ss[b], rank_both - sizes["b"]),
-        (f"C({b})", both - ss[a], rank_both - sizes["a"]),
-        (f"C({a}):C({b})", total_between - both, sizes["c"] - rank_both),
+        (f"C({a})", both - ss_b, rank_both - k_b),
+        (f"C({b})", both - ss_a, rank_both - k_a),
+        (f"C({a}):C({b})", ss_cells - both, n_cells - rank_both),
     ]
-    left = (sizes["m2"], sizes["n"] - sizes["c"])
+    left = (residual, n - n_cells)
     table = spark.createDataFrame(
         [(t, float(s), float(d), float(left[0]), float(left[1])) for t, s, d in rows]
         + [("Residual", float(left[0]), float(left[1]), None, None)],

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelkit.functions.scalars import col
-from panelkit.session import materialize, shuffle_partitions
+from panelkit.session import materialize
 
 PART = "__part"
 HOT_VALUES = 1_000
@@ -41,9 +41,9 @@ def running(df: DataFrame, order: Sequence[str], aggs: Mapping[str, Running], by
     ``order`` must tell all rows of a group apart: equal rows would stay in one part.
     """
     by, order = list(by), list(order)
-    parts = parts or shuffle_partitions(df.sparkSession)
-    ranged = df.repartitionByRange(parts, *by, *order).withColumn(PART, F.spark_partition_id())
-    ranged = materialize(ranged)
+    # Without a fixed number, adaptive execution merges neighbouring small ranges; their order is kept.
+    ranges = df.repartitionByRange(parts, *by, *order) if parts else df.repartitionByRange(*by, *order)
+    ranged = materialize(ranges.withColumn(PART, F.spark_partition_id()))
 
     inner = W.partitionBy(*by, PART).orderBy(*order)
     totals, outer_cols, combined = [], {}, {}
