@@ -95,7 +95,7 @@ def silhouette_squared(df: DataFrame, features: str = "features", cluster: str =
         cluster, F.col(cluster).cast("double")))
 
 
-def _spreads(df: DataFrame, x: str, cluster: str) -> DataFrame:
+def cluster_spreads(df: DataFrame, x: str, cluster: str) -> DataFrame:
     """Size, centre and within-cluster squared deviation per cluster, from one pass over (cluster, dimension)."""
     cells = df.select(F.col(cluster).alias("cluster"), F.posexplode(x).alias("dim", "v"))
     dims = cells.groupBy("cluster", "dim").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.var_pop("v").alias("var"))
@@ -106,7 +106,7 @@ def _spreads(df: DataFrame, x: str, cluster: str) -> DataFrame:
 
 def calinski_harabasz(df: DataFrame, x: str = "x", cluster: str = "cluster") -> DataFrame:
     """Between to within dispersion ratio, null for a single cluster."""
-    per = _spreads(df, x, cluster)
+    per = cluster_spreads(df, x, cluster)
     dims = per.select("cluster", "n", F.posexplode("centre").alias("dim", "c"))
     overall = dims.groupBy("dim").agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("c")) / F.sum("n")).alias("g"),
                                       F.sum(F.col("n") * F.col("c") * F.col("c")).alias("s"))
@@ -118,7 +118,7 @@ def calinski_harabasz(df: DataFrame, x: str = "x", cluster: str = "cluster") ->
 
 def davies_bouldin(df: DataFrame, x: str = "x", cluster: str = "cluster") -> DataFrame:
     """Mean over clusters of the worst (spread + spread) / centre distance, null for a single cluster."""
-    centres = _spreads(df, x, cluster).select("cluster", "centre", "n")
+    centres = cluster_spreads(df, x, cluster).select("cluster", "centre", "n")
     rows = attach_by_value(df.select(F.col(cluster).alias("cluster"), F.col(x).alias("x")), centres, ["cluster"])
     spread = rows.groupBy("cluster", "centre").agg(F.avg(F.sqrt(_squared(F.col("x"), F.col("centre")))).alias("s"))
     packed = spread.agg(F.collect_list(F.struct("cluster", "centre", "s")).alias("all"))

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from panelkit.config import DEFAULTS
 from panelkit.functions.dates import label_era, month_date, month_index, month_number, seasonality
-from panelkit.functions.scalars import asinh, col, number
+from panelkit.functions.scalars import asinh, number
 from panelkit.operators.scan import Running, running
+from panelkit.session import materialize
 from panelkit.sources.tables import require_columns
 
 
@@ -115,7 +116,8 @@ def model_panel(df: DataFrame, keys: Sequence[str] = ("subtema",), date: str = "
                 era: str = "sexenio", positive=DEFAULTS.era_after) -> DataFrame:
     """Panel with season, trend, lag and a 0/1 era column; the trend counts from the first panel month."""
     value = f"{measure}_asinh"
-    panel = time_index(add_seasonality(monthly_panel(df, [era, *keys], date, measure), date), date)
+    panel = materialize(monthly_panel(df, [era, *keys], date, measure))  # the first month is a second pass
+    panel = time_index(add_seasonality(panel, date), date)
     panel = add_lag(panel, value, keys, (date,), 1, "lag1")
     return drop_incomplete(panel.withColumn(f"{era}_bin", (F.col(era) == F.lit(positive)).cast("int")), ["lag1"])
 

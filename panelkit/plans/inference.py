@@ -187,8 +187,7 @@ OLS_SQL = f"{TRAIN_SQL}, {', '.join(_CTES)}"
 
 
 def _split(spark, d):
-    rows = materialize(_model(spark, d))
-    train, test = temporal_split(rows, LINEITEM_HOLDOUT)
+    train, test = temporal_split(_model(spark, d), LINEITEM_HOLDOUT)
     return train, known_levels(test, train, "subtema")
 
 

@@ -90,10 +90,30 @@ def knn_classify(spark, d):
     return rounded(out.withColumnRenamed("key", "id"))
 
 
-@query("knn_grid")
+_COLS = range(len(NUMERIC))
+GRID_SQL = f"""WITH {FEATURES_SQL}, o AS (SELECT *, concat_ws('|', fecha::VARCHAR, subtema, sector) AS id, (subtema = 'A')::INT AS y,
+    row_number() OVER (ORDER BY fecha, subtema, sector) - 1 AS i, count(*) OVER () AS n FROM features),
+  fo AS (SELECT *, CASE WHEN i < n - 5 * (n // 6) THEN 0 ELSE (i - (n - 5 * (n // 6))) // (n // 6) + 1 END AS fold FROM o),
+  folds AS (SELECT unnest([1, 2, 3, 4, 5]) AS f),
+  st AS (SELECT f, {', '.join(f'avg({c}) AS m{i}, stddev_pop({c}) AS s{i}' for i, c in enumerate(NUMERIC))} FROM folds JOIN fo ON fold < f GROUP BY 1),
+  z AS (SELECT f, fold, id, y, sector, {', '.join(f'({c} - m{i}) / s{i} AS z{i}' for i, c in enumerate(NUMERIC))} FROM st JOIN fo ON fold <= f),
+  pairs AS (SELECT a.f, a.id, a.y AS truth, b.y AS label, b.id AS nid, CASE WHEN a.sector = b.sector THEN 0 ELSE 2 END AS lv,
+      {' + '.join(f'abs(a.z{i} - b.z{i})' for i in _COLS)} AS l1, {' + '.join(f'(a.z{i} - b.z{i}) ** 2' for i in _COLS)} AS l2
+    FROM z a JOIN z b ON a.f = b.f AND a.fold = a.f AND b.fold < b.f),
+  d AS (SELECT f, id, truth, label, nid, 1 AS p, l1 + lv AS d FROM pairs UNION ALL SELECT f, id, truth, label, nid, 2, sqrt(l2 + lv) FROM pairs),
+  rk AS (SELECT *, row_number() OVER (PARTITION BY f, p, id ORDER BY d, nid) AS r FROM d QUALIFY r <= 41),
+  s AS (SELECT f, p, id, truth, k, weights, sum(CASE weights WHEN 'uniform' THEN 1.0::DOUBLE ELSE 1 / d END * label)
+      / sum(CASE weights WHEN 'uniform' THEN 1.0::DOUBLE ELSE 1 / d END) AS score
+    FROM rk JOIN (SELECT unnest([3, 5, 7, 9, 11, 15, 21, 31, 41]) AS k) ON r <= k, (SELECT unnest(['uniform', 'distance']) AS weights) GROUP BY ALL),
+  q AS (SELECT *, rank() OVER (PARTITION BY f, p, k, weights ORDER BY score) + (count(*) OVER (PARTITION BY f, p, k, weights, score) - 1) / 2.0::DOUBLE AS rank FROM s),
+  a AS (SELECT f, p, k, weights, (sum(rank * truth) - sum(truth) * (sum(truth) + 1) / 2) / (sum(truth) * sum(1 - truth))::DOUBLE AS auc FROM q GROUP BY ALL)
+  SELECT k, weights, p, round(avg(auc), 6) AS mean_auc, round(stddev_pop(auc), 6) AS std_auc FROM a GROUP BY ALL"""
+
+
+@query("knn_grid", GRID_SQL)
 def knn_grid(spark, d):
     rows = time_series_folds(_features(spark, d), ["fecha", "subtema", "sector"])
-    return N.knn_grid_search(materialize(rows), NUMERIC, ["sector"], "subtema", "A")
+    return rounded(N.knn_grid_search(materialize(rows), NUMERIC, ["sector"], "subtema", "A"))
 
 
 GUESS_SQL = "g AS (SELECT l_linestatus AS truth, CASE WHEN l_quantity > 25 THEN 'F' WHEN l_quantity > 2 THEN 'O' ELSE 'X' END AS pred FROM lineitem)"
@@ -186,7 +206,7 @@ def davies_bouldin(spark, d):
   SELECT vec_id, label, cluster FROM p WHERE i = 1""")
 def assign_to_centres(spark, d):
     points = _points(spark, d)
-    centres = C._spreads(points, "x", "label").select("cluster", F.col("centre").alias("x"))
+    centres = C.cluster_spreads(points, "x", "label").select("cluster", F.col("centre").alias("x"))
     return C.assign_to_centres(points, centres).select("vec_id", "label", "cluster")
 
 

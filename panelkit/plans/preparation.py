@@ -287,6 +287,18 @@ def sample_cap(spark, d):
     return sampling.sample_cap(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"])
 
 
+@query("sample_sizes", """SELECT l_returnflag, least(count(*), 1200) AS n FROM lineitem GROUP BY 1
+  UNION ALL SELECT 'all', least(count(*), 20000) FROM lineitem""")
+def sample_sizes(spark, d):
+    # Sizes of both samples over the whole table, counting distinct rows that also occur in it.
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
+    rows = table(spark, d, "lineitem").select(*key, "l_returnflag")
+    strata = sampling.sample_per_group(rows, ["l_returnflag"], key).distinct().join(rows.distinct(), rows.columns, "left_semi")
+    flat = sampling.sample_cap(rows, key).distinct().join(rows.distinct(), rows.columns, "left_semi")
+    return strata.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n")).unionByName(
+        flat.agg(F.lit("all").alias("l_returnflag"), F.count(F.lit(1)).alias("n")))
+
+
 @query("head_preview", f"""WITH {FACTS_SQL}, {panel_sql('sexenio, subtema')} SELECT fecha, subtema, {r('monto', 4)} AS monto
   FROM panel ORDER BY fecha, subtema LIMIT 6""")
 def head_preview(spark, d):
