@@ -26,8 +26,11 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], method: str = "pearson")
     complete = df.select(*columns).dropna()
     if method == "pearson":
         return _long(complete, columns)
-    complete = ranked = materialize(complete)
-    for c in columns:
-        table = value_ranks(complete, c).select(c, "n", F.col("avg_rank").alias("__rank"))
-        ranked = attach_by_value(ranked, table, [c]).drop("n", c).withColumnRenamed("__rank", c)
-    return _long(ranked, columns)
+    # All columns are ranked together, as (row, column, value): one ranking job however many columns there are.
+    numbered = materialize(complete.withColumn("__row", F.monotonically_increasing_id()))
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    long = numbered.select("__row", F.inline(cells))
+    table = value_ranks(long, "value", ["column"]).select("column", "value", "n", "avg_rank")
+    ranked = attach_by_value(long, table, ["column", "value"])
+    rows = ranked.groupBy("__row").agg(*[F.max(F.when(F.col("column") == c, F.col("avg_rank"))).alias(c) for c in columns])
+    return _long(rows, columns)

@@ -25,14 +25,23 @@ def coerce_numeric(df: DataFrame, column: str = "monto") -> DataFrame:
     return df.withColumn(column, number(column)).where(F.col(column).isNotNull())
 
 
+def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column by exploding a one-element array.
+
+    As a plain column the optimizer would paste its whole derivation into every later filter on the date or on a
+    label made from it, and compute it anew each time.
+    """
+    return df.select(*[c for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
+
+
 def clean_facts(df: DataFrame, low=DEFAULTS.clean_from, high=DEFAULTS.clean_to) -> DataFrame:
     """Strict cleaning: month number and date of every row, then a closed date range.
 
     An unknown month fails the job. The check covers rows outside the range as well, hence no filter comes first.
     """
     require_columns(df, ["ciclo", "mes"])
-    dated = df.withColumn("mes_num", month_number("mes", on_unmapped="raise")).withColumn(
-        "fecha", month_date("ciclo", "mes_num"))
+    numbered = df.withColumn("mes_num", month_number("mes", on_unmapped="raise"))
+    dated = _computed_once(numbered, "fecha", month_date("ciclo", "mes_num"))
     return dated.where(F.col("fecha").between(F.lit(low), F.lit(high)))
 
 
@@ -47,7 +56,7 @@ def prepare_facts(df: DataFrame, required: Sequence[str] = (), year: str = "cicl
     if years:
         df = df.where(F.col(year).between(*years))
     number_of = F.col("mes_num") if "mes_num" in df.columns else month_number(month)
-    dated = df.withColumn("mes_num", number_of).withColumn("fecha", month_date(year, "mes_num", strict=False))
+    dated = _computed_once(df.withColumn("mes_num", number_of), "fecha", month_date(year, "mes_num", strict=False))
     return coerce_numeric(dated.where(F.col("fecha").isNotNull()), measure).withColumn(
         "sexenio", label_era("fecha", cutoff, before, after))
 
