@@ -245,8 +245,7 @@ _FEATURE_COLS = "fecha, subtema, sector, sexenio, mes"
   FROM features""")
 def panel_features(spark, d):
     rows = P.panel_features(facts(spark, d), KEYS, cutoff=LINEITEM_CUTOFF, before="before", after="after")
-    return rounded(rows.withColumn("monto", F.round("monto", 4).cast("decimal(28,4)"))).withColumn(
-        "monto", F.col("monto").cast("double"))
+    return rounded(rows.withColumn("monto", F.round("monto", 4)))
 
 
 @query("quantile_cutoff", """WITH p AS (SELECT date_trunc('month', l_shipdate)::DATE AS fecha FROM lineitem),
