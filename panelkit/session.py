@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "panelkit") -> SparkSession:
     """Session for tests and the benchmark; on a cluster use the session the cluster gives."""
@@ -25,6 +30,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application; they may start anywhere, without the driver's path."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    target = Path(tempfile.mkdtemp(prefix="panelkit-package-")) / "panelkit.zip"  # read by the driver only, which serves it
+    target.write_bytes(packed.getvalue())
+    spark.sparkContext.addPyFile(str(target))
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Folder for reliable checkpoints: the configured shared one, a temporary one only in local mode."""
     sc = spark.sparkContext
