@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import bpe
+from panelkit.llm import bpe, pii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +37,25 @@ def op1_byte_bpe(spark, d, vocabulary: str | None = None):
     ids = F.array_join(F.col("c.ids").cast("array<string>"), ",")
     return coded.select("doc_id", F.size("c.ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
                         F.sha2("c.decoded", 256).alias("decoded_sha256"))
+
+
+def joined_spans(spans, kinds=None):
+    """kind:start:end of spans in their order, comma-joined."""
+    kept = F.filter(spans, lambda s: s["kind"].isin(*kinds)) if kinds else spans
+    return F.array_join(F.transform(kept, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def count_kind(spans, kind):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def sha256(text):
+    return F.sha2(text.cast("binary"), 256)
+
+
+@query("op2_pii_anchors")
+def op2_pii_anchors(spark, d):
+    found = table(spark, d, "documents").select("doc_id", pii.pii_spans("text").alias("s"))
+    s = F.col("s")
+    return found.select("doc_id", *[count_kind(s, k) for k in pii.BASE], sha256(joined_spans(s, pii.BASE)).alias("base_sha256"),
+                        joined_spans(s).alias("spans"))
