@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import bpe, chat, pii, quality, secrets, superminhash
+from panelkit.llm import bpe, chat, pii, quality, secrets, sharding, superminhash, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,3 +122,38 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS co
 @query("op8_minhash_near_dedup", OP8_SQL)
 def op8_minhash_near_dedup(spark, d):
     return superminhash.near_duplicates(table(spark, d, "documents"), width=3, percent=85)
+
+
+OP3_SQL = """WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, r.component_id, e.vec_id = r.component_id AS kept FROM embeddings e
+LEFT JOIN n ON n.a = e.vec_id JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = e.vec_id"""
+
+
+@query("op3_embedding_near_dedup", OP3_SQL)
+def op3_embedding_near_dedup(spark, d):
+    return vectors.near_duplicates(table(spark, d, "embeddings"))
+
+
+def shard_sql(limit: int, deepest: int = 24) -> str:
+    levels = " UNION ALL ".join(
+        f"SELECT doc_id, k, bytes, {depth} AS depth, bits >> {sharding.BITS - depth} AS prefix, sum(bytes) OVER w AS shard_bytes, count(*) OVER w AS shard_rows "
+        f"FROM h WINDOW w AS (PARTITION BY bits >> {sharding.BITS - depth})" for depth in range(deepest + 1))
+    return f"""WITH h AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS k, coalesce(strlen(text), 0) AS bytes,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS bits FROM documents),
+  l AS ({levels})
+  SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE right(repeat('0', 64) || bin(prefix), depth) END AS shard, depth::INT AS depth, bytes AS row_bytes,
+    shard_bytes::BIGINT AS shard_bytes, shard_rows::BIGINT AS shard_rows
+  FROM l WHERE shard_bytes <= {limit} QUALIFY row_number() OVER (PARTITION BY k ORDER BY depth) = 1"""
+
+
+@query("op6_sharding", shard_sql(sharding.SHARD_BYTES))
+def op6_sharding(spark, d, limit: int = sharding.SHARD_BYTES):
+    out = sharding.assign_shards(table(spark, d, "documents").select("doc_id", "text"), limit=limit)
+    s = F.col("shard")
+    return out.select("doc_id", s["name"].alias("shard"), s["depth"].alias("depth"), s["row_bytes"].alias("row_bytes"), s["shard_bytes"].alias("shard_bytes"),
+                      s["shard_rows"].alias("shard_rows"))
