@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import bpe, chat, pii, quality, secrets, sharding, superminhash, vectors
+from panelkit.llm import bpe, chat, lm, pii, quality, secrets, sharding, superminhash, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -157,3 +157,8 @@ def op6_sharding(spark, d, limit: int = sharding.SHARD_BYTES):
     s = F.col("shard")
     return out.select("doc_id", s["name"].alias("shard"), s["depth"].alias("depth"), s["row_bytes"].alias("row_bytes"), s["shard_bytes"].alias("shard_bytes"),
                       s["shard_rows"].alias("shard_rows"))
+
+
+@query("op4_lm_scoring")
+def op4_lm_scoring(spark, d):
+    return lm.score_documents(table(spark, d, "documents"))
