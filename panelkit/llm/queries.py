@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import bpe, chat, lm, pii, quality, secrets, sharding, superminhash, vectors
+from panelkit.llm import bpe, chat, lm, mixing, pii, quality, secrets, sharding, superminhash, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -162,3 +162,8 @@ def op6_sharding(spark, d, limit: int = sharding.SHARD_BYTES):
 @query("op4_lm_scoring")
 def op4_lm_scoring(spark, d):
     return lm.score_documents(table(spark, d, "documents"))
+
+
+@query("op5_mixing")
+def op5_mixing(spark, d):
+    return mixing.taken_words(table(spark, d, "documents"))
