@@ -121,7 +121,8 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS co
 
 @query("op8_minhash_near_dedup", OP8_SQL)
 def op8_minhash_near_dedup(spark, d):
-    return superminhash.near_duplicates(table(spark, d, "documents"), width=3, percent=85)
+    found = superminhash.near_duplicates(table(spark, d, "documents"), width=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 OP3_SQL = """WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings

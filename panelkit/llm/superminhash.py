@@ -174,13 +174,14 @@ def _ordered(a: str, b: str) -> list[Column]:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, text_md5, group (null without shingles).
 
     Two texts are linked if 100 * common shingles >= ``percent`` * all shingles of both. ``component_id`` is the smallest id
     reachable over links.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = materialize(docs.select("doc_id", profile("text", width).alias("p")).select("doc_id", "p.*"))
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5")
+    rows = materialize(docs.select("doc_id", digest, profile("text", width).alias("p")).select("doc_id", "text_md5", "p.*"))
     nodes = materialize(rows.where("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("signature").alias("signature")))
 
@@ -218,10 +219,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     named = nodes.select("node", "doc_id").join(groups, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id")).select(shuffled_again("component").alias("c2"), "component_id")
-    named = materialize(named.join(least.hint("merge"), F.col("component") == F.col("c2")).select(F.col("node").alias("named"), "component_id"))
-    out = rows.select("doc_id", "n_shingles", "node").join(named.hint("merge"), F.col("node") == F.col("named"), "left")
+    named = materialize(named.join(least.hint("merge"), F.col("component") == F.col("c2")).select(F.col("node").alias("named"), "component_id", F.col("component").alias("group")))
+    out = rows.select("doc_id", "n_shingles", "text_md5", "node").join(named.hint("merge"), F.col("node") == F.col("named"), "left")
     component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+                      "text_md5", "group")
 
 
 def _hubs(rest: DataFrame) -> DataFrame:
