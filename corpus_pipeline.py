@@ -7,6 +7,7 @@ Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kep
 from __future__ import annotations
 
 import uuid
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -64,12 +65,23 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
                         (F.col("c.decoded") == bytes_).alias("restored"))
 
 
+def shipped(stage):
+    """The stage, with this package on its Python workers."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality_rules", keep_good),
-    ("near_duplicates", keep_one_of_each_group),
-    ("secrets", hide_secrets),
-    ("mixing", mix_sources),
-    ("encoding", encode_texts),
+    ("quality_rules", shipped(keep_good)),
+    ("near_duplicates", shipped(keep_one_of_each_group)),
+    ("secrets", shipped(hide_secrets)),
+    ("mixing", shipped(mix_sources)),
+    ("encoding", shipped(encode_texts)),
 ]
 
 ORACLE_SQL = None
@@ -77,7 +89,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the last stage over ``documents``."""
-    ship_package(spark)
     base = f"{checkpoint_dir(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for place, (name, stage) in enumerate(STAGES):
