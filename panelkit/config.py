@@ -50,7 +50,7 @@ class Defaults:
     first_year_ranges: tuple = FIRST_YEAR_RANGES
     seed: int = 42
     scatter_cap: int = 1_200
-    silhouette_cap: int = 20_000
+    sample_rows: int = 20_000
     top_values: int = 10
     top_sectors: int = 5
     fdr_alpha: float = 0.05
@@ -68,7 +68,6 @@ class Defaults:
     min_df: int = 5
     max_features: int = 5_000
     cloud_words: int = 300
-    cloud_words_plain: int = 250
     text_columns: tuple = TEXT_COLUMNS
     stopwords: frozenset = field(default=STOPWORDS_ES | STOPWORDS_FISCAL)
 

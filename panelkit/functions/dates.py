@@ -105,24 +105,30 @@ def between_dates(df: DataFrame, column: str, low, high) -> DataFrame:
 
 
 def _parse(c: Column, patterns: Sequence[str]) -> Column:
-    return F.coalesce(*[F.try_to_date(c, p) for p in patterns])
+    """Date by the first pattern that fits; a time of day after a space or ``T`` is left out."""
+    day = F.regexp_replace(F.trim(c), "[ T].*$", "")
+    return F.coalesce(*[F.try_to_date(day, p) for p in patterns])
 
 
 def resolve_date(df: DataFrame, out: str = "fecha", year: str = "ciclo", month: str = "mes",
                  month_num: str = "mes_num", period: str = "periodo_inicio", max_null: float = 0.2,
-                 formats: Sequence[str] = ("yyyy-MM-dd", "MM/dd/yyyy"),
-                 day_first: Sequence[str] = ("dd/MM/yyyy", "dd-MM-yyyy")) -> DataFrame:
+                 formats: Sequence[str] = ("yyyy-M-d", "yyyy/M/d", "M/d/yyyy"),
+                 day_first: Sequence[str] = ("yyyy-M-d", "yyyy/M/d", "d/M/yyyy", "d-M-yyyy")) -> DataFrame:
     """Month start from whatever date columns exist; rows without one are dropped.
 
-    An existing text ``out`` column is parsed month-first; when more than ``max_null`` of all rows fail, it is
-    parsed day-first from the original text instead. Otherwise year + month, otherwise ``YYYY-MM`` text.
+    An existing text ``out`` column is parsed month-first; when more than ``max_null`` of all rows fail, dates with
+    slashes or dashes are read day-first instead, and what only the first reading understands keeps it. When no row can
+    be read the query fails. Otherwise year + month, otherwise ``YYYY-MM`` text.
     """
     columns = set(df.columns)
     if out in columns:
         if dict(df.dtypes)[out] == "string":
             first = _parse(F.col(out), formats)
+            second = F.coalesce(_parse(F.col(out), day_first), first)
             failed = df.agg(F.avg(first.isNull().cast("double"))).scalar()
-            parsed = F.when(failed > max_null, _parse(F.col(out), day_first)).otherwise(first)
+            lost = df.agg(F.avg(second.isNull().cast("double"))).scalar()
+            parsed = (F.when(lost == 1, F.raise_error(F.lit(f"no date of column {out} can be read")).cast("date"))
+                      .when(failed > max_null, second).otherwise(first))
         else:
             parsed = F.col(out).cast("date")
     elif year in columns and month_num in columns:

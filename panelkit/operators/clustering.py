@@ -8,7 +8,6 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -83,16 +82,36 @@ def silhouette_points(df: DataFrame, key: str = "id", x: str = "x", cluster: str
 
 
 def silhouette(df: DataFrame, key: str = "id", x: str = "x", cluster: str = "cluster",
-               max_rows: int | None = DEFAULTS.silhouette_cap, seed: int = DEFAULTS.seed) -> DataFrame:
-    """Mean silhouette on a sample of at most ``max_rows`` rows (all rows with None); null for a single cluster."""
+               max_rows: int | None = None, seed: int = DEFAULTS.seed) -> DataFrame:
+    """Mean silhouette with Euclidean distance; null for a single cluster.
+
+    It compares all pairs. ``max_rows`` asks for a sample of that many rows; ``silhouette_linear`` takes all rows in linear time.
+    """
     rows = sample_cap(df, [key], max_rows, seed) if max_rows else df
     return silhouette_points(rows, key, x, cluster).agg(F.avg("silhouette").alias("silhouette"))
 
 
-def silhouette_squared(df: DataFrame, features: str = "features", cluster: str = "cluster") -> float:
-    """Linear-time silhouette with squared Euclidean distance over all rows."""
-    return ClusteringEvaluator(featuresCol=features, predictionCol=cluster).evaluate(df.withColumn(
-        cluster, F.col(cluster).cast("double")))
+def silhouette_linear(df: DataFrame, x: str = "x", cluster: str = "cluster") -> DataFrame:
+    """Mean silhouette with squared Euclidean distance over all rows, in linear time; null for a single cluster.
+
+    The mean squared distance of a point to a cluster follows from the cluster's size, centre and mean squared length.
+    One row per cluster travels with every row, as in an assignment to centres.
+    """
+    rows = df.select(F.col(x).alias("x"), F.col(cluster).alias("cluster"))
+    square = F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)
+    lengths = rows.groupBy("cluster").agg(F.avg(square).alias("q"))
+    parts = cluster_spreads(rows, "x", "cluster").join(lengths, "cluster")
+    packed = parts.agg(F.collect_list(F.struct("cluster", F.col("n").cast("double").alias("n"), "centre", "q"))).scalar()
+    dot = lambda c: F.aggregate(F.zip_with("x", c, lambda u, v: u * v), F.lit(0.0), lambda a, v: a + v)
+    scored = rows.withColumn("__all", packed).withColumn("__q", square)
+    mean = F.transform("__all", lambda s: F.struct(
+        (s["cluster"] == F.col("cluster")).alias("own"), s["n"].alias("n"), F.greatest(F.col("__q") + s["q"] - 2 * dot(s["centre"]), F.lit(0.0)).alias("d")))
+    scored = scored.select(mean.alias("m"))
+    own = F.get(F.filter("m", lambda s: s["own"]), F.lit(0))
+    scored = scored.select(own.alias("o"), F.array_min(F.transform(F.filter("m", lambda s: ~s["own"]), lambda s: s["d"])).alias("b"))
+    a = F.col("o.d") * F.col("o.n") / F.nullif(F.col("o.n") - 1, F.lit(0.0))
+    value = F.when(a.isNull(), 0.0).otherwise(F.coalesce(ratio(F.col("b") - a, F.greatest(F.col("b"), a)), F.lit(0.0)))
+    return scored.agg(F.avg(F.when(F.col("b").isNotNull(), value)).alias("silhouette"))
 
 
 def cluster_spreads(df: DataFrame, x: str, cluster: str) -> DataFrame:
@@ -174,8 +193,8 @@ def v_measure(df: DataFrame, truth: str, cluster: str) -> DataFrame:
 def _expected_mutual(rows: Sequence[tuple[float, int]], cols: Sequence[tuple[float, int]], n: float) -> float:
     """Expected mutual information of random partitions with these (size, multiplicity) margins.
 
-    The overlap of two sets is hypergeometric. Only overlaps within 40 standard deviations of the mean are summed;
-    all others together weigh less than the rounding error.
+    The overlap of two sets is hypergeometric. Overlaps more than 40 standard deviations (and 40) from the mean are left out:
+    by Chebyshev's and Hoeffding's bounds all of them together weigh less than the rounding error of the sum.
     """
     lg = np.vectorize(math.lgamma, otypes=[float])
     total = 0.0
@@ -215,15 +234,18 @@ def adjusted_mutual_info(df: DataFrame, truth: str, cluster: str) -> DataFrame:
 
 
 def kmeans_select(df: DataFrame, ks: Sequence[int] = DEFAULTS.cluster_k, key: str = "id", features: str = "features",
-                  seed: int = DEFAULTS.seed, max_rows: int | None = DEFAULTS.silhouette_cap) -> DataFrame:
-    """Inertia and silhouette for every number of clusters, with the best (first highest silhouette) marked."""
+                  seed: int = DEFAULTS.seed, max_rows: int | None = None) -> DataFrame:
+    """Inertia and silhouette for every number of clusters, with the best (first highest silhouette) marked.
+
+    The silhouette is the linear one over all rows; with ``max_rows`` the Euclidean one on one sample of that many rows.
+    """
     rows = df.select(key, features).persist()
     try:
         table = []
         for k in ks:
             model = kmeans_fit(rows, k, features, seed)
             scored = assign(rows, model).withColumn("x", vector_to_array(features))
-            score = silhouette(scored, key, "x", "cluster", max_rows, seed).first()[0]
+            score = (silhouette(scored, key, "x", "cluster", max_rows, seed) if max_rows else silhouette_linear(scored)).first()[0]
             table.append((int(k), float(model.summary.trainingCost), score))
     finally:
         rows.unpersist()
@@ -234,11 +256,11 @@ def kmeans_select(df: DataFrame, ks: Sequence[int] = DEFAULTS.cluster_k, key: st
 
 
 def cluster_summary(parts: dict[str, DataFrame], truth: str, key: str = "id", x: str = "x", cluster: str = "cluster",
-                    max_rows: int | None = DEFAULTS.silhouette_cap) -> DataFrame:
-    """Internal and external quality of every named part, long form."""
+                    max_rows: int | None = None) -> DataFrame:
+    """Internal and external quality of every named part, long form; ``max_rows`` as in ``kmeans_select``."""
     out = None
     for name, df in parts.items():
-        tables = [silhouette(df, key, x, cluster, max_rows), calinski_harabasz(df, x, cluster), davies_bouldin(df, x, cluster),
+        tables = [silhouette(df, key, x, cluster, max_rows) if max_rows else silhouette_linear(df, x, cluster), calinski_harabasz(df, x, cluster), davies_bouldin(df, x, cluster),
                   adjusted_rand(df, truth, cluster), adjusted_mutual_info(df, truth, cluster),
                   v_measure(df, truth, cluster).select("v_measure")]
         for t in tables:
@@ -252,8 +274,13 @@ def pca_2d(train: DataFrame, apply_to: DataFrame | None = None, features: str =
     """Coordinates on the first components of ``train`` with the share of variance they explain.
 
     Data is centred first. The sign of a component makes its largest loading positive. ``apply_to`` defaults to
-    ``train``; pass another table to see it on the same axes.
+    ``train``; pass another table to see it on the same axes. Vectors of ``k`` values or fewer come back as they are.
     """
+    width = train.select(F.size(vector_to_array(features))).first()
+    if width is None or width[0] <= k:  # nothing to reduce: the columns as they are
+        out = train if apply_to is None else apply_to
+        own = {f"pc{j + 1}": F.get(vector_to_array(features), F.lit(j)) for j in range(k)}
+        return out.withColumns(own).withColumn("explained", F.lit(1.0))
     centre = StandardScaler(inputCol=features, outputCol="__centred", withMean=True, withStd=False).fit(train)
     model = PCA(k=k, inputCol="__centred", outputCol="__pc").fit(centre.transform(train))
     load = model.pc.toArray()

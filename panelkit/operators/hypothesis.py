@@ -154,6 +154,8 @@ def anova_two_way(df: DataFrame, y: str, a: str, b: str, p_value: bool = True) -
         found = margins.groupBy("level").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("m2").alias("m2"),
                                              F.sum(F.col("s") * F.col("s") / F.col("n")).alias("ss"))
         by_level = {r["level"]: r for r in found.collect()}
+        if not by_level.get(0):
+            return spark.createDataFrame([], "term string, sum_sq double, df double, F double, eta_sq_partial double" + ", `PR(>F)` double" * p_value)
         n, residual, n_cells = by_level[0]["n"], by_level[0]["m2"], by_level[0]["k"]
         k_a, k_b = by_level[1]["k"], by_level[2]["k"]
         ss_a, ss_b, ss_cells = by_level[1]["ss"], by_level[2]["ss"], by_level[0]["ss"]

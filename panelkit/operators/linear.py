@@ -31,19 +31,19 @@ class Gram:
 
 
 def gram(df: DataFrame, xs: Sequence[Column], y: Column) -> Gram:
-    """Cross products of the columns ``xs`` and ``y`` over all rows."""
+    """Cross products of the columns ``xs`` and ``y`` over all complete rows: one with a null or NaN in any of them is left out."""
     p = len(xs)
     cells = [*xs, y]
     full = np.zeros((p + 1, p + 1))
+    named = df.select(*[c.cast("double").alias(f"v{i}") for i, c in enumerate(cells)]).dropna()
     if p <= WIDE:
-        named = df.select(*[c.cast("double").alias(f"v{i}") for i, c in enumerate(cells)])
         pairs = [(i, j) for i in range(p + 1) for j in range(i, p + 1)]
         row = named.agg(F.count(F.lit(1)), *[F.sum(F.col(f"v{i}") * F.col(f"v{j}")) for i, j in pairs]).first()
         n = row[0]
         for (i, j), v in zip(pairs, row[1:]):
             full[i, j] = full[j, i] = v if v is not None else 0.0
     else:
-        packed = df.select(F.array(*[c.cast("double") for c in cells]).alias("v"))
+        packed = named.select(F.array(*named.columns).alias("v"))
 
         def partial(batches):
             total, seen = np.zeros((p + 1, p + 1)), 0
@@ -134,8 +134,13 @@ class LinearModel:
         return sum((c * F.lit(float(b)) for (_, c), b in zip(self.design.terms(), self.coef)), F.lit(0.0))
 
 
+def complete_rows(df: DataFrame, target: str, design: Design) -> DataFrame:
+    return df.dropna(subset=[target, *design.numeric, *[f for f, _ in design.factors]])
+
+
 def ols(df: DataFrame, target: str, design: Design, cov: str | None = "HC3") -> LinearModel:
-    """Least squares; ``cov='HC3'`` adds the heteroskedasticity-robust covariance in a second pass."""
+    """Least squares over complete rows; ``cov='HC3'`` adds the heteroskedasticity-robust covariance in a second pass."""
+    df = complete_rows(df, target, design)
     xs = [c for _, c in design.terms()]
     y, p = F.col(target).cast("double"), len(xs)
     move, shift = np.eye(p), 0.0
@@ -213,7 +218,7 @@ def fit_metrics(spark, model: LinearModel) -> DataFrame:
 def fit_diagnostics(df: DataFrame, model: LinearModel, order: Sequence[str]) -> DataFrame:
     """Numbers of a regression summary, one row per measure. ``order`` fixes the row order of Durbin-Watson."""
     spark, n, p = df.sparkSession, model.n, len(model.coef)
-    e = residuals(predict(df, model), model.target, out="__e").select(*order, "__e")
+    e = residuals(predict(complete_rows(df, model.target, model.design), model), model.target, out="__e").select(*order, "__e")
     chained = running(e, order, {"__prev": Running("__e", "last", inclusive=False)})
     step = F.col("__e") - F.col("__prev")
     row = chained.agg(F.avg("__e").alias("mean"), F.var_pop("__e").alias("var"), F.skewness("__e").alias("skew"),

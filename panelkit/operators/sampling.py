@@ -22,7 +22,7 @@ def sample_per_group(df: DataFrame, by: Sequence[str], key: Sequence[str], n: in
     return df.withColumn("__draw", F.row_number().over(order)).where(F.col("__draw") <= n).drop("__draw")
 
 
-def sample_cap(df: DataFrame, key: Sequence[str], max_n: int = DEFAULTS.silhouette_cap,
+def sample_cap(df: DataFrame, key: Sequence[str], max_n: int = DEFAULTS.sample_rows,
                seed: int = DEFAULTS.seed) -> DataFrame:
     """At most ``max_n`` rows without replacement."""
     return df.orderBy(_draw(key, seed), *key).limit(max_n)

@@ -53,7 +53,7 @@ def one_hot(spark, d):
     rows = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", F.lit(0.0).alias("zero"))
     known = rows.where((F.col("c_nationkey") < 20) & (F.col("c_mktsegment") != "MACHINERY"))
     coded = Preprocessor(["zero"], ["c_mktsegment"]).fit(known).transform(rows)
-    slots = F.transform(F.slice(vector_to_array("features"), 2, 1000), lambda v: v.cast("int").cast("string"))
+    slots = F.transform(F.slice(vector_to_array("features"), F.lit(2), F.size(vector_to_array("features")) - 1), lambda v: v.cast("int").cast("string"))
     return coded.select("c_custkey", F.array_join(slots, ",").alias("code"))
 
 
@@ -187,6 +187,14 @@ def silhouette(spark, d):
     return rounded(C.silhouette(_points(spark, d), "vec_id", "x", "label"))
 
 
+@query("silhouette_linear", f"""WITH {E_SQL}, p AS (SELECT a.vec_id AS id, a.label AS own, b.label AS other, sum(list_distance(a.x, b.x) ** 2) AS s, count(*) AS n
+    FROM e a, e b GROUP BY ALL),
+  m AS (SELECT id, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b FROM p GROUP BY id)
+  SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM m""")
+def silhouette_linear(spark, d):
+    return rounded(C.silhouette_linear(_points(spark, d), "x", "label"))
+
+
 @query("calinski_harabasz", f"""WITH {CENTRE_SQL}, g AS (SELECT j, avg(v) AS g FROM u GROUP BY 1),
   b AS (SELECT sum(n * (m - g) ** 2) AS b FROM dims JOIN g USING (j)), t AS (SELECT sum(n) AS n, count(*) AS k, sum(within) AS w FROM centre)
   SELECT round(b * (n - k) / (w * (k - 1)), 6) AS calinski_harabasz FROM b, t""")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote, urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +13,7 @@ from panelkit.functions.scalars import number
 from panelkit.functions.textnorm import slug
 
 FACT_TYPES = {"ciclo": T.IntegerType(), "mes": T.StringType(), "monto": T.DoubleType()}
+SLICE_FILES = 8
 REPLACEMENT = "\ufffd"  # what the reader puts for bytes it cannot decode
 
 
@@ -27,31 +29,55 @@ def probe_columns(spark: SparkSession, path: str) -> int:
     return len(spark.read.option("header", True).csv(path).columns)
 
 
-def _csv(spark: SparkSession, path, encoding: str) -> DataFrame:
+def _csv(spark: SparkSession, path, encoding: str, multi_line: bool) -> DataFrame:
     return (
-        spark.read.option("header", True).option("encoding", encoding)
-        .option("quote", '"').option("escape", '"').csv(path)
+        spark.read.option("header", True).option("encoding", encoding).option("multiLine", multi_line)
+        .option("mode", "FAILFAST").option("quote", '"').option("escape", '"').csv(path)
     )
 
 
+def _undecoded(probe: DataFrame) -> list[str]:
+    """Files with bytes that the encoding of ``probe`` has no character for."""
+    text = F.concat_ws("", *[F.col(f"`{c}`") for c in probe.columns])
+    return [r[0] for r in probe.where(F.instr(text, REPLACEMENT) > 0).select(F.input_file_name()).distinct().collect()]
+
+
+def _decoded(spark: SparkSession, path, encodings: Sequence[str], multi_line: bool) -> DataFrame:
+    """Every file in the first encoding that decodes all of it; the last one takes the rest."""
+    todo, parts = path, []
+    for encoding in encodings[:-1]:
+        probe = _csv(spark, todo, encoding, multi_line)
+        if any(REPLACEMENT in c for c in probe.columns):
+            continue
+        failed = {unquote(urlparse(f).path) for f in _undecoded(probe)}
+        if not failed:
+            return _union(parts + [probe])
+        good = [f for f in probe.inputFiles() if unquote(urlparse(f).path) not in failed]
+        if good:
+            parts.append(_csv(spark, good, encoding, multi_line))
+        todo = [f for f in probe.inputFiles() if f not in good]
+    return _union(parts + [_csv(spark, todo, encodings[-1], multi_line)])
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def read_facts(spark: SparkSession, path, schema: T.StructType | None = None,
-               encodings: Sequence[str] = ("UTF-8", "ISO-8859-1"), measure: str = "monto") -> DataFrame:
+               encodings: Sequence[str] = ("UTF-8", "ISO-8859-1"), multi_line: bool = True) -> DataFrame:
     """Scan a fact table from parquet, or from CSV with a header.
 
-    CSV columns are text except the ones in ``FACT_TYPES`` or ``schema``. The first encoding that decodes every
-    line wins, found by one pass per encoding; name a single one to skip that.
+    CSV columns are text except the ones in ``FACT_TYPES`` or ``schema``. Each file is read in the first encoding that
+    decodes all of it, found by one pass per encoding; name a single one to skip that. Quoted line breaks belong to their
+    field; ``multi_line=False`` gives that up and lets large files be split. A row with too few or too many fields fails.
     """
     first = path if isinstance(path, str) else path[0]
     if first.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(*([path] if isinstance(path, str) else path))
-    chosen = encodings[-1]
-    for encoding in encodings[:-1]:
-        probe = _csv(spark, path, encoding)
-        text = F.concat_ws("", *[F.col(f"`{c}`") for c in probe.columns])
-        if not any(REPLACEMENT in c for c in probe.columns) and probe.where(F.instr(text, REPLACEMENT) > 0).isEmpty():
-            chosen = encoding
-            break
-    df = _csv(spark, path, chosen)
+    df = _decoded(spark, path, encodings, multi_line)
     types = {f.name: f.dataType for f in schema} if schema else FACT_TYPES
     out = []
     for name in df.columns:
@@ -68,7 +94,7 @@ def read_facts(spark: SparkSession, path, schema: T.StructType | None = None,
 def write_table(df: DataFrame, path: str, single_file: bool = False, fmt: str = "csv", mode: str = "overwrite",
                 partition_by: Sequence[str] = ()) -> None:
     """Write with a header. ``single_file`` is for small result tables only."""
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df  # only the last step runs in one task
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -83,6 +109,15 @@ def _save(writer, path: str, fmt: str) -> None:
 
 
 def write_slices(df: DataFrame, by: str, path: str, mode: str = "overwrite", fmt: str = "csv") -> None:
-    """One folder per value of ``by``, named by its slug, in one job."""
-    writer = df.withColumn("slice", slug(by)).write.mode(mode).partitionBy("slice")
+    """One folder per value of ``by``, named by its slug; values that share one get a part of their digest as well.
+
+    Rows are dealt by slice and a number below ``SLICE_FILES``, so that a slice has that many files at most.
+    """
+    values = df.select(F.col(by).alias("__value"), slug(by).alias("slice")).distinct()
+    shared = F.count(F.lit(1)).over(Window.partitionBy("slice")) > 1
+    named = values.select("__value", F.when(shared, F.concat_ws("_", "slice", F.substring(F.md5(F.col("__value").cast("string").cast("binary")), 1, 8)))
+                          .otherwise(F.col("slice")).alias("slice"))
+    rows = df.join(named, F.col(by).eqNullSafe(F.col("__value"))).drop("__value")
+    dealt = rows.repartition("slice", (F.rand(0) * SLICE_FILES).cast("int"))
+    writer = dealt.write.mode(mode).partitionBy("slice")
     _save(writer, path, fmt)
