@@ -30,12 +30,17 @@ class Gram:
     yty: float
 
 
-def gram(df: DataFrame, xs: Sequence[Column], y: Column) -> Gram:
-    """Cross products of the columns ``xs`` and ``y`` over all complete rows: one with a null or NaN in any of them is left out."""
+def gram(df: DataFrame, xs: Sequence[Column], y: Column, complete: bool = False) -> Gram:
+    """Cross products of the columns ``xs`` and ``y`` over all complete rows: one with a null or NaN in any of them is left out.
+
+    ``complete`` says that the caller has left such rows out; a null that a column then computes adds nothing to its sums.
+    """
     p = len(xs)
     cells = [*xs, y]
     full = np.zeros((p + 1, p + 1))
-    named = df.select(*[c.cast("double").alias(f"v{i}") for i, c in enumerate(cells)]).dropna()
+    named = df.select(*[c.cast("double").alias(f"v{i}") for i, c in enumerate(cells)])
+    if not complete:
+        named = named.dropna()
     if p <= WIDE:
         pairs = [(i, j) for i in range(p + 1) for j in range(i, p + 1)]
         row = named.agg(F.count(F.lit(1)), *[F.sum(F.col(f"v{i}") * F.col(f"v{j}")) for i, j in pairs]).first()
@@ -49,7 +54,7 @@ def gram(df: DataFrame, xs: Sequence[Column], y: Column) -> Gram:
             total, seen = np.zeros((p + 1, p + 1)), 0
             for frame in batches:
                 if len(frame):
-                    block = np.stack(frame["v"].to_numpy())
+                    block = np.nan_to_num(np.stack(frame["v"].to_numpy()).astype(float))
                     total += block.T @ block
                     seen += len(block)
             if seen:
@@ -149,9 +154,9 @@ def ols(df: DataFrame, target: str, design: Design, cov: str | None = "HC3") ->
         means = df.agg(*[F.avg(c) for c in xs[1:]], F.avg(y)).first()
         shift, centre = means[-1] or 0.0, [m or 0.0 for m in means[:-1]]
         move[0, 1:] = [-m for m in centre]
-        g = gram(df, [xs[0], *[c - F.lit(float(m)) for c, m in zip(xs[1:], centre)]], y - F.lit(float(shift)))
+        g = gram(df, [xs[0], *[c - F.lit(float(m)) for c, m in zip(xs[1:], centre)]], y - F.lit(float(shift)), complete=True)
     else:
-        g = gram(df, xs, y)
+        g = gram(df, xs, y, complete=True)
     scale = np.sqrt(np.where(np.diag(g.xtx) > 0, np.diag(g.xtx), 1.0))
     unit = g.xtx / np.outer(scale, scale)
     solved = np.linalg.pinv(unit, hermitian=True) / np.outer(scale, scale)
@@ -171,7 +176,7 @@ def ols(df: DataFrame, target: str, design: Design, cov: str | None = "HC3") ->
     lever = sum((F.col(f"x{i}") * F.col(f"x{j}") * F.lit(float(inverse[i, j]) * (1 if i == j else 2))
                  for i in range(p) for j in range(i, p)), F.lit(0.0))
     scaled = scored.withColumn("w", ratio("e", 1 - lever))
-    meat = gram(scaled, [F.col(f"x{i}") * F.col("w") for i in range(p)], F.col("e"))
+    meat = gram(scaled, [F.col(f"x{i}") * F.col("w") for i in range(p)], F.col("e"), complete=True)
     return replace(model, rss=meat.yty, cov=inverse @ meat.xtx @ inverse)
 
 

@@ -1,4 +1,4 @@
-"""Repeatable samples: rows are ordered by a hash of their key, so partitioning does not matter."""
+"""Repeatable samples: rows are ordered by a digest of their key, which any engine can compute, so partitioning does not matter."""
 
 from __future__ import annotations
 
@@ -12,20 +12,20 @@ from panelkit.config import DEFAULTS
 
 
 def _draw(key: Sequence[str], seed: int):
-    return F.xxhash64(F.lit(seed), *[F.col(k) for k in key])
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]).cast("binary"))
 
 
 def sample_per_group(df: DataFrame, by: Sequence[str], key: Sequence[str], n: int = DEFAULTS.scatter_cap,
-                     seed: int = DEFAULTS.seed) -> DataFrame:
-    """Up to ``n`` rows of every group."""
-    order = W.partitionBy(*by).orderBy(_draw(key, seed), *key)
+                     seed: int = DEFAULTS.seed, ties: Sequence[str] = ()) -> DataFrame:
+    """Up to ``n`` rows of every group; ``ties`` orders rows of one key."""
+    order = W.partitionBy(*by).orderBy(_draw(key, seed), *key, *ties)
     return df.withColumn("__draw", F.row_number().over(order)).where(F.col("__draw") <= n).drop("__draw")
 
 
 def sample_cap(df: DataFrame, key: Sequence[str], max_n: int = DEFAULTS.sample_rows,
-               seed: int = DEFAULTS.seed) -> DataFrame:
-    """At most ``max_n`` rows without replacement."""
-    return df.orderBy(_draw(key, seed), *key).limit(max_n)
+               seed: int = DEFAULTS.seed, ties: Sequence[str] = ()) -> DataFrame:
+    """At most ``max_n`` rows without replacement; ``ties`` orders rows of one key."""
+    return df.orderBy(_draw(key, seed), *key, *ties).limit(max_n)
 
 
 def preview(df: DataFrame, order: Sequence[str], n: int = 6) -> DataFrame:

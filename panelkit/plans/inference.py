@@ -168,11 +168,11 @@ def corr_spearman(spark, d):
     rank() OVER (ORDER BY l_discount) + (count(*) OVER (PARTITION BY l_discount) - 1) / 2.0::DOUBLE AS d FROM lineitem),
   o AS (SELECT 'l_quantity' AS a, 'l_extendedprice' AS b, corr(q, e) AS r FROM k UNION ALL SELECT 'l_quantity', 'l_discount', corr(q, d) FROM k
     UNION ALL SELECT 'l_extendedprice', 'l_discount', corr(e, d) FROM k)
-  SELECT a, b, round(r, 6) AS r FROM o""")
+  SELECT a, b, round(r, 6) AS r FROM o UNION ALL SELECT b, a, round(r, 6) FROM o
+  UNION ALL SELECT c, c, 1.0::DOUBLE FROM (VALUES ('l_quantity'), ('l_extendedprice'), ('l_discount')) t(c)""")
 def corr_spearman_rows(spark, d):
     cols = ["l_quantity", "l_extendedprice", "l_discount"]
-    return rounded(corr_matrix(table(spark, d, "lineitem"), cols, "spearman")).where(
-        (F.col("a") == "l_quantity") & (F.col("b") != "l_quantity") | (F.col("a") == "l_extendedprice") & (F.col("b") == "l_discount"))
+    return rounded(corr_matrix(table(spark, d, "lineitem"), cols, "spearman"))
 
 
 FACTORS, INTERACTIONS, NUMERIC = ["sexenio", "subtema"], [("sexenio", "subtema")], ["t", "sin12", "cos12", "lag1"]

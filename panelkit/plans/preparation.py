@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from panelkit.config import DEFAULTS
 from panelkit.functions import dates as D
 from panelkit.functions.scalars import asinh, number, sinh
 from panelkit.operators import panel as P
@@ -53,7 +54,11 @@ def month_start(spark, d):
 
 @query("resolve_date", """SELECT date_trunc('month', o_orderdate)::DATE AS fecha, count(*) AS n FROM orders GROUP BY 1""")
 def resolve_date(spark, d):
-    text = table(spark, d, "orders").select(F.date_format("o_orderdate", "dd/MM/yyyy").alias("fecha"))
+    # Day-first texts, padded or not, among ISO dates with and without a time.
+    form = lambda p: F.date_format("o_orderdate", p)
+    kind = F.col("o_orderkey") % 6
+    mixed = F.when(kind == 0, form("yyyy-MM-dd")).when(kind == 1, form("yyyy-MM-dd HH:mm:ss")).when(kind == 2, form("d/M/yyyy")).otherwise(form("dd/MM/yyyy"))
+    text = table(spark, d, "orders").select(mixed.alias("fecha"))
     return D.resolve_date(text).groupBy("fecha").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -139,20 +144,23 @@ def split_label(spark, d):
     return rows.groupBy(D.split_label("fecha", LINEITEM_HOLDOUT, last).alias("split")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("known_levels", """SELECT l_returnflag AS flag, count(*) AS n FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-10-01'
-    AND l_partkey IN (SELECT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01') GROUP BY 1""")
+LEVEL_CUT = "2001-06-01"
+
+
+@query("known_levels", f"""SELECT l_returnflag AS flag, count(*) AS n FROM lineitem WHERE l_shipdate < TIMESTAMP '{LEVEL_CUT}'
+    AND l_partkey IN (SELECT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '{LEVEL_CUT}') GROUP BY 1""")
 def known_levels(spark, d):
+    # The whole table, cut once: levels of the last months among the earlier rows.
     rows = table(spark, d, "lineitem")
-    early, late = rows.where(F.col("l_shipdate") < "1996-01-01"), rows.where(F.col("l_shipdate") >= "2001-10-01")
+    early, late = rows.where(F.col("l_shipdate") >= LEVEL_CUT), rows.where(F.col("l_shipdate") < LEVEL_CUT)
     return P.known_levels(late, early, "l_partkey").groupBy(F.col("l_returnflag").alias("flag")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("unseen_levels", """SELECT DISTINCT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-10-01'
-    AND l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01')""")
+@query("unseen_levels", f"""SELECT DISTINCT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '{LEVEL_CUT}'
+    AND l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '{LEVEL_CUT}')""")
 def unseen_levels(spark, d):
     rows = table(spark, d, "lineitem")
-    return P.unseen_levels(rows.where(F.col("l_shipdate") >= "1998-10-01"), rows.where(F.col("l_shipdate") < "1996-01-01"),
-                           "l_partkey")
+    return P.unseen_levels(rows.where(F.col("l_shipdate") < LEVEL_CUT), rows.where(F.col("l_shipdate") >= LEVEL_CUT), "l_partkey")
 
 
 @query("monthly_panel", f"""WITH {FACTS_SQL}, {panel_sql('subtema, sector')}
@@ -183,14 +191,16 @@ def lag1(spark, d):
     return rounded(P.add_lag(panel, "monto_asinh", ["subtema"]).drop("monto"))
 
 
-@query("calendar_lag", f"""WITH {ORDER_FACTS_SQL}, base AS (SELECT * FROM facts WHERE NOT (subtema = 'P' AND mes_num = 4)),
+@query("calendar_lag", f"""WITH {ORDER_FACTS_SQL}, base AS (SELECT * FROM facts UNION ALL SELECT * REPLACE ('gap' AS subtema) FROM facts WHERE subtema = 'P' AND mes_num <> 4),
   panel AS (SELECT fecha, subtema, asinh(sum(monto)) AS v FROM base GROUP BY ALL)
   SELECT a.fecha, a.subtema, {r('b.v')} AS lag1, {r('c.v')} AS lag12 FROM panel a
   LEFT JOIN panel b ON a.subtema = b.subtema AND b.fecha = (a.fecha - INTERVAL 1 MONTH)::DATE
   LEFT JOIN panel c ON a.subtema = c.subtema AND c.fecha = (a.fecha - INTERVAL 12 MONTH)::DATE""")
 def calendar_lag(spark, d):
-    # One series lacks every April, so positional and calendar lags differ.
-    rows = order_facts(spark, d).where(~((F.col("subtema") == "P") & (F.col("mes_num") == 4)))
+    # All series, and one once more without its Aprils, so that positional and calendar lags differ.
+    rows = order_facts(spark, d)
+    gap = rows.where((F.col("subtema") == "P") & (F.col("mes_num") != 4)).withColumn("subtema", F.lit("gap"))
+    rows = rows.unionByName(gap)
     panel = P.monthly_panel(rows, ["subtema"])
     for k in (1, 12):
         panel = P.calendar_lag(panel, "monto_asinh", ["subtema"], k=k)
@@ -275,15 +285,20 @@ def asinh_roundtrip(spark, d):
     return panel.select("fecha", "subtema", F.round("monto", 4).alias("monto"), back.alias("same"))
 
 
-@query("stratified_sample")
+SAMPLE_KEY, SAMPLE_TIES = ["l_orderkey", "l_linenumber", "l_partkey"], ["l_suppkey", "l_extendedprice", "l_shipdate"]
+SAMPLE_SQL = f"md5('{DEFAULTS.seed}|' || {" || '|' || ".join(SAMPLE_KEY)}), {', '.join(SAMPLE_KEY + SAMPLE_TIES)}"
+
+
+@query("stratified_sample", f"""SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_extendedprice FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY {SAMPLE_SQL}) <= {DEFAULTS.scatter_cap}""")
 def stratified_sample(spark, d):
-    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_extendedprice")
-    return sampling.sample_per_group(rows, ["l_returnflag"], ["l_orderkey", "l_linenumber", "l_partkey"])
+    sample = sampling.sample_per_group(table(spark, d, "lineitem"), ["l_returnflag"], SAMPLE_KEY, ties=SAMPLE_TIES)
+    return sample.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_extendedprice")
 
 
-@query("sample_cap")
+@query("sample_cap", f"SELECT * FROM lineitem ORDER BY {SAMPLE_SQL} LIMIT {DEFAULTS.sample_rows}")
 def sample_cap(spark, d):
-    return sampling.sample_cap(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"])
+    return sampling.sample_cap(table(spark, d, "lineitem"), SAMPLE_KEY, ties=SAMPLE_TIES)
 
 
 @query("sample_sizes", """SELECT l_returnflag, least(count(*), 1200) AS n FROM lineitem GROUP BY 1

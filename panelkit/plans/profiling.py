@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from panelkit.config import DEFAULTS
 from panelkit.functions.dates import month_start
 from panelkit.operators import charts, profile
 from panelkit.operators.panel import monthly_panel
@@ -17,11 +18,13 @@ def profile_shape(spark, d):
     return profile.profile_shape(table(spark, d, "lineitem"))
 
 
-@query("profile_nulls", """WITH t AS (SELECT d.doc_id, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
-  SELECT c AS "column", n AS n_null FROM (SELECT 'quality' AS c, count(*) - count(quality) AS n FROM t
-    UNION ALL SELECT 'toxic', count(*) - count(toxic) FROM t UNION ALL SELECT 'doc_id', count(*) - count(doc_id) FROM t) WHERE n > 0""")
+_NULLS = " UNION ALL ".join(f"SELECT '{c}' AS c, count(*) - count({c}) AS n FROM t" for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"))
+
+
+@query("profile_nulls", f"""WITH t AS (SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+  SELECT c AS "column", n AS n_null FROM ({_NULLS}) WHERE n > 0""")
 def profile_nulls(spark, d):
-    docs = table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left")
+    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
     return profile.profile_nulls(docs)
 
 
@@ -179,12 +182,21 @@ def chart_pie(spark, d):
     return rounded(charts.pie_by_era(_first_year(spark, d)), 4)
 
 
-@query("chart_scatter")
+_FIRST_YEAR_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS sexenio, l.* FROM lineitem l WHERE date_trunc('month', l_shipdate) BETWEEN DATE '{low}' AND DATE '{high}'" for name, low, high in LINEITEM_FIRST_YEARS)
+_LOWS_SQL = " ".join(f"WHEN '{name}' THEN DATE '{low}'" for name, low, _ in LINEITEM_FIRST_YEARS)
+
+
+@query("chart_scatter", f"""WITH f AS ({_FIRST_YEAR_SQL}) SELECT sexenio,
+    (date_diff('day', CASE sexenio {_LOWS_SQL} END, date_trunc('month', l_shipdate)::DATE) // 30 + 1)::INT AS mes_relativo,
+    l_orderkey, l_linenumber, l_extendedprice AS monto FROM f
+  QUALIFY row_number() OVER (PARTITION BY sexenio ORDER BY md5('{DEFAULTS.seed}|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey),
+    l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) <= {DEFAULTS.scatter_cap}""")
 def chart_scatter(spark, d):
     from panelkit.operators.sampling import sample_per_group
 
     rows = charts.first_year(table(spark, d, "lineitem").withColumn("fecha", month_start("l_shipdate")), LINEITEM_FIRST_YEARS)
-    sample = sample_per_group(rows, ["sexenio"], ["l_orderkey", "l_linenumber", "l_partkey"])
+    sample = sample_per_group(rows, ["sexenio"], ["l_orderkey", "l_linenumber", "l_partkey"], ties=["l_suppkey", "l_extendedprice", "l_shipdate"])
     return sample.select("sexenio", "mes_relativo", "l_orderkey", "l_linenumber", F.col("l_extendedprice").alias("monto"))
 
 
