@@ -6,7 +6,7 @@ on two thirds of these rows by information gain, pruned on the rest, and kept wh
 
 Defined results: a null or empty text has no words and fails the base; texts without labels are only judged; labels that
 are null, and documents without text, teach nothing; one class alone gives an empty list, which keeps all; repeated rows are
-judged alike; an empty table gives an empty table; statistics are returned in one struct, so column names can't clash.
+judged alike; an empty table gives an empty table; all other columns are kept.
 """
 
 from __future__ import annotations
@@ -182,9 +182,9 @@ def verdict(rules: list[Conjunction], stats: Column) -> Column:
 
 
 def judge(docs: DataFrame, rules: list[Conjunction], text: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` with the struct ``quality_stats`` (counts, base_failed, kept)."""
-    with_stats = docs.select("*", text_stats(F.col(text)).alias("__stats"))
+    """All rows and columns of ``docs`` with the struct ``quality_stats`` (counts, base_failed, kept); it replaces a column so named."""
+    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() != "quality_stats"]
+    with_stats = docs.select(*own, text_stats(F.col(text)).alias("__stats"))
     failed = F.coalesce(base_failed(F.col("__stats")), F.lit(True))
     kept = ~failed & verdict(rules, F.col("__stats"))
-    return with_stats.select(*[F.col(f"`{c}`") for c in docs.columns],
-                             F.struct("__stats.*", failed.alias("base_failed"), kept.alias("kept")).alias("quality_stats"))
+    return with_stats.select(*own, F.struct("__stats.*", failed.alias("base_failed"), kept.alias("kept")).alias("quality_stats"))

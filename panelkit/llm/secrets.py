@@ -101,12 +101,12 @@ def spans_by_blob(findings: DataFrame) -> DataFrame:
 
 
 def join_back(versions: DataFrame, findings: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """All rows of ``versions`` (columns ``keep``) with the array ``secret_spans`` of their blob.
+    """All rows of ``versions`` (columns ``keep``) with the array ``secret_spans`` of their blob, which replaces a column so named.
 
     The findings are written first. Both sides are then shuffled by blob, so that Spark can split a blob of many copies.
     """
     spans = materialize(spans_by_blob(findings)).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
-    columns = [F.col(f"`{c}`") for c in (keep or versions.columns)]
+    columns = [F.col(f"`{c}`") for c in (keep or versions.columns) if c.lower() != "secret_spans"]
     paths = versions.select(*columns, blob_id(F.col(text)).alias("__path_blob"))
     none = F.array().cast("array<struct<start:int,place:int,kind:string,end:int>>")
     joined = paths.join(spans.hint("merge"), F.col("__path_blob") == F.col("__blob"), "left")

@@ -6,7 +6,7 @@ bits (at most 65,536 rows, hence broadcast); only where a 16-bit bucket is still
 
 Defined results: null and empty texts have no bytes but a shard; null ids hash as the empty text; a single row over the
 limit makes a shard of its own; rows equal in id and text share all bits and are parted by a row number if they exceed
-the limit; an empty table gives an empty table; all columns are kept, those added are in one struct, so names can't clash.
+the limit; an empty table gives an empty table; all columns are kept but one named ``shard``, which the added struct replaces.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ def directory(rows: DataFrame, low: int, high: int, limit: int) -> DataFrame:
 def assign_shards(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = SHARD_BYTES) -> DataFrame:
     """All rows of ``docs`` with the struct ``shard``: name (the bits), depth, bytes of the row and of the shard, rows."""
     size = F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long")
-    hashed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), hash_bits(F.col(doc_id), F.col(text)).alias("bits"), size.alias("bytes"))
+    hashed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "shard"]).alias("row"), hash_bits(F.col(doc_id), F.col(text)).alias("bits"), size.alias("bytes"))
     done, low = [], 0
     while True:
         high = min(low + STEP, BITS)
