@@ -1,8 +1,10 @@
 """Exact nearest neighbours and exact pairwise sums, in blocks of bounded size.
 
-Both sides are cut into blocks by a hash of the row key. Every pair of blocks meets in one task as two small
-matrices; what leaves a task is k rows per query, never all pairs. A block never holds more than about
-``BLOCK_ROWS`` rows, whatever the key distribution, and neither side is broadcast or sent to the driver.
+Training rows are parted into cells around sampled pivots. A query visits a cell only if the triangle inequality allows
+one of its nearest rows there: the cells with the smallest (distance to the pivot + radius) that together hold k rows give
+a bound, and a cell counts if its distance less its radius is within it. On rows without any clusters few cells can be
+left out. Cells are cut into blocks by a hash of the row key; two blocks meet in one task as two small matrices, and what
+leaves a task is k rows per query, never all pairs. Rows of one key share a block.
 """
 
 from __future__ import annotations
@@ -19,8 +21,10 @@ from pyspark.sql import functions as F
 from panelkit.config import DEFAULTS
 from panelkit.operators.metrics import roc_auc
 from panelkit.operators.preprocess import Preprocessor
+from panelkit.session import materialize
 
 BLOCK_ROWS = 4_096
+MOST_PIVOTS = 256
 MATRIX_CELLS = 4_000_000
 
 
@@ -82,13 +86,20 @@ def knn_neighbors(train: DataFrame, query: DataFrame, k: int, ps: Sequence[int]
     levels = F.col("levels") if has_levels else F.array().cast("array<string>")
     side = lambda df, *extra: df.select(*by, F.col(key).alias("id"), "x", levels.alias("levels"), *extra)
     left, right = side(train, F.col(label).alias("label")), side(query)
-    n_train, n_query = _block_count(left.count(), block_rows), _block_count(right.count(), block_rows)
-    left = _blocked(left, "id", "__tb", n_train, "__qb", n_query)
-    right = _own_names(_blocked(right, "id", "__qb", n_query, "__tb", n_train))
     types = {**{f.name: f.dataType.simpleString() for f in query.schema}, **{f.name: f.dataType.simpleString() for f in train.schema}}
     schema = ", ".join([f"`{b}` {types[b]}" for b in by] + [
         "p int", f"id {types[key]}", f"neighbor {types[key]}", "distance double", f"label {types[label]}"])
-    metrics = tuple(ps)
+    rows = left.count()
+    if rows <= block_rows:  # one cell
+        blocks = _block_count(right.count(), block_rows)
+        left = left.withColumn("p", F.explode(F.array(*[F.lit(p) for p in ps])))
+        right = right.withColumn("p", F.explode(F.array(*[F.lit(p) for p in ps])))
+        left, right = _blocked(left, "id", "__tb", 1, "__qb", blocks), _blocked(right, "id", "__qb", blocks, "__tb", 1)
+        group = [*by, "p", "__tb", "__qb"]
+    else:
+        left, right = _visited(left, right, rows, k + exclude_self, ps, by, block_rows)
+        group = [*by, "p", "__cell", "__tb", "__qb"]
+    right = _own_names(right)
 
     def nearest(t: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if t.empty or q.empty:
@@ -97,32 +108,85 @@ def knn_neighbors(train: DataFrame, query: DataFrame, k: int, ps: Sequence[int]
         codes = _codes(t["levels"], q["q_levels"])
         ids, qids, labels = t["id"].to_numpy(), q["q_id"].to_numpy(), t["label"].to_numpy()
         place = pd.factorize(ids, sort=True)[0]
-        parts = []
-        for p in metrics:
-            for a, z in _tiles(len(q), len(t), xt.shape[1]):
-                d = distances(xq[a:z], xt, p, (codes[1][a:z], codes[0]) if codes else None)
-                if exclude_self:
-                    d[qids[a:z, None] == ids[None, :]] = np.inf
-                limit = np.partition(d, min(k, len(t)) - 1, axis=1)[:, min(k, len(t)) - 1]
-                rows, cols = np.nonzero((d <= limit[:, None]) & np.isfinite(d))
-                order = np.lexsort((place[cols], d[rows, cols], rows))
-                rows, cols = rows[order], cols[order]
-                first = np.searchsorted(rows, rows, side="left")
-                keep = np.arange(len(rows)) - first < k
-                rows, cols = rows[keep], cols[keep]
-                parts.append(pd.DataFrame({"p": p, "id": qids[a:z][rows], "neighbor": ids[cols],
-                                           "distance": d[rows, cols], "label": labels[cols]}))
+        parts, p = [], int(t["p"].iloc[0])
+        for a, z in _tiles(len(q), len(t), xt.shape[1]):
+            d = distances(xq[a:z], xt, p, (codes[1][a:z], codes[0]) if codes else None)
+            if exclude_self:
+                d[qids[a:z, None] == ids[None, :]] = np.inf
+            limit = np.partition(d, min(k, len(t)) - 1, axis=1)[:, min(k, len(t)) - 1]
+            rows, cols = np.nonzero((d <= limit[:, None]) & np.isfinite(d))
+            order = np.lexsort((place[cols], d[rows, cols], rows))
+            rows, cols = rows[order], cols[order]
+            first = np.searchsorted(rows, rows, side="left")
+            keep = np.arange(len(rows)) - first < k
+            rows, cols = rows[keep], cols[keep]
+            parts.append(pd.DataFrame({"p": p, "id": qids[a:z][rows], "neighbor": ids[cols],
+                                       "distance": d[rows, cols], "label": labels[cols]}))
         out = pd.concat(parts)
         for b in by:
             out[b] = t[b].iloc[0]
         return out[[*by, "p", "id", "neighbor", "distance", "label"]]
 
-    group = [*by, "__tb", "__qb"]
     found = left.groupBy(*group).cogroup(right.groupBy(*[f"q_{g}" for g in group])).applyInPandas(nearest, schema)
     order = W.partitionBy(*by, "p", "id").orderBy("distance", "neighbor")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _pivot_distances(frame: pd.DataFrame, px: np.ndarray, plevels: pd.Series, p: int) -> np.ndarray:
+    x = _matrix(frame["x"])
+    codes = _codes(plevels, frame["levels"])
+    return np.concatenate([distances(x[a:z], px, p, (codes[1][a:z], codes[0]) if codes else None)
+                           for a, z in _tiles(len(x), len(px), px.shape[1])])
+
+
+def _visited(left: DataFrame, right: DataFrame, rows: int, k: int, ps: Sequence[int], by: list[str], block_rows: int):
+    """Training rows with their cell, and queries with every cell they must visit, both with the blocks that meet."""
+    sample = left.orderBy(F.xxhash64("id"), "id").limit(min(MOST_PIVOTS, _block_count(rows, block_rows))).select("x", "levels").toPandas()
+    px, plevels = _matrix(sample["x"]), sample["levels"]
+    names, slack = list(by), 1e-9
+
+    def place(frames):
+        for frame in frames:
+            for p in ps if len(frame) else ():
+                d = _pivot_distances(frame, px, plevels, p)
+                ok = np.isfinite(d).all(axis=1)
+                yield frame.assign(p=p, __cell=d.argmin(axis=1), __d=d.min(axis=1))[ok]
+
+    declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema)
+    placed = materialize(left.mapInPandas(place, f"{declared}, p int, __cell int, __d double"))
+    cells = placed.groupBy(*names, "p", "__cell").agg(F.count(F.lit(1)).alias("n"), F.max("__d").alias("radius"))
+    packed = cells.groupBy(*names, "p").agg(F.sort_array(F.collect_list(F.struct("__cell", "n", "radius"))).alias("cells"))  # one entry per pivot
+    asked = right.withColumn("p", F.explode(F.array(*[F.lit(p) for p in ps]))).join(packed, [*names, "p"])
+
+    def visit(frames):
+        for frame in frames:
+            for p, part in frame.groupby("p", sort=False):
+                part = part.reset_index(drop=True)
+                d = _pivot_distances(part, px, plevels, int(p))
+                at, to = [], []
+                for i, own in enumerate(part["cells"]):
+                    cell, n, radius = (np.array([c[f] for c in own]) for f in ("__cell", "n", "radius"))
+                    near, far = d[i, cell] - radius, d[i, cell] + radius
+                    order = np.argsort(far)
+                    enough = np.searchsorted(np.cumsum(n[order]), k)
+                    bound = far[order][min(enough, len(order) - 1)] if enough < len(order) else np.inf
+                    hit = cell[near <= bound + slack * (1 + abs(bound))]
+                    at += [i] * len(hit)
+                    to += hit.tolist()
+                yield part.drop(columns="cells").iloc[at].assign(__cell=to)
+
+    asked_types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in asked.schema if f.name != "cells")
+    visits = materialize(asked.mapInPandas(visit, f"{asked_types}, __cell int"))
+    met = visits.groupBy(*names, "p", "__cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("__nq")).join(
+        cells.select(*names, "p", "__cell", F.ceil(F.col("n") / block_rows).cast("int").alias("__nt")), [*names, "p", "__cell"])
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    on = [*names, "p", "__cell"]
+    own = placed.drop("__d").join(met, on).withColumn("__tb", block("__nt")).withColumn("__qb", every("__nq"))
+    asking = visits.join(met, on).withColumn("__qb", block("__nq")).withColumn("__tb", every("__nt"))
+    return own.drop("__nt", "__nq"), asking.drop("__nt", "__nq")
+
+
 def _weights(weights: str, nearest: Column) -> Column:
     if weights == "uniform":
         return F.lit(1.0)
