@@ -5,11 +5,11 @@ holds the pair (n-gram, j) for each j up to the level, so the level of an n-gram
 is missing. The probability of a word after another mixes the pair's share with the word's own smoothed share, all from
 such probes.
 
-Counting: each task reduces its part of the corpus to sorted 64-bit hashes with counts, one packed block per segment of the
-hash space; each segment is merged and set into its own bits by one task. The filter's size follows the number of stored
+Counting: each task reduces its part of the corpus to sorted 48-bit hashes with counts, one packed block per segment of the
+hash space (of 10^12 n-grams, 0.4 % would share a hash, far less than the filter's own error); each segment is merged and set into its own bits by one task. The filter's size follows the number of stored
 items, up to ``most_bytes`` (a proven bound for the broadcast); beyond, nothing is dropped, but false probes become likelier.
 
-Exact word counts serve the base score. Words with at least 1/2^18 of all tokens, hence at most 2^18 words, are sent to
+Exact word counts serve the base score. Words with at least 1/2^20 of all tokens, hence at most 2^20 words, are sent to
 the workers; the counts of all others are joined, and none of them is frequent enough to be a hot key.
 
 Defined results: a null or empty text is one end token; a null id counts as the empty text when choosing training rows;
@@ -34,10 +34,11 @@ from panelkit.llm.superminhash import GOLD, mix
 from panelkit.session import materialize
 
 END = b""  # no word is empty
-HASH_END = np.uint64(xxhash.xxh3_64_intdigest(END))
+HASH_BITS = np.uint64((1 << 48) - 1)
+HASH_END = np.uint64(xxhash.xxh3_64_intdigest(END)) & HASH_BITS
 PAIR = np.uint64(0xD6E8FEB86659FD93)
 CHUNK_WORDS = 200_000
-HOT_SHARE = 1 << 18
+HOT_SHARE = 1 << 20
 PROBES, BITS_PER_ITEM, MOST_BYTES = 3, 10, 48 << 20
 SEGMENT_TOKENS = 2_000_000
 WEIGHT = 0.7  # of the pair's share, where the first word is known
@@ -67,9 +68,19 @@ def _chunks(texts: pa.Array) -> Iterator[list[list[bytes]]]:
 def _hashes(part: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of several texts, and of each word with the word before it (an end before the first)."""
     flat = [w for own in part for w in own]
-    one = np.fromiter(map(xxhash.xxh3_64_intdigest, flat), np.uint64, len(flat))
+    one = np.fromiter(map(xxhash.xxh3_64_intdigest, flat), np.uint64, len(flat)) & HASH_BITS
     before = np.append(HASH_END, one[:-1])  # each text ends with an end
-    return one, mix(before * GOLD + one ^ PAIR)
+    return one, mix(before * GOLD + one ^ PAIR) & HASH_BITS
+
+
+def pack(grams: np.ndarray) -> bytes:
+    """Six bytes a hash."""
+    return grams.astype(np.uint32).tobytes() + (grams >> np.uint64(32)).astype(np.uint16).tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    n = len(data) // 6
+    return np.frombuffer(data, np.uint32, n) | np.frombuffer(data, np.uint16, n, 4 * n).astype(np.uint64) << np.uint64(32)
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -117,7 +128,7 @@ def count_grams(texts: DataFrame, segments: int) -> DataFrame:
             for s in range(segments):
                 at = order[cuts[s]:cuts[s + 1]]
                 if len(at):
-                    yield pa.RecordBatch.from_pydict({"segment": pa.array([s], pa.int32()), "grams": [k[at].tobytes()], "counts": [n[at].astype(np.uint32).tobytes()]})
+                    yield pa.RecordBatch.from_pydict({"segment": pa.array([s], pa.int32()), "grams": [pack(k[at])], "counts": [n[at].astype(np.uint32).tobytes()]})
             keys.clear()
             counts.clear()
 
@@ -166,7 +177,7 @@ def build_filter(packed: DataFrame, segments: int, most_bytes: int = MOST_BYTES)
         for batch in batches:
             for s, grams, counts in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 keys, own = held.setdefault(s, ([], []))
-                keys.append(np.frombuffer(grams, np.uint64))
+                keys.append(unpack(grams))
                 own.append(np.frombuffer(counts, np.uint32).astype(np.int64))
                 if len(keys) > 16:
                     k, n = _merged(keys, own)
