@@ -280,16 +280,18 @@ def fit_by(df: DataFrame, target: str, xs: Sequence[str], by: Sequence[str]) ->
 
     @F.pandas_udf("array<double>")
     def solve(rows: pd.Series) -> pd.Series:
+        if not len(rows):
+            return pd.Series([], dtype=object)
         i, j = np.triu_indices(p)
-        size, out = len(i), []
-        for r in rows:
-            r = np.asarray(r, dtype=float)
-            cov = np.zeros((p, p))
-            cov[i, j] = cov[j, i] = r[:size]
-            scale = np.sqrt(np.where(np.diag(cov) > 0, np.diag(cov), 1.0))
-            slopes = np.linalg.pinv(cov / np.outer(scale, scale), hermitian=True) @ (r[size:size + p] / scale) / scale
-            out.append([float(r[-1] - slopes @ r[size + p:-1]), *slopes.tolist()])
-        return pd.Series(out)
+        size, r = len(i), np.stack([np.asarray(v, dtype=float) for v in rows])
+        cov = np.zeros((len(r), p, p))
+        cov[:, i, j] = cov[:, j, i] = r[:, :size]
+        spread = np.einsum("nii->ni", cov)
+        scale = np.sqrt(np.where(spread > 0, spread, 1.0))
+        unit = cov / (scale[:, :, None] * scale[:, None, :])
+        slopes = np.einsum("nij,nj->ni", np.linalg.pinv(unit, hermitian=True), r[:, size:size + p] / scale) / scale
+        level = r[:, -1] - np.einsum("ni,ni->n", slopes, r[:, size + p:-1])
+        return pd.Series(np.column_stack([level, slopes]).tolist())
 
     return packed.select(*by, "n", solve("__s").alias("coef"))
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelkit.config import DEFAULTS
 from panelkit.functions import dates as D
@@ -14,7 +16,9 @@ from panelkit.operators import sampling
 from panelkit.operators.scan import avg_rank
 from panelkit.plans.registry import (AMOUNT_SQL, FACTS_SQL, FEATURES_SQL, MONTHS_SQL, ORDER_FACTS_SQL, facts,
                                      order_facts, panel_sql, query, r, rounded)
+from panelkit.session import checkpoint_dir
 from panelkit.sources.adapters import LINEITEM_CUTOFF, LINEITEM_FIRST_YEARS, LINEITEM_HOLDOUT, lineitem_facts, table
+from panelkit.sources.tables import read_facts, write_table
 
 KEYS = ["subtema", "sector"]
 
@@ -25,6 +29,17 @@ def scan_facts(spark, d):
     return rounded(lineitem_facts(spark, d), 4)
 
 
+CSV_TYPES = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType())])
+
+
+@query("scan_csv", "SELECT conv_id, turn, role, md5(text) AS text FROM conversations")
+def scan_csv(spark, d):
+    # A table with quotes, commas and line breaks goes through CSV files in the shared folder.
+    path = f"{checkpoint_dir(spark)}/scan-csv-{uuid.uuid4().hex}"
+    write_table(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"), path)
+    return read_facts(spark, path, CSV_TYPES).select("conv_id", "turn", "role", F.md5(F.col("text").cast("binary")).alias("text"))
+
+
 @query("month_number", f"""SELECT {MONTHS_SQL}[month(l_shipdate)] AS mes, month(l_shipdate)::INT AS mes_num,
   count(*) AS n FROM lineitem GROUP BY ALL""")
 def month_number(spark, d):

@@ -103,7 +103,8 @@ def write_table(df: DataFrame, path: str, single_file: bool = False, fmt: str =
 
 def _save(writer, path: str, fmt: str) -> None:
     if fmt == "csv":
-        writer.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+        (writer.option("header", True).option("quote", '"').option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     else:
         writer.format(fmt).save(path)
 
