@@ -182,4 +182,4 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     out = rows.select("vec_id", "node").join(named.hint("merge"), F.col("node") == F.col("named"), "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
-                      F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+                      F.col("vec_id").eqNullSafe(component).alias("kept"))

@@ -1,9 +1,14 @@
 import random
 
+import pytest
+
+from panelkit.llm import graph
 from panelkit.llm.graph import components, union_find
 
 
-def test_components_equal_union_find(spark):
+@pytest.mark.parametrize("edges_a_task", [1_000_000, 60])
+def test_components_equal_union_find(spark, monkeypatch, edges_a_task):
+    monkeypatch.setattr(graph, "TASK_EDGES", edges_a_task)
     random.seed(2)
     edges = [(random.randint(0, 900), random.randint(0, 900)) for _ in range(500)] + [(k, k + 1) for k in range(1000, 1200)] + [(2000, k) for k in range(2001, 2300)] + [(5, 5)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "src long, dst long").repartition(7)).collect()}
