@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from panelkit.session import materialize
 
+TASK_EDGES = 200_000
+
 
 def union_find(pairs) -> dict:
     """Root (the smallest member) of every node of ``pairs``."""
@@ -31,10 +34,14 @@ def union_find(pairs) -> dict:
 
 
 def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges of each batch as (node, root of the batch)."""
+    """Edges of one task as (node, root of the node's group here)."""
+    kind, stars = None, {}
     for batch in batches:
-        found = [(x, r) for x, r in union_find(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())).items() if x != r]
-        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], batch.schema.field(k).type) for k in (0, 1)], names=["u", "v"])
+        kind = batch.schema.field(0).type
+        stars = union_find(chain(stars.items(), zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())))
+    found = [(x, r) for x, r in stars.items() if x != r]
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], kind) for k in (0, 1)], names=["u", "v"])
 
 
 def shuffled_again(key: str) -> Column:
@@ -53,16 +60,18 @@ def _attach(rows: DataFrame, least: DataFrame) -> DataFrame:
 def components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(node, component) of all nodes with an edge; the component is its smallest node.
 
-    Batches are reduced to stars first. Then large-star and small-star steps alternate (each node's neighbours are tied to
-    its least neighbour) until nothing changes; every step is joins and least values, never a list of neighbours.
+    Edges are dealt to tasks of at most ``TASK_EDGES``, each of which reduces its own to stars by union-find; one task's are
+    the result. Else large-star and small-star steps alternate (each node's neighbours are tied to its least neighbour) until
+    nothing changes; every step is joins and least values, never a list of neighbours.
     """
     kind = edges.schema[src].dataType.simpleString()
     pairs = edges.where(F.col(src) != F.col(dst)).select(F.col(src).alias("u"), F.col(dst).alias("v"))
-    now = materialize(pairs.mapInArrow(_local_stars, f"u {kind}, v {kind}").distinct())
+    tasks = max(1, -(-pairs.count() // TASK_EDGES))
+    now = materialize(pairs.repartition(tasks).mapInArrow(_local_stars, f"u {kind}, v {kind}"))
     seen = None
     while True:
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen or not mark[0]:
+        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() if tasks > 1 else seen
+        if mark == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())
         seen = mark
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -12,14 +12,15 @@ in one group. A cheap estimate from the signatures (six standard
 deviations below the threshold) goes before the comparison of full sets, which decides.
 
 Defined results: null and empty texts have no shingles and are linked with nothing; a text of fewer words than a shingle
-has one, its whole sequence; copies and repeated rows share a node; rows without id join groups but never name one; an empty
+has one, its whole sequence; copies and repeated rows share a node; rows without id join groups, and are kept only
+in a group without any id; an empty
 table gives an empty table; only the two columns named are read. Shingles are held as 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import hashlib
-from itertools import accumulate
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,19 +28,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelkit.llm.batches import text_pieces
 from panelkit.llm.graph import components, shuffled_again
 from panelkit.session import materialize
 
 BANDS, ROWS = 36, 6
 PLACES = BANDS * ROWS
-CHUNK = 1 << 17
+CHUNK_BYTES = 1 << 19
 HUBS = 32
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 LOW = np.uint64(0xFFFFFFFF)
 HALF = np.uint64(32)
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-PROFILE = "struct<n_shingles:bigint,node:binary,bands:array<bigint>,signature:binary>"
-PROFILE_TYPE = pa.struct([("n_shingles", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
+PROFILE = "struct<n_shingles:bigint,node:binary,signature:binary>"
+PROFILE_TYPE = pa.struct([("n_shingles", pa.int64()), ("node", pa.binary()), ("signature", pa.binary())])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -64,7 +66,7 @@ def shingles(text: str | None, width: int) -> np.ndarray:
 
 def signatures(sets: list[np.ndarray], places: int = PLACES) -> np.ndarray:
     """One row of ``places`` values per set; values are step and fraction in one number."""
-    sizes = np.array([len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets], np.intp)
     element = np.concatenate(sets) if sets else np.empty(0, np.uint64)
     owner = np.repeat(np.arange(len(sets)), sizes)
     out = np.full(len(sets) * places, EMPTY)
@@ -85,41 +87,24 @@ def signatures(sets: list[np.ndarray], places: int = PLACES) -> np.ndarray:
     return out.reshape(-1, places)
 
 
-def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
-    parts = signature.reshape(len(signature), bands, -1)
-    key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), parts.shape[:2]).copy()
-    for k in range(parts.shape[2]):
-        key = mix(key * GOLD + parts[:, :, k])
-    return key.view(np.int64)
+def band_keys(signature: Column | str) -> Column:
+    """One key per band, from the signature's bytes. Six bytes agree by chance once in 2**48 pairs; such pairs fail the comparison."""
+    part = lambda i: F.substring(signature, i * ROWS + 1, F.lit(ROWS))
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, part(i)))
 
 
 def profile(text: Column | str, width: int) -> Column:
-    """Number of shingles, digest of the set, band keys and one byte of each signature value."""
-
-    def run(batch: pa.Array) -> pa.Array:
-        out, todo, size = [], [], 0
-
-        def flush():
-            own = signatures([s for s in todo if len(s)])
-            keys, low = band_keys(own).tolist(), own.astype(np.uint8)
-            at = iter(range(len(own)))
-            for s in todo:
-                if len(s):
-                    i = next(at)
-                    out.append({"n_shingles": len(s), "node": hashlib.md5(s.tobytes()).digest(), "bands": keys[i], "signature": low[i].tobytes()})
-                else:
-                    out.append({"n_shingles": 0, "node": None, "bands": [], "signature": None})
-            todo.clear()
-
-        for value in batch:
-            s = shingles(value.as_py(), width)
-            if todo and size + len(s) > CHUNK:
-                flush()
-                size = 0
-            todo.append(s)
-            size += len(s)
-        flush()
-        return pa.array(out, PROFILE_TYPE)
+    """Number of shingles, digest of the set and one byte of each signature value."""
+
+    def profiles(sets: list[np.ndarray]) -> pa.Array:
+        low = iter(signatures([s for s in sets if len(s)]).astype(np.uint8))
+        return pa.array([{"n_shingles": len(s), "node": hashlib.md5(s.tobytes()).digest() if len(s) else None,
+                          "signature": next(low).tobytes() if len(s) else None} for s in sets], PROFILE_TYPE)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for part in text_pieces(batch, CHUNK_BYTES):
+                yield profiles([shingles(t, width) for t in part])
 
     return F.arrow_udf(run, PROFILE)(text)
 
@@ -128,6 +113,16 @@ def shingle_set(text: Column | str, width: int) -> Column:
     return F.arrow_udf(lambda b: pa.array([shingles(x.as_py(), width).tobytes() for x in b], pa.binary()), "binary")(text)
 
 
+def own_set(text: Column | str, node: Column | str, width: int) -> Column:
+    """The shingles of a text if they are those of ``node``, else null. As it reads both, it runs after the join that finds them."""
+
+    def run(texts: pa.Array, nodes: pa.Array) -> pa.Array:
+        sets = (shingles(x.as_py(), width).tobytes() for x in texts)
+        return pa.array([s if hashlib.md5(s).digest() == n.as_py() else None for s, n in zip(sets, nodes)], pa.binary())
+
+    return F.arrow_udf(run, "binary")(text, node)
+
+
 def same_bytes(a: Column | str, b: Column | str) -> Column:
     """Share of equal bytes of two strings of bytes of one length."""
 
@@ -183,25 +178,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     digest = F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5")
     rows = materialize(docs.select("doc_id", digest, profile("text", width).alias("p")).select("doc_id", "text_md5", "p.*"))
     nodes = materialize(rows.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("signature").alias("signature")))
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
 
-    member = nodes.select(F.explode("bands").alias("key"), "node")
-    shared = member.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    shared = shared.select(shuffled_again("key").alias("shared_key"), "hub").hint("merge")
-    multi = materialize(member.join(shared, F.col("key") == F.col("shared_key")).select("key", "node", "hub"))
+    member = nodes.select(F.explode(band_keys("signature")).alias("key"), "node")
+    shared = member.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(shuffled_again("key").alias("shared_key")).hint("merge")
+    multi = materialize(member.join(shared, F.col("key") == F.col("shared_key")).select("key", "node"))
+    hub = multi.groupBy("key").agg(F.min("node").alias("hub")).select(shuffled_again("key").alias("hub_key"), "hub").hint("merge")
+    star = multi.join(hub, F.col("key") == F.col("hub_key")).where("node != hub").select("key", "node", "hub")
 
-    involved = multi.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
-    named = docs.join(involved.where("doc_id IS NOT NULL"), "doc_id").select("node", shingle_set("text", width).alias("shingles"))
+    involved = materialize(multi.select("node").distinct().join(nodes, "node"))
+    named = docs.join(involved.where("doc_id IS NOT NULL").select("node", "doc_id"), "doc_id").select("node", own_set("text", "node", width).alias("shingles"))
     nameless = docs.where("doc_id IS NULL").select(shingle_set("text", width).alias("shingles"))  # rows without id are found by their set
     nameless = nameless.select(F.unhex(F.md5("shingles")).alias("node"), "shingles").join(involved.where("doc_id IS NULL"), "node", "left_semi")
-    sets = materialize(named.where(F.unhex(F.md5("shingles")) == F.col("node")).union(nameless).dropDuplicates(["node"]))
+    sets = materialize(named.where("shingles IS NOT NULL").union(nameless).dropDuplicates(["node"]))
 
     def compare(pairs: DataFrame) -> DataFrame:
-        return materialize(_confirmed(_estimated(pairs.distinct(), nodes, percent), sets, percent))
+        return materialize(_confirmed(_estimated(pairs.distinct(), involved, percent), sets, percent))
 
-    links = compare(multi.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")))
+    links = compare(star.select(F.col("hub").alias("a"), F.col("node").alias("b")))
     groups = materialize(components(links, "a", "b"))
-    rest = multi.where("node != hub").select("key", "node")
+    rest = star.select("key", "node")
     while True:
         label = groups.select(F.col("node").alias("known"), F.col("component").alias("label"))
         labelled = rest.join(label, F.col("node") == F.col("known"), "left").select("key", "node", F.coalesce("label", "node").alias("label"))
@@ -222,7 +218,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     named = materialize(named.join(least.hint("merge"), F.col("component") == F.col("c2")).select(F.col("node").alias("named"), "component_id", F.col("component").alias("group")))
     out = rows.select("doc_id", "n_shingles", "text_md5", "node").join(named.hint("merge"), F.col("node") == F.col("named"), "left")
     component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
                       "text_md5", "group")
 
 
