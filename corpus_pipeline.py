@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import bpe, mixing, pii, quality, secrets, superminhash
+from panelkit.llm.batches import small_batches
 from panelkit.llm.queries import VOCABULARY
 from panelkit.session import checkpoint_dir, ship_package
 
@@ -66,11 +67,12 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def shipped(stage):
-    """The stage, with this package on its Python workers."""
+    """The stage, with this package on its Python workers and small batches to them."""
 
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         ship_package(spark)
+        small_batches(spark)
         return stage(spark, docs, sf_dir)
 
     return run_stage

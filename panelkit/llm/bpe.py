@@ -15,14 +15,17 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
-from itertools import accumulate, chain
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CHUNK_CHARS = 1 << 20
+from panelkit.llm.batches import text_pieces
+
+CHUNK_BYTES = 1 << 19
 CACHE_SLICES = 1 << 18
 CACHED_CHARS = 48
 BLOCK = 256
@@ -224,16 +227,6 @@ class Codec(dict):
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-def chunks(texts: list[str], size: int = CHUNK_CHARS):
-    """Consecutive texts of about ``size`` characters; a longer text stands alone."""
-    sums = [0, *accumulate(map(len, texts))]
-    begin = 0
-    for end in range(1, len(texts) + 1):
-        if end == len(texts) or sums[end + 1] - sums[begin] > size:
-            yield texts[begin:end]
-            begin = end
-
-
 _CODECS: dict[int, Codec] = {}
 
 
@@ -255,25 +248,26 @@ def read_vocabulary(path: str) -> bytes:
         return file.read()
 
 
-def _list(values: np.ndarray, bounds: np.ndarray, at: int = 0) -> pa.ListArray:
+def _list(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.astype(np.int32)))
 
 
-ENCODED = "ids array<int>, slice_starts array<int>, slice_ids array<int>"
-
-
 def encode(text: Column | str, vocabulary: bytes) -> Column:
     """Struct of a text's ids, and for each slice its start (code points) and the index of its first id."""
 
-    def run(batch: pa.Array) -> pa.Array:
-        own, out = codec(vocabulary), []
-        for part in chunks([t or "" for t in batch.to_pylist()]):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = codec(vocabulary)
+        for part in _pieces(batches):
             flat, bounds, starts, firsts, slices = own.encode_chunk(part)
-            out.append(pa.StructArray.from_arrays([_list(flat, bounds), _list(starts, slices), _list(firsts, slices)],
-                                                  ["ids", "slice_starts", "slice_ids"]))
-        return pa.concat_arrays(out) if out else pa.array([], _arrow(ENCODED))
+            yield pa.StructArray.from_arrays([_list(flat, bounds), _list(starts, slices), _list(firsts, slices)], ["ids", "slice_starts", "slice_ids"])
+
+    return F.arrow_udf(run, "struct<ids:array<int>, slice_starts:array<int>, slice_ids:array<int>>")(text)
+
 
-    return F.arrow_udf(run, f"struct<{_typed(ENCODED)}>")(text)
+def _pieces(batches: Iterator[pa.Array]) -> Iterator[list[str]]:
+    for batch in batches:
+        for part in text_pieces(batch, CHUNK_BYTES):
+            yield [t or "" for t in part]
 
 
 def decode(ids: Column | str, vocabulary: bytes) -> Column:
@@ -286,28 +280,15 @@ def decode(ids: Column | str, vocabulary: bytes) -> Column:
     return F.arrow_udf(run, "binary")(ids)
 
 
-ROUND_TRIP = "ids array<int>, decoded binary"
-
-
 def round_trip(text: Column | str, vocabulary: bytes) -> Column:
     """Struct of a text's ids and of the bytes these ids decode to, in one visit to the Python worker."""
 
-    def run(batch: pa.Array) -> pa.Array:
-        own, out = codec(vocabulary), []
-        for part in chunks([t or "" for t in batch.to_pylist()]):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = codec(vocabulary)
+        for part in _pieces(batches):
             flat, bounds, *_ = own.encode_chunk(part)
             ids, b = flat.tolist(), bounds.tolist()
             decoded = pa.array([own.decode(ids[i:j]) for i, j in zip(b, b[1:])], pa.binary())
-            out.append(pa.StructArray.from_arrays([_list(flat, bounds), decoded], ["ids", "decoded"]))
-        return pa.concat_arrays(out) if out else pa.array([], _arrow(ROUND_TRIP))
-
-    return F.arrow_udf(run, f"struct<{_typed(ROUND_TRIP)}>")(text)
-
-
-def _typed(fields: str) -> str:
-    return ", ".join(":".join(f.split(" ")) for f in fields.split(", "))
-
+            yield pa.StructArray.from_arrays([_list(flat, bounds), decoded], ["ids", "decoded"])
 
-def _arrow(fields: str) -> pa.DataType:
-    kinds = {"array<int>": pa.list_(pa.int32()), "binary": pa.binary()}
-    return pa.struct([(n, kinds[t]) for n, t in (f.split(" ") for f in fields.split(", "))])
+    return F.arrow_udf(run, "struct<ids:array<int>, decoded:binary>")(text)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import bpe, chat, lm, mixing, pii, quality, secrets, sharding, superminhash, vectors
+from panelkit.llm.batches import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,7 +20,12 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 def query(name: str, oracle: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark, sf_dir):
+            small_batches(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
