@@ -237,11 +237,14 @@ def test_kmeans_invariants_and_selection(blobs):
 
 def test_pca_centres_and_fixes_signs(blobs):
     pts, _, df = blobs
-    got = C.pca_2d(C.as_vectors(df)).select("id", "pc1", "pc2", "explained").toPandas().sort_values("id")
+    wide = df.withColumn("x", F.concat("x", F.array(F.sin(F.col("x")[0]) + F.col("x")[1])))  # two columns would come back as they are
+    got = C.pca_2d(C.as_vectors(wide)).select("id", "pc1", "pc2", "explained").toPandas().sort_values("id")
+    pts = np.column_stack([pts, np.sin(pts[:, 0]) + pts[:, 1]])
     z = pts - pts.mean(0)
     _, s, vt = np.linalg.svd(z, full_matrices=False)
-    vt = np.array([v * np.sign(v[np.argmax(np.abs(v))]) for v in vt])
-    assert np.allclose(got[["pc1", "pc2"]], z @ vt.T, atol=1e-8) and np.isclose(got.explained.iloc[0], 1)
+    vt = np.array([v * np.sign(v[np.argmax(np.abs(v))]) for v in vt])[:2]
+    share = (s[:2] ** 2).sum() / (s ** 2).sum()
+    assert np.allclose(got[["pc1", "pc2"]], z @ vt.T, atol=1e-8) and np.isclose(got.explained.iloc[0], share)
 
 
 def test_summary_table(blobs):
