@@ -6,8 +6,11 @@ is missing. The probability of a word after another mixes the pair's share with
 such probes.
 
 Counting: each task reduces its part of the corpus to sorted 48-bit hashes with counts, one packed block per segment of the
-hash space (of 10^12 n-grams, 0.4 % would share a hash, far less than the filter's own error); each segment is merged and set into its own bits by one task. The filter's size follows the number of stored
-items, up to ``most_bytes`` (a proven bound for the broadcast); beyond, nothing is dropped, but false probes become likelier.
+hash space (of 10^12 n-grams, 0.4 % would share a hash, far less than the filter's own error); each segment is merged and set into its own bits by one task. The filter has
+10 bits per stored item at every size, so that the rate of false probes does not depend on the size of the corpus.
+
+Scoring: a filter of at most ``most_bytes`` is broadcast. A larger one stays in its segments: the distinct n-grams of a block of texts are
+sent, packed, to the segments that hold them, probed there, and their levels are sent back to the block. Both ways read the same bits.
 
 Exact word counts serve the base score. Words with at least 1/2^20 of all tokens, hence at most 2^20 words, are sent to
 the workers; the counts of all others are joined, and none of them is frequent enough to be a hot key.
@@ -41,6 +44,7 @@ CHUNK_WORDS = 200_000
 HOT_SHARE = 1 << 20
 PROBES, BITS_PER_ITEM, MOST_BYTES = 3, 10, 48 << 20
 SEGMENT_TOKENS = 2_000_000
+BLOCK_WORDS = 1_000_000  # of texts whose n-grams are sent to the segments together
 WEIGHT = 0.7  # of the pair's share, where the first word is known
 LEVELS = 63
 
@@ -69,8 +73,12 @@ def _hashes(part: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of several texts, and of each word with the word before it (an end before the first)."""
     flat = [w for own in part for w in own]
     one = np.fromiter(map(xxhash.xxh3_64_intdigest, flat), np.uint64, len(flat)) & HASH_BITS
+    return one, _pairs(one)
+
+
+def _pairs(one: np.ndarray) -> np.ndarray:
     before = np.append(HASH_END, one[:-1])  # each text ends with an end
-    return one, mix(before * GOLD + one ^ PAIR) & HASH_BITS
+    return mix(before * GOLD + one ^ PAIR) & HASH_BITS
 
 
 def pack(grams: np.ndarray) -> bytes:
@@ -157,10 +165,11 @@ def _places(grams: np.ndarray, level: int, bits) -> list[np.ndarray]:
     return [((a + np.uint64(i) * b) % bits) for i in range(PROBES)]
 
 
-def build_segment(grams: np.ndarray, counts: np.ndarray, most_bits: int) -> np.ndarray:
-    """Bytes of one segment of the filter."""
+def build_segment(grams: np.ndarray, counts: np.ndarray, most_bits: int | None = None) -> np.ndarray:
+    """Bytes of one segment of the filter; a bound on its bits makes false probes likelier."""
     level = np.frexp(counts.astype(float))[1]  # 1 + floor(log2 count)
-    bits = max(64, min(most_bits, int(level.sum()) * BITS_PER_ITEM)) // 8 * 8
+    bits = int(level.sum()) * BITS_PER_ITEM
+    bits = max(64, bits if most_bits is None else min(most_bits, bits)) // 8 * 8
     field = np.zeros(bits, bool)
     for j in range(1, int(level.max(initial=0)) + 1):
         for place in _places(grams[level >= j], j, np.uint64(bits)):
@@ -168,9 +177,8 @@ def build_segment(grams: np.ndarray, counts: np.ndarray, most_bits: int) -> np.n
     return np.packbits(field, bitorder="little")
 
 
-def build_filter(packed: DataFrame, segments: int, most_bytes: int = MOST_BYTES) -> DataFrame:
-    """(segment, field): the bits of each segment; together at most ``most_bytes`` and 8 bytes a segment."""
-    most_bits = most_bytes * 8 // segments
+def build_filter(packed: DataFrame, segments: int) -> DataFrame:
+    """(segment, field): the bits of each segment, as many as its items need."""
 
     def run(batches):
         held: dict[int, tuple[list, list]] = {}
@@ -183,7 +191,7 @@ def build_filter(packed: DataFrame, segments: int, most_bytes: int = MOST_BYTES)
                     k, n = _merged(keys, own)
                     keys[:], own[:] = [k], [n]
         for s, (keys, own) in held.items():
-            field = build_segment(*_merged(keys, own), most_bits)
+            field = build_segment(*_merged(keys, own))
             yield pa.RecordBatch.from_pydict({"segment": pa.array([s], pa.int32()), "field": [field.tobytes()]})
 
     return packed.repartition(segments, "segment").mapInArrow(run, "segment int, field binary")
@@ -218,12 +226,23 @@ class BloomCounts:
         return out
 
 
+@dataclass
+class KnownLevels:
+    """Levels of the n-grams of a block, all of them looked up before."""
+
+    grams: np.ndarray  # sorted
+    level: np.ndarray
+
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        return self.level[np.searchsorted(self.grams, grams)]
+
+
 def expected(level: np.ndarray) -> np.ndarray:
     """Middle of the counts of a level; level 0 is 0, level 1 is 1."""
     return np.where(level > 0, (1.5 * np.exp2(level - 1.0) - 0.5), 0.0)
 
 
-def log_probability(one: np.ndarray, pair: np.ndarray, model: BloomCounts, total: int, distinct: int) -> np.ndarray:
+def log_probability(one: np.ndarray, pair: np.ndarray, model: BloomCounts | KnownLevels, total: int, distinct: int) -> np.ndarray:
     """log10 of each token's smoothed probability after the token before it."""
     grams, back = np.unique(one, return_inverse=True)
     own = expected(model.levels(grams))[back]
@@ -233,22 +252,29 @@ def log_probability(one: np.ndarray, pair: np.ndarray, model: BloomCounts, total
     return np.log10(weight * share + (1 - weight) * np.minimum(1.0, (own + 1) / (total + distinct + 1)))
 
 
-SCORED = ("doc_id {}, uid bigint, held_out boolean, n_tokens bigint, known bigint, logs double, score double, "
+SCORED = ("doc_id {}, uid bigint, held_out boolean, n_tokens bigint, known bigint, logs double, {}, "
           "rare array<struct<word:binary,n:int>>")
 RARE = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
 
 
-def score_tokens(docs: DataFrame, hot: Broadcast, model: Broadcast, bounds: np.ndarray, total: int, distinct: int) -> DataFrame:
-    """One row per text: what the hot words and the model give, and the other words for the join."""
+def score_tokens(docs: DataFrame, hot: Broadcast, model: Broadcast | None, bounds: np.ndarray | None, total: int, distinct: int) -> DataFrame:
+    """One row per text: what the hot words and the model give, and the other words for the join.
+
+    Without a model, the packed hashes ``words`` stand in the place of the score.
+    """
 
     def run(batches):
-        filter_, known = BloomCounts(model.value, bounds), hot.value
+        filter_, known = model and BloomCounts(model.value, bounds), hot.value
         for batch in batches:
             at = 0
             for part in _chunks(batch.column("text")):
                 one, pair = _hashes(part)
                 sizes = [len(own) for own in part]
-                logp = np.add.reduceat(log_probability(one, pair, filter_, total, distinct), np.append(0, np.cumsum(sizes[:-1])).astype(np.intp))
+                first = np.append(0, np.cumsum(sizes[:-1])).astype(np.intp)
+                if filter_:
+                    given = pa.array(np.add.reduceat(log_probability(one, pair, filter_, total, distinct), first))
+                else:
+                    given = pa.array([pack(own) for own in np.split(one, first[1:])], pa.binary())
                 n_known, logs, rare = [], [], []
                 for own in part:
                     found = [known.get(w) for w in own]
@@ -258,16 +284,108 @@ def score_tokens(docs: DataFrame, hot: Broadcast, model: Broadcast, bounds: np.n
                     rare.append([{"word": w, "n": n} for w, n in Counter(w for w, x in zip(own, found) if x is None).items()])
                 rows = batch.slice(at, len(part)).select(["doc_id", "uid", "held_out"])
                 at += len(part)
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(sizes, pa.int64()), pa.array(n_known, pa.int64()), pa.array(logs), pa.array(logp),
-                                                  pa.array(rare, RARE)], names=[*rows.schema.names, "n_tokens", "known", "logs", "score", "rare"])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(sizes, pa.int64()), pa.array(n_known, pa.int64()), pa.array(logs), given,
+                                                  pa.array(rare, RARE)], names=[*rows.schema.names, "n_tokens", "known", "logs", last.split()[0], "rare"])
+
+    last = "words binary" if model is None else "score double"
+    return docs.mapInArrow(run, SCORED.format(docs.schema["doc_id"].dataType.simpleString(), last))
+
+
+def _blocks(kept: DataFrame) -> DataFrame:
+    """(block, uids, sizes, words): successive texts of ``kept`` with about BLOCK_WORDS tokens; the first uid names the block."""
+
+    def run(batches):
+        uids, words, held = [], [], 0
 
-    return docs.mapInArrow(run, SCORED.format(docs.schema["doc_id"].dataType.simpleString()))
+        def packed():
+            sizes = np.array([len(w) // 6 for w in words], np.int64)
+            row = {"block": pa.array(uids[:1], pa.int64()), "uids": [np.array(uids, np.int64).tobytes()], "sizes": [sizes.tobytes()],
+                   "words": [pack(np.concatenate([unpack(w) for w in words]))]}
+            uids.clear()
+            words.clear()
+            return pa.RecordBatch.from_pydict(row)
+
+        for batch in batches:
+            for uid, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if uids and held + len(w) > 6 * BLOCK_WORDS:
+                    yield packed()
+                    held = 0
+                uids.append(uid)
+                words.append(w)
+                held += len(w)
+        if uids:
+            yield packed()
+
+    return kept.select("uid", "words").mapInArrow(run, "block bigint, uids binary, sizes binary, words binary")
+
+
+def _by_segment(words: bytes, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct n-grams of a block, their order by segment and where each segment begins in it."""
+    one = unpack(words)
+    grams = np.unique(np.concatenate([one, _pairs(one)]))
+    segment = grams % np.uint64(segments)
+    order = np.argsort(segment, kind="stable")
+    return grams, order, np.searchsorted(segment[order], np.arange(segments + 1))
+
+
+def score_by_segments(kept: DataFrame, fields: DataFrame, segments: int, total: int, distinct: int) -> DataFrame:
+    """(uid, score) of the texts ``kept`` (uid, words), which must not change between uses; no task holds more than one segment or one block."""
+
+    def ask(batches):
+        for batch in batches:
+            for block, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                grams, order, cuts = _by_segment(words, segments)
+                some = np.flatnonzero(cuts[1:] > cuts[:-1])
+                yield pa.RecordBatch.from_pydict({"segment": pa.array(some, pa.int32()), "block": pa.array([block] * len(some), pa.int64()),
+                                                  "data": [pack(grams[order[cuts[s]:cuts[s + 1]]]) for s in some]})
+
+    def answer(batches):
+        at, model = None, None
+        for batch in batches:
+            for s, block, data in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if s != at:  # the field, if the segment has one, comes first
+                    field = data if block is None else b""
+                    at, model = s, BloomCounts(field, np.array([0, len(field)]))
+                if block is not None:
+                    level = model.levels(unpack(data)).astype(np.uint8)
+                    yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "segment": pa.array([s], pa.int32()), "data": [level.tobytes()]})
+
+    def score(batches):
+        own, level = None, None
+
+        def scored():
+            uids, sizes, one, grams = own[0], own[1], own[2], own[3]
+            first = np.append(0, np.cumsum(sizes[:-1])).astype(np.intp)
+            logp = log_probability(one, _pairs(one), KnownLevels(grams, level), total, distinct)
+            return pa.RecordBatch.from_pydict({"score_uid": pa.array(uids), "score": pa.array(np.add.reduceat(logp, first))})
+
+        for batch in batches:
+            for s, data, uids, sizes in zip(*(batch.column(k).to_pylist() for k in range(1, 5))):
+                if s < 0:  # the block itself comes first
+                    if own:
+                        yield scored()
+                    grams, order, cuts = _by_segment(data, segments)
+                    own, level = (np.frombuffer(uids, np.int64), np.frombuffer(sizes, np.int64), unpack(data), grams), np.zeros(len(grams), np.int64)
+                else:
+                    level[order[cuts[s]:cuts[s + 1]]] = np.frombuffer(data, np.uint8)
+        if own:
+            yield scored()
+
+    blocks, none = _blocks(kept), F.lit(None)
+    asked = blocks.select("block", "words").mapInArrow(ask, "segment int, block bigint, data binary")
+    both = fields.select("segment", none.cast("long").alias("block"), F.col("field").alias("data")).union(asked)
+    placed = both.repartition(segments, "segment").sortWithinPartitions("segment", F.col("block").asc_nulls_first())
+    answers = placed.mapInArrow(answer, "block bigint, segment int, data binary")
+    whole = blocks.select("block", F.lit(-1).alias("segment"), F.col("words").alias("data"), "uids", "sizes")
+    back = whole.union(answers.select("block", "segment", "data", none.cast("binary").alias("uids"), none.cast("binary").alias("sizes")))
+    return back.repartition("block").sortWithinPartitions("block", "segment").mapInArrow(score, "score_uid bigint, score double")
 
 
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: tuple[int, int] = (7, 2), most_bytes: int = MOST_BYTES) -> DataFrame:
     """Rows of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    The model learns from rows whose crc32 of the id as text is not ``held_out[1]`` modulo ``held_out[0]``.
+    The model learns from rows whose crc32 of the id as text is not ``held_out[1]`` modulo ``held_out[0]``. A filter above
+    ``most_bytes`` is probed where its segments are instead of being broadcast.
     """
     sc = docs.sparkSession.sparkContext
     mod, left_out = held_out
@@ -282,20 +400,24 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     hot = {bytes(r.word): float(np.log10(r.c + 1)) for r in words.where(is_hot).collect()}
 
     segments = max(1, -(-total // SEGMENT_TOKENS))
-    segments = min(segments, max(1, most_bytes // 4096))
-    fields = build_filter(count_grams(train, segments), segments, most_bytes).collect()
-    by_segment = {r.segment: bytes(r.field) for r in fields}
-    bounds = np.append(0, np.cumsum([len(by_segment.get(s, b"")) for s in range(segments)]))
-    field = b"".join(by_segment.get(s, b"") for s in range(segments))
-    del fields, by_segment
+    fields = materialize(build_filter(count_grams(train, segments), segments))
+    fits = fields.agg(F.coalesce(F.sum(F.length("field")), F.lit(0))).first()[0] <= most_bytes
+    model, bounds = None, None
+    if fits:
+        by_segment = {r.segment: bytes(r.field) for r in fields.collect()}
+        bounds = np.append(0, np.cumsum([len(by_segment.get(s, b"")) for s in range(segments)]))
+        model = sc.broadcast(b"".join(by_segment.get(s, b"") for s in range(segments)))
+        del by_segment
 
     named = docs.select("doc_id", "text", "held_out", F.monotonically_increasing_id().alias("uid"))  # kept by the next line
-    scored = materialize(score_tokens(named, sc.broadcast(hot), sc.broadcast(field), bounds, total, distinct))
+    scored = materialize(score_tokens(named, sc.broadcast(hot), model, bounds, total, distinct))
     rare = scored.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.n")
     counts = words.where(~is_hot).select("word", "c")
     more = rare.join(counts, "word").groupBy("uid").agg(F.sum("n").alias("more_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more_logs"))
     more = more.withColumnRenamed("uid", "more_uid")
     joined = scored.drop("rare").join(more, F.col("uid") == F.col("more_uid"), "left")
+    if not fits:
+        joined = joined.drop("words").join(score_by_segments(scored, fields, segments, total, distinct), F.col("uid") == F.col("score_uid"))
     logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(np.log10(total + distinct + 1)))
     return joined.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
                          F.lit(total).cast("long").alias("train_tokens"), logs.alias("base_score"), "score")

@@ -67,3 +67,23 @@ def test_model_beats_base_on_unseen_texts(spark):
     got = lm.score_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     out = [r for r in got if r.held_out]
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
+
+
+def test_false_probes_stay_rare_beyond_one_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SEGMENT_TOKENS", 2_000)
+    monkeypatch.setattr(lm, "BLOCK_WORDS", 900)
+    rows = [(i, " ".join(f"w{i * 31 + k * k}" for k in range(60))) for i in range(400)] + [(None, None), (7, "one two"), (7, "one two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted((str(r.doc_id), r.score, r.base_score) for r in lm.score_documents(docs).collect())
+    split = lm.score_documents(docs, most_bytes=2_000)  # 16,000 bits for more than 20,000 items
+    assert sorted((str(r.doc_id), r.score, r.base_score) for r in split.collect()) == whole
+    check(split.collect(), rows)
+
+    train = docs.where("doc_id < 350").select("text")
+    fields = lm.build_filter(lm.count_grams(train, 12), 12).collect()
+    assert sum(len(r.field) for r in fields) > 10 * 2_000
+    unseen = np.random.default_rng(8).integers(1, 2**48, 20_000, dtype=np.uint64)
+    by_segment = {r.segment: r.field for r in fields}
+    bounds = np.append(0, np.cumsum([len(by_segment.get(s, b"")) for s in range(12)]))
+    model = lm.BloomCounts(b"".join(by_segment.get(s, b"") for s in range(12)), bounds)
+    assert (model.levels(unseen) > 0).mean() < 0.03
