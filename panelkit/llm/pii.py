@@ -227,14 +227,15 @@ def pii_spans(text: Column | str) -> Column:
 
 
 def redact(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in angle brackets; of overlapping spans the first counts."""
+    """The text with each span replaced by its kind in angle brackets; overlapping spans are one, of the first one's kind."""
     return cut_out(text, spans, lambda s: F.concat(F.lit("<"), s.kind, F.lit(">")))
 
 
 def cut_out(text: Column, spans: Column, mark) -> Column:
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    merged = F.aggregate(ordered, begin, lambda a, s: F.when(s["start"] < a["at"], a).otherwise(F.struct(
+    merged = F.aggregate(ordered, begin, lambda a, s: F.when(s["start"] < a["at"], F.struct(
+        F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))).otherwise(F.struct(
         s["end"].alias("at"), F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), mark(s)).alias("out"))))
     whole = F.concat(merged["out"], F.substring(text, merged["at"] + 1, F.length(text)))
     return F.when(F.size(spans) > 0, whole).otherwise(text)

@@ -39,9 +39,16 @@ BASE_RULES = (
     Rule("access", "AKIA[A-Z0-9]{14,}", hint="AKIA"),
     Rule("hex", "[0-9a-f]{16,}"),
 )
+# A key reaches to its end line. Without one before the next five dashes, it is the header and what follows it of base64: whole lines, headers of
+# encryption, and long runs. Line ends may be escaped. All repeats of groups are possessive: linear, and no deeper stack in long texts.
+_NL = r"(?:\r\n?|\n|\\r\\n|\\n)"
+_KEY_LINE = (rf"""[ \t]*+{_NL}[ \t]*+(?:(?:Proc-Type|DEK-Info):[^\r\n\\]*+(?:{_NL}(?={_NL}))?+"""
+             rf"""|[A-Za-z0-9+/]{{40,}}+=*+|[A-Za-z0-9+/]++=*+(?=[ \t"']*+(?:{_NL}|\z)))|[ \t]++[A-Za-z0-9+/]{{40,}}+=*+""")
+PRIVATE_KEY = ("-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+               f"(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]{{0,20}}PRIVATE KEY-----|(?:{_KEY_LINE})*+)")
 MORE_RULES = (
     Rule("github", "gh[opsur]_[A-Za-z0-9]{36,}", hint="gh[opsur]_"),
-    Rule("private_key", "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", hint="-----BEGIN "),
+    Rule("private_key", PRIVATE_KEY, version=2, hint="-----BEGIN "),
 )
 RULES = BASE_RULES + MORE_RULES
 

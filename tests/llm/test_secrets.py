@@ -49,6 +49,28 @@ def test_added_rules_and_redaction(texts_frame):
     assert out[2].clean == out[2].text and not out[2].secret_spans
 
 
+def test_no_line_of_a_private_key_survives(spark):
+    import corpus_pipeline
+
+    body = [("Q9b/" * 16)[k:] + "A+z4"[:k] for k in range(4)] + ["mRk7Lw=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    whole = "\n".join([begin, *body, end])
+    crypt = "\n".join([begin, "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B", "", *body])
+    texts = [f"a {whole} b", f"a {whole} b {whole} c", f"a {whole.replace(chr(10), chr(13) + chr(10))} b", f'a "{whole.replace(chr(10), chr(92) + "n")}" b',
+             f"a {crypt}\n{end} b", f"a {crypt}\nplain words follow", "\n".join(["a " + begin, *body, "plain words follow"]), "\n".join(["a " + begin, *body]),
+             " ".join(["a", begin, body[0], "plain"]), f"token=abcd{whole} b", "\n".join(["a " + begin, *body, whole, "b"]),
+             "a " + begin + "\n" + "\n".join(["Ab1/" * 16] * 20_000) + "\n" + end + " b", "a " + "- x " * 50_000 + begin + " - y" * 50_000]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    after = {r.doc_id: r.text for r in corpus_pipeline.hide_secrets(spark, docs, "").collect()}
+    for t in after.values():
+        assert not any(line in t for line in [*body, "Ab1/" * 16, "PRIVATE KEY", "DEK-Info"])
+    key = "<private_key>"
+    assert [after[k] for k in range(9)] == [f"a {key} b", f"a {key} b {key} c", f"a {key} b", f'a "{key}" b', f"a {key} b", f"a {key}\nplain words follow",
+                                            f"a {key}\nplain words follow", f"a {key}", f"a {key} plain"]
+    assert after[9] == "<assign> b" and after[10] == f"a {key}\n{key}\nb" and after[11] == f"a {key} b"
+    assert after[12] == texts[12].replace(begin, key)
+
+
 def test_ledger_leaves_only_unseen_pairs(texts_frame):
     rows = made(60)
     frame = texts_frame(rows)
