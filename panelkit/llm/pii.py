@@ -6,6 +6,7 @@ Of each kind, candidates are taken from left to right and never overlap; one tha
 
 Kinds ``email``, ``ip``, ``card``, ``phone``; added by cues: ``url`` (an address with a login before its host) and
 ``account`` (IBAN with right check digits, nnn-nn-nnnn after a social-security cue, 6 to 18 digits after an account cue).
+Cues and schemes are found in any case; up to three of the words number, num, no, nr and is may stand between a cue and its number.
 
 Defined results: null and empty texts have no spans; offsets are code points, the end exclusive; every row is handled by
 itself, so repeated rows, other columns and empty tables need nothing; work is linear in the text.
@@ -23,6 +24,7 @@ KINDS = (*BASE, "url", "account")
 
 DIGITS = frozenset("0123456789")
 UPPER = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+LOWER = {ord(c): c.lower() for c in UPPER}
 ALNUM = DIGITS | UPPER | frozenset("abcdefghijklmnopqrstuvwxyz")
 LOCAL = ALNUM | frozenset("._%+-")
 LABEL = ALNUM | frozenset("-")
@@ -32,6 +34,11 @@ HOST = ALNUM | frozenset(".-")
 GAP = frozenset(" :#.=-")
 SCHEMES = ("http://", "https://", "ftp://", "ssh://", "sftp://")
 CUES = {"iban": "iban", "ssn": "ssn", "social security": "ssn", "account": "account", "acct": "account"}
+FILLERS = frozenset(("number", "num", "no", "nr", "is"))
+IBAN_SIZES = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 "
+    "GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 PL28 "
+    "PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20").split()}
 
 
 def _after(text: str, i: int, chars: frozenset) -> int:
@@ -56,17 +63,38 @@ def luhn(digits: str) -> bool:
 
 
 def _iban(text: str, i: int) -> int:
-    """End of the IBAN at ``i``, or -1."""
-    letters, j = [], i
+    """End of the IBAN at ``i``, or -1: at its country's length, or for other countries at the last end of a group that is right."""
+    letters, ends, j = [], [], i
     while j < len(text) and len(letters) < 34 and (text[j] in DIGITS or text[j] in UPPER or text[j] == " " and text[j + 1:j + 2] in ALNUM):
         if text[j] != " ":
             letters.append(text[j])
+            if len(letters) >= 15 and (j + 1 == len(text) or text[j + 1] not in ALNUM):
+                ends.append((len(letters), j + 1))
         j += 1
     code = "".join(letters)
     if not (15 <= len(code) and code[:2].isalpha() and code[2:4].isdigit()):
         return -1
-    number = int("".join(str(int(c, 36)) for c in code[4:] + code[:4]))
-    return j if number % 97 == 1 else -1
+    size = IBAN_SIZES.get(code[:2])
+    for n, end in reversed(ends):
+        if size in (None, n) and int("".join(str(int(c, 36)) for c in code[4:n] + code[:4])) % 97 == 1:
+            return end
+    return -1
+
+
+def _number(text: str, i: int) -> int:
+    """Where the number of the cue that ends at ``i`` begins, or -1: separators, and words between them."""
+    for _ in range(4):
+        start = i
+        while start < len(text) and start < i + 4 and text[start] in GAP:
+            start += 1
+        if start == i:
+            return -1
+        i = start
+        while i < len(text) and i < start + 7 and text[i] in ALNUM:
+            i += 1
+        if text[start:i].lower() not in FILLERS:
+            return start
+    return -1
 
 
 class Finder:
@@ -87,8 +115,7 @@ class Finder:
         for s in SCHEMES:
             add(s, "url")
         for cue, kind in CUES.items():
-            for form in {cue, cue.upper(), cue.capitalize()}:
-                add(form, kind)
+            add(cue, kind)
         for word, found in anchors.items():
             own.add_word(word, found)
         own.make_automaton()
@@ -98,7 +125,10 @@ class Finder:
         """All spans, by kind as listed, then by start."""
         out: dict[str, list[tuple[str, int, int]]] = {k: [] for k in KINDS}
         upto = dict.fromkeys(KINDS, 0)
-        for end, found in self.anchors.iter(text):
+        low = text.lower()
+        if len(low) != len(text):  # some capitals become two characters
+            low = text.translate(LOWER)
+        for end, found in self.anchors.iter(low):
             for kind, size in found:
                 begin = end + 1 - size
                 parse = getattr(self, "_" + kind)
@@ -181,10 +211,8 @@ class Finder:
     def _identifier(self, text, begin, end, upto, kind):
         if begin < upto["account"] or begin and text[begin - 1] in ALNUM:
             return
-        start = end
-        while start < len(text) and start < end + 4 and text[start] in GAP:
-            start += 1
-        if start == end:
+        start = _number(text, end)
+        if start < 0:
             return
         if kind == "iban":
             stop = _iban(text, start)

@@ -37,6 +37,22 @@ def test_cues_and_schemes():
     assert not found("https://host.example/path") and not found("a plain sentence, nothing else. 3 of 4")
 
 
+def test_common_forms_of_cues_and_numbers():
+    find = pii.Finder().find
+    gb, de = "GB29 NWBK 6016 1331 9268 19", "DE89 3704 0044 0532 0130 00"
+    for text, number in ((f"IBAN {gb} Please pay", gb), (f"IBAN {gb} please pay", gb), (f"iban: {gb.replace(' ', '')} 12 THE END", gb.replace(" ", "")),
+                         (f"The IBAN is {de} BIC COBADEFF", de), (f"IBAN {de}", de), ("IBAN NO93 8601 1117 947 Oslo", "NO93 8601 1117 947"),
+                         ("account number: 12345678", "12345678"), ("account no. 12345678", "12345678"), ("Account No: 12345678", "12345678"),
+                         ("ACCT NR 12345678.", "12345678"), ("acct #12345678", "12345678"), ("account number is: 12345678", "12345678"),
+                         ("SSN is 123-45-6789", "123-45-6789"), ("Social Security 123-45-6789", "123-45-6789"), ("\u0130 Ssn: 123-45-6789", "123-45-6789"),
+                         ("Social Security Number is 123-45-6789,", "123-45-6789"), ("sOcIaL sEcUrItY No.: 123-45-6789", "123-45-6789")):
+        at = text.index(number)
+        assert [s for s in find(text) if s[0] == "account"] == [("account", at, at + len(number))], text
+    for text in (f"IBAN {gb[:-1]}8 Please", f"IBAN {gb}Please", "account number of 12345678", "account number 12345", "account numbers 12345678", "SSN is 123-45-67890",
+                 "account is is is is 12345678", "subaccount no. 12345678", "account no", "account ", "IBAN is"):
+        assert not [s for s in find(text) if s[0] == "account"], text
+
+
 def test_column_redaction_and_edge_rows(texts_frame):
     long_text = "é " * 50_000 + "a@b.cd " + "x" * 50_000
     rows = [(1, "write a@b.cd or 10.0.0.1, a@b.cd"), (2, None), (3, ""), (1, "write a@b.cd or 10.0.0.1, a@b.cd"), (None, long_text)]
