@@ -14,7 +14,3 @@ def spark():
     session = local_session("*", 8, "panelkit-tests")
     session.sparkContext.setLogLevel("ERROR")
     return session
-
-
-def rows(df):
-    return [r.asDict() for r in df.collect()]

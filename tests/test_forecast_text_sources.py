@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from helpers import norm
 from panelkit.operators import forecast as FC
 from panelkit.operators import terms as T
 from panelkit.operators.panel import monthly_panel
@@ -86,10 +87,8 @@ TEXTS = ["La deuda pública de PEMEX creció", "La deuda pública de PEMEX creci
 
 def _count(texts, stop, n, min_df, min_len=2, floor="documents"):
     tf, df = Counter(), Counter()
-    from test_dates_and_scalars import _norm
-
     for t in texts:
-        words = [w for w in _norm(t or "").split() if len(w) >= min_len and w not in stop]
+        words = [w for w in norm(t or "").split() if len(w) >= min_len and w not in stop]
         grams = [" ".join(words[i:i + n]) for i in range(len(words) - n + 1)]
         tf.update(grams)
         df.update(set(grams))
