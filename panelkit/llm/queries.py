@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import bpe, chat, lm, mixing, pii, quality, secrets, sharding, superminhash, vectors
+from panelkit.llm import bpe, chat, lm, mixing, pii, positives, quality, search, secrets, sharding, superminhash, trie, vectors
 from panelkit.llm.batches import small_batches
+from panelkit.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -175,3 +176,57 @@ def op4_lm_scoring(spark, d):
 @query("op5_mixing")
 def op5_mixing(spark, d):
     return mixing.taken_words(table(spark, d, "documents"))
+
+
+OP11_SQL = """WITH d AS (SELECT row_number() OVER () AS k, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+i AS (SELECT item, item_id, term, count(*) AS times FROM (SELECT row_number() OVER () AS item, item_id,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY ALL),
+n AS (SELECT k, doc_id, count(*) AS n FROM d GROUP BY k, doc_id),
+t AS (SELECT count(*)::BIGINT AS docs, coalesce(sum(n), 0)::BIGINT AS total FROM n),
+tf AS (SELECT k, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM i) GROUP BY k, term),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, t GROUP BY term),
+s AS (SELECT item, item_id, tf.k, n.doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))))::BIGINT AS score
+  FROM i JOIN tf USING (term) JOIN w USING (term) JOIN n ON n.k = tf.k, t GROUP BY item, item_id, tf.k, n.doc_id)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0) WHERE rank <= 20"""
+
+
+@query("op11_reversed_search", OP11_SQL)
+def op11_reversed_search(spark, d):
+    return search.search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("op12_positive_unlabelled")
+def op12_positive_unlabelled(spark, d):
+    rest = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
+    scored = positives.quality_scores(table(spark, d, "documents"), table(spark, d, "labels"), rest != 0)
+    return scored.select("doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+OP13_SQL = """WITH own AS (SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+crc AS (SELECT conv_id, turns, xor(list_reduce(list_concat([4294967295::BIGINT], flatten([[-2 - ascii(x), -1, -1, -1, -1, -1, -1, -1, -1] for x in string_split(conv_id::VARCHAR, '')])),
+    lambda c, x: CASE WHEN x < -1 THEN xor(c, -2 - x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295) % 4 AS h FROM own),
+built AS (SELECT c.conv_id, list_concat(coalesce(list_slice(b.turns, 1, c.h), []), list_slice(c.turns, c.h + 1, len(c.turns))) AS path
+  FROM crc c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
+p AS (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS depth FROM built),
+nodes AS MATERIALIZED (SELECT min(conv_id) AS conv_id, depth, list_slice(path, 1, depth) AS path, count(*) AS n_convs,
+    (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(any_value(path)[depth].t, '[^ \t-\r]+')) END AS own,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(path) = depth), '')) AS ends_sha256
+  FROM (SELECT conv_id, path, depth FROM p) GROUP BY depth, list_slice(path, 1, depth)),
+kids AS (SELECT depth - 1 AS depth, list_slice(path, 1, depth - 1) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+full_ AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids ON kids.depth = nodes.depth AND kids.path = nodes.path),
+up AS (SELECT path, depth, unnest(range(0, depth + 1)) AS above, own, n_children FROM full_),
+sums AS (SELECT above AS depth, list_slice(path, 1, above) AS path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(own)::BIGINT AS saved_tokens FROM up GROUP BY ALL)
+SELECT f.conv_id, f.depth::BIGINT AS depth, a.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, f.ends_sha256
+FROM full_ f JOIN sums s ON s.depth = f.depth AND s.path = f.path LEFT JOIN full_ a ON a.depth = f.depth - 1 AND a.path = list_slice(f.path, 1, f.depth - 1)"""
+
+
+@query("op13_prefix_trie", OP13_SQL)
+def op13_prefix_trie(spark, d):
+    turns = materialize(trie.number_turns(table(spark, d, "conversations")))
+    heads = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    nodes = trie.prefix_trie(trie.rebuilt(turns, heads, F.col("conv_id") - F.col("conv_id") % 20, most_heads=3))
+    return nodes.drop("a", "b")

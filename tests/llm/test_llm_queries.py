@@ -32,8 +32,19 @@ def test_sharding_matches_sql_with_a_small_limit(spark):
     assert sharding.SHARD_BYTES > 20_000
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+
+
+def test_positive_unlabelled(spark, documents):
+    import zlib
+
+    got = QUERIES["op12_positive_unlabelled"](spark, SF_DIR).collect()
+    assert Counter((r.doc_id, r.held_out) for r in got) == Counter((i, zlib.crc32(str(i).encode()) % 5 == 0) for i, _ in documents)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
+    labels = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{SF_DIR}/labels.parquet'").fetchall())
+    held = [(labels[r.doc_id], r.predicted) for r in got if r.held_out and r.doc_id in labels]
+    assert sum(a == b for a, b in held) >= 0.9 * len(held)
 
 
 def test_bpe(spark, documents):
