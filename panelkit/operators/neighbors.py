@@ -1,10 +1,16 @@
 """Exact nearest neighbours and exact pairwise sums, in blocks of bounded size.
 
-Training rows are parted into cells around sampled pivots. A query visits a cell only if the triangle inequality allows
-one of its nearest rows there: the cells with the smallest (distance to the pivot + radius) that together hold k rows give
-a bound, and a cell counts if its distance less its radius is within it. On rows without any clusters few cells can be
-left out. Cells are cut into blocks by a hash of the row key; two blocks meet in one task as two small matrices, and what
-leaves a task is k rows per query, never all pairs. Rows of one key share a block.
+Training rows are parted into cells around sampled pivots. Of each cell the least and greatest distance of its rows to its own
+pivot and to some reference pivots far from each other are kept, so that the triangle inequality bounds a query's distance to
+the cell from several sides. A query visits cells best first, in a few rounds: each round lets it visit the next cells in the
+order of their lower bounds, and its k-th best distance so far shrinks the bound for the next round, until no cell lies
+within it. On rows without any clusters few cells can be left out. Cells are cut into blocks by a hash of the row key; two
+blocks meet in one task as two small matrices, and what leaves a task is k rows per query, never all pairs. Rows of one key
+share a block.
+
+A row with a null, NaN or infinite part (or without parts) has no distance to any row: as training row it is nobody's
+neighbour, as query it has no neighbours; other rows are not affected by it. A null level counts as a level that no column of
+the 0/1 coding stands for.
 """
 
 from __future__ import annotations
@@ -24,7 +30,9 @@ from panelkit.operators.preprocess import Preprocessor
 from panelkit.session import materialize
 
 BLOCK_ROWS = 4_096
-MOST_PIVOTS = 256
+MOST_PIVOTS = 1_024
+REFERENCES = 24
+FIRST_CELLS, MORE_CELLS = 1, 4  # cells a query visits in the first round, and the growth of that number from round to round
 MATRIX_CELLS = 4_000_000
 
 
@@ -63,8 +71,8 @@ def distances(x: np.ndarray, y: np.ndarray, p: int, codes=None) -> np.ndarray:
     if codes is not None:
         cx, cy = codes
         for j in range(cx.shape[1]):
-            unknown = cx[:, j] < 0
-            total += np.where(cx[:, j][:, None] == cy[:, j][None, :], 0, np.where(unknown, 1, 2)[:, None])
+            unknown = (cx[:, j] < 0)[:, None] | (cy[:, j] < 0)[None, :]
+            total += np.where(cx[:, j][:, None] == cy[:, j][None, :], 0, np.where(unknown, 1, 2))
     return total if p == 1 else np.sqrt(total)
 
 
@@ -73,33 +81,31 @@ def _tiles(n_query: int, n_train: int, width: int):
     return ((i, min(i + step, n_query)) for i in range(0, n_query, step))
 
 
+def _measurable(c: str) -> Column:
+    """Whether an array of numbers has parts, and only finite ones."""
+    return F.coalesce((F.size(c) > 0) & F.forall(c, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < math.inf)), F.lit(False))
+
+
 def knn_neighbors(train: DataFrame, query: DataFrame, k: int, ps: Sequence[int] = (2,), key: str = "id",
                   label: str = "label", by: Sequence[str] = (), exclude_self: bool = False,
-                  block_rows: int = BLOCK_ROWS) -> DataFrame:
+                  block_rows: int = BLOCK_ROWS, tally: list | None = None) -> DataFrame:
     """The ``k`` nearest training rows of every query, for every metric in ``ps``, ordered by distance then key.
 
     Both sides carry ``key``, ``x`` (array of numbers) and optionally ``levels`` (array of categories); train also
-    carries ``label``. With ``by`` the search stays inside equal groups. ``exclude_self`` skips the row's own key.
+    carries ``label``. With ``by`` the search stays inside equal groups. ``exclude_self`` skips the row's own key. Rows without
+    a distance are left out, see the module. ``tally`` gets the number of cells visited in each round.
     """
     by = list(by)
     has_levels = "levels" in train.columns and "levels" in query.columns
     levels = F.col("levels") if has_levels else F.array().cast("array<string>")
-    side = lambda df, *extra: df.select(*by, F.col(key).alias("id"), "x", levels.alias("levels"), *extra)
+
+    def side(df: DataFrame, *extra: Column) -> DataFrame:
+        return df.select(*by, F.col(key).alias("id"), F.col("x").cast("array<double>").alias("x"), levels.alias("levels"), *extra).where(_measurable("x"))
+
     left, right = side(train, F.col(label).alias("label")), side(query)
     types = {**{f.name: f.dataType.simpleString() for f in query.schema}, **{f.name: f.dataType.simpleString() for f in train.schema}}
     schema = ", ".join([f"`{b}` {types[b]}" for b in by] + [
         "p int", f"id {types[key]}", f"neighbor {types[key]}", "distance double", f"label {types[label]}"])
-    rows = left.count()
-    if rows <= block_rows:  # one cell
-        blocks = _block_count(right.count(), block_rows)
-        left = left.withColumn("p", F.explode(F.array(*[F.lit(p) for p in ps])))
-        right = right.withColumn("p", F.explode(F.array(*[F.lit(p) for p in ps])))
-        left, right = _blocked(left, "id", "__tb", 1, "__qb", blocks), _blocked(right, "id", "__qb", blocks, "__tb", 1)
-        group = [*by, "p", "__tb", "__qb"]
-    else:
-        left, right = _visited(left, right, rows, k + exclude_self, ps, by, block_rows)
-        group = [*by, "p", "__cell", "__tb", "__qb"]
-    right = _own_names(right)
 
     def nearest(t: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if t.empty or q.empty:
@@ -127,9 +133,22 @@ def knn_neighbors(train: DataFrame, query: DataFrame, k: int, ps: Sequence[int]
             out[b] = t[b].iloc[0]
         return out[[*by, "p", "id", "neighbor", "distance", "label"]]
 
-    found = left.groupBy(*group).cogroup(right.groupBy(*[f"q_{g}" for g in group])).applyInPandas(nearest, schema)
-    order = W.partitionBy(*by, "p", "id").orderBy("distance", "neighbor")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    def meet(t: DataFrame, q: DataFrame, group: list[str]) -> DataFrame:
+        q = _own_names(q)
+        return t.groupBy(*group).cogroup(q.groupBy(*[f"q_{g}" for g in group])).applyInPandas(nearest, schema)
+
+    def ranked(found: DataFrame) -> DataFrame:
+        order = W.partitionBy(*by, "p", "id").orderBy("distance", "neighbor")
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    rows, asking = left.count(), right.count()
+    if rows > block_rows:
+        return _best_first(left, right, rows, asking, k, k + exclude_self, ps, by, block_rows, meet, ranked, tally)
+    blocks = _block_count(asking, block_rows)
+    left = left.withColumn("p", F.explode(F.array(*[F.lit(p) for p in ps])))
+    right = right.withColumn("p", F.explode(F.array(*[F.lit(p) for p in ps])))
+    left, right = _blocked(left, "id", "__tb", 1, "__qb", blocks), _blocked(right, "id", "__qb", blocks, "__tb", 1)
+    return ranked(meet(left, right, [*by, "p", "__tb", "__qb"]))
 
 
 def _pivot_distances(frame: pd.DataFrame, px: np.ndarray, plevels: pd.Series, p: int) -> np.ndarray:
@@ -139,52 +158,102 @@ def _pivot_distances(frame: pd.DataFrame, px: np.ndarray, plevels: pd.Series, p:
                            for a, z in _tiles(len(x), len(px), px.shape[1])])
 
 
-def _visited(left: DataFrame, right: DataFrame, rows: int, k: int, ps: Sequence[int], by: list[str], block_rows: int):
-    """Training rows with their cell, and queries with every cell they must visit, both with the blocks that meet."""
+def _far_apart(d: np.ndarray, wanted: int) -> list[int]:
+    """Rows of a distance matrix that lie far from each other: each next one is the farthest from those taken."""
+    taken = [0]
+    near = d[0].copy()
+    while len(taken) < min(wanted, len(d)):
+        taken.append(int(near.argmax()))
+        near = np.minimum(near, d[taken[-1]])
+    return sorted(set(taken))
+
+
+def _equal(left: str, right: str, names: Sequence[str]) -> Column:
+    on = F.lit(True)
+    for c in names:
+        on = on & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return on
+
+
+def _joined(rows: DataFrame, table: DataFrame, names: Sequence[str], how: str = "inner", columns: Sequence[str] = ()) -> DataFrame:
+    """``rows`` with further columns of ``table``; null keys are equal."""
+    return rows.alias("l").join(table.alias("r"), _equal("l", "r", names), how).select("l.*", *[f"r.{c}" for c in columns])
+
+
+def _best_first(left: DataFrame, right: DataFrame, rows: int, asking: int, k: int, enough: int, ps: Sequence[int], by: list[str],
+                block_rows: int, meet, ranked, tally: list | None) -> DataFrame:
+    """Rounds of visits: the next cells of every query by lower bound, as long as one lies within its k-th best distance."""
     sample = left.orderBy(F.xxhash64("id"), "id").limit(min(MOST_PIVOTS, _block_count(rows, block_rows))).select("x", "levels").toPandas()
     px, plevels = _matrix(sample["x"]), sample["levels"]
-    names, slack = list(by), 1e-9
+    refs = {p: _far_apart(_pivot_distances(sample, px, plevels, p), REFERENCES) for p in ps}
+    width = max(map(len, refs.values()))
+    group, slack = [*by, "p"], 1e-9
 
     def place(frames):
         for frame in frames:
             for p in ps if len(frame) else ():
                 d = _pivot_distances(frame, px, plevels, p)
-                ok = np.isfinite(d).all(axis=1)
-                yield frame.assign(p=p, __cell=d.argmin(axis=1), __d=d.min(axis=1))[ok]
+                out = frame.assign(p=p, __cell=d.argmin(axis=1), __refs=list(np.column_stack([d.min(axis=1), d[:, refs[p]]])))
+                yield out[np.isfinite(d.min(axis=1))]
 
     declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema)
-    placed = materialize(left.mapInPandas(place, f"{declared}, p int, __cell int, __d double"))
-    cells = placed.groupBy(*names, "p", "__cell").agg(F.count(F.lit(1)).alias("n"), F.max("__d").alias("radius"))
-    packed = cells.groupBy(*names, "p").agg(F.sort_array(F.collect_list(F.struct("__cell", "n", "radius"))).alias("cells"))  # one entry per pivot
-    asked = right.withColumn("p", F.explode(F.array(*[F.lit(p) for p in ps]))).join(packed, [*names, "p"])
-
-    def visit(frames):
-        for frame in frames:
-            for p, part in frame.groupby("p", sort=False):
-                part = part.reset_index(drop=True)
-                d = _pivot_distances(part, px, plevels, int(p))
-                at, to = [], []
-                for i, own in enumerate(part["cells"]):
-                    cell, n, radius = (np.array([c[f] for c in own]) for f in ("__cell", "n", "radius"))
-                    near, far = d[i, cell] - radius, d[i, cell] + radius
-                    order = np.argsort(far)
-                    enough = np.searchsorted(np.cumsum(n[order]), k)
-                    bound = far[order][min(enough, len(order) - 1)] if enough < len(order) else np.inf
-                    hit = cell[near <= bound + slack * (1 + abs(bound))]
-                    at += [i] * len(hit)
-                    to += hit.tolist()
-                yield part.drop(columns="cells").iloc[at].assign(__cell=to)
-
-    asked_types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in asked.schema if f.name != "cells")
-    visits = materialize(asked.mapInPandas(visit, f"{asked_types}, __cell int"))
-    met = visits.groupBy(*names, "p", "__cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("__nq")).join(
-        cells.select(*names, "p", "__cell", F.ceil(F.col("n") / block_rows).cast("int").alias("__nt")), [*names, "p", "__cell"])
-    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    on = [*names, "p", "__cell"]
-    own = placed.drop("__d").join(met, on).withColumn("__tb", block("__nt")).withColumn("__qb", every("__nq"))
-    asking = visits.join(met, on).withColumn("__qb", block("__nq")).withColumn("__tb", every("__nt"))
-    return own.drop("__nt", "__nq"), asking.drop("__nt", "__nq")
+    placed = materialize(left.mapInPandas(place, f"{declared}, p int, __cell int, __refs array<double>"))
+    bound = lambda fn: F.array(*[fn(F.try_element_at("__refs", F.lit(j + 1))) for j in range(width + 1)])
+    cells = materialize(placed.groupBy(*group, "__cell").agg(F.count(F.lit(1)).alias("n"), bound(F.min).alias("low"), bound(F.max).alias("high")))
+
+    blocks = _block_count(asking, block_rows)
+    queries = right.withColumn("p", F.explode(F.array(*[F.lit(p) for p in ps]))).withColumn("__qb", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    near = cells.withColumn("__qb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))  # bounds of at most MOST_PIVOTS cells to each block of queries
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in queries.schema if f.name != "__qb")
+
+    def order(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        names = [x for x in q.columns if x != "__qb"]
+        if q.empty or c.empty:
+            return pd.DataFrame(columns=[*names, "cells", "lows", "bound"])
+        p = int(q["p"].iloc[0])
+        d = _pivot_distances(q, px, plevels, p)
+        cell, n = c["__cell"].to_numpy(), c["n"].to_numpy()
+        low, high = (np.array([list(v)[:len(refs[p]) + 1] for v in c[s]], float) for s in ("low", "high"))
+        least, most = np.maximum(d[:, cell] - high[:, 0], low[:, 0] - d[:, cell]), d[:, cell] + high[:, 0]
+        for j, ref in enumerate(refs[p], 1):
+            own = d[:, [ref]]
+            least = np.maximum(least, np.maximum(own - high[:, j], low[:, j] - own))
+            most = np.minimum(most, own + high[:, j])
+        far = np.argsort(most, axis=1)
+        at = (np.cumsum(n[far], axis=1) < enough).sum(axis=1)
+        first = np.where(at < len(cell), np.take_along_axis(most, far, 1)[np.arange(len(q)), np.minimum(at, len(cell) - 1)], np.inf)
+        least = np.maximum(least, 0.0)
+        by_low = np.argsort(least, axis=1, kind="stable")
+        lows = np.take_along_axis(least, by_low, 1)
+        within = (lows <= (first + slack * (1 + np.abs(first)))[:, None]).sum(axis=1)
+        return q[names].assign(cells=[cell[o[:w]].tolist() for o, w in zip(by_low, within)], lows=[o[:w].tolist() for o, w in zip(lows, within)], bound=first)
+
+    keys = [*group, "__qb"]
+    todo = materialize(queries.groupBy(*keys).cogroup(near.groupBy(*keys)).applyInPandas(order, f"{types}, cells array<int>, lows array<double>, bound double"))
+    best, take, on = None, FIRST_CELLS, [*group, "__cell"]
+    inside = lambda v: v <= F.col("bound") + slack * (1 + F.abs("bound"))
+    while True:
+        zipped = F.arrays_zip(F.slice("cells", 1, take).alias("cell"), F.slice("lows", 1, take).alias("low"))
+        visits = materialize(todo.select(*right.columns, "p", F.explode(F.filter(F.transform(zipped, lambda z: F.struct(z["cell"].alias("cell"), z["low"].alias("low"))),
+                                                                               lambda z: inside(z["low"]))).alias("v")).select(*right.columns, "p", F.col("v.cell").alias("__cell")))
+        if tally is not None:
+            tally.append(visits.count())
+        met = _joined(visits.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("__nq")), cells.withColumn(
+            "__nt", F.ceil(F.col("n") / block_rows).cast("int")), on, columns=["__nt"])
+        block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        own = _joined(placed.drop("__refs"), met, on, columns=["__nt", "__nq"]).withColumn("__tb", block("__nt")).withColumn("__qb", every("__nq"))
+        ask = _joined(visits, met, on, columns=["__nt", "__nq"]).withColumn("__qb", block("__nq")).withColumn("__tb", every("__nt"))
+        found = meet(own.drop("__nt", "__nq"), ask.drop("__nt", "__nq"), [*on, "__tb", "__qb"])
+        best = materialize(ranked(found if best is None else best.drop("rank").unionByName(found)))
+        reached = best.groupBy(*group, "id").agg(F.when(F.count(F.lit(1)) == k, F.max("distance")).alias("kth"))
+        rest = _joined(todo, reached, [*group, "id"], "left", ["kth"]).withColumn("bound", F.least("bound", "kth")).drop("kth")
+        size = F.greatest(F.size("cells") - take, F.lit(0))
+        rest = rest.withColumns({"cells": F.slice("cells", take + 1, size), "lows": F.slice("lows", take + 1, size)})
+        todo = materialize(rest.where((F.size("lows") > 0) & inside(F.try_element_at("lows", F.lit(1)))))
+        if todo.isEmpty():
+            return best
+        take *= MORE_CELLS
 
 
 def _weights(weights: str, nearest: Column) -> Column:
