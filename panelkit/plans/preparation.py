@@ -18,7 +18,7 @@ from panelkit.plans.registry import (AMOUNT_SQL, FACTS_SQL, FEATURES_SQL, MONTHS
                                      order_facts, panel_sql, query, r, rounded)
 from panelkit.session import checkpoint_dir
 from panelkit.sources.adapters import LINEITEM_CUTOFF, LINEITEM_FIRST_YEARS, LINEITEM_HOLDOUT, lineitem_facts, table
-from panelkit.sources.tables import read_facts, write_table
+from panelkit.sources.tables import read_facts, write_slices, write_table
 
 KEYS = ["subtema", "sector"]
 
@@ -32,12 +32,31 @@ def scan_facts(spark, d):
 CSV_TYPES = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType())])
 
 
-@query("scan_csv", "SELECT conv_id, turn, role, md5(text) AS text FROM conversations")
+@query("scan_csv", "SELECT conv_id, turn, role, md5(CASE WHEN conv_id % 2 = 0 THEN text || chr(65533) ELSE text END) AS text FROM conversations")
 def scan_csv(spark, d):
-    # A table with quotes, commas and line breaks goes through CSV files in the shared folder.
+    # A table with quotes, commas and line breaks goes through CSV files in the shared folder: one file for all rows that need
+    # UTF-8, some of which hold a true replacement character, and Latin-1 files for the others.
     path = f"{checkpoint_dir(spark)}/scan-csv-{uuid.uuid4().hex}"
-    write_table(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"), path)
-    return read_facts(spark, path, CSV_TYPES).select("conv_id", "turn", "role", F.md5(F.col("text").cast("binary")).alias("text"))
+    text = F.when(F.col("conv_id") % 2 == 0, F.concat("text", F.lit("\ufffd"))).otherwise(F.col("text"))
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", text.alias("text"))
+    narrow = F.coalesce(F.col("text").rlike(r"\A[\x00-\xFF]*\z"), F.lit(True))
+    write_table(rows.where(~narrow), f"{path}/wide", single_file=True)
+    write_table(rows.where(narrow), f"{path}/narrow", encoding="ISO-8859-1")
+    return read_facts(spark, [f"{path}/wide", f"{path}/narrow"], CSV_TYPES).select("conv_id", "turn", "role", F.md5(F.col("text").cast("binary")).alias("text"))
+
+
+@query("scan_csv_inferred", "SELECT p_partkey, p_name, p_brand, p_type, p_size::BIGINT AS p_size, p_retailprice FROM part")
+def scan_csv_inferred(spark, d):
+    path = f"{checkpoint_dir(spark)}/scan-csv-{uuid.uuid4().hex}"
+    write_table(table(spark, d, "part"), path)
+    return read_facts(spark, path, infer=True)
+
+
+@query("slice_export", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, lower(c_mktsegment) AS slice FROM customer")
+def slice_export(spark, d):
+    path = f"{checkpoint_dir(spark)}/slices-{uuid.uuid4().hex}"
+    write_slices(table(spark, d, "customer"), "c_mktsegment", path, fmt="parquet", rows_per_file=100)
+    return spark.read.parquet(path)
 
 
 @query("month_number", f"""SELECT {MONTHS_SQL}[month(l_shipdate)] AS mes, month(l_shipdate)::INT AS mes_num,
