@@ -7,6 +7,7 @@ all earlier parts. That table has at most (number of key groups + number of part
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -19,6 +20,9 @@ from panelkit.session import materialize
 
 PART = "__part"
 HOT_VALUES = 1_000
+ACCURACY = 2_000  # of the sketch that brackets a quantile: ranks are off by a 2000th of the rows at most
+FEW_GROUPS = 10_000  # whose table is broadcast
+WINDOW_VALUES = 1_000_000  # of one bracket that are sorted in one task
 
 
 @dataclass(frozen=True)
@@ -130,11 +134,78 @@ def avg_rank(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "avg_
     return attach_by_value(df, table, [*by, value]).drop("n")
 
 
+def attach_by_group(rows: DataFrame, table: DataFrame, by: Sequence[str], weight: str) -> DataFrame:
+    """Join a table with one row per group back to its rows: broadcast while the groups are few, else hot groups apart."""
+    table = materialize(table)
+    if table.count() > FEW_GROUPS:
+        return attach_by_value(rows, table, by, weight)
+    return rows.join(F.broadcast(table), list(by))
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation: one row per (group, column, prob).
 
-    The built-in exact percentile keeps every distinct value of a group in one buffer; this does not.
+    The built-in exact percentile keeps every distinct value of a group in one buffer, and a sort moves every cell. Here a
+    mergeable sketch brackets each quantile first: its rank error has a proven bound, so that the wanted ranks lie between two
+    of its values. Further passes count the cells below the bracket and take only the few inside it, by value. Should a
+    bracket not hold its ranks, all cells of this call are sorted.
     """
+    by, columns, probs = list(by), list(columns), [float(p) for p in probs]
+    keyed = df.dropna(subset=by).select(*by, *[F.col(c).cast("double").alias(f"__c{k}") for k, c in enumerate(columns)]) if by else df.select(
+        *[F.col(c).cast("double").alias(f"__c{k}") for k, c in enumerate(columns)])
+    reach = 2 / ACCURACY
+    ends = [x for p in probs for x in (max(0.0, p - reach), min(1.0, p + reach))]
+    sketch = [F.percentile_approx(f"__c{k}", F.array(*[F.lit(x) for x in ends]), F.lit(ACCURACY)).alias(f"__s{k}") for k in range(len(columns))]
+    sizes = [F.count(f"__c{k}").alias(f"__n{k}") for k in range(len(columns))]
+    found = keyed.groupBy(*by).agg(*sketch, *sizes, F.count(F.lit(1)).alias("__rows"))
+    brackets = {(k, j): (F.col(f"__s{k}")[2 * j], F.col(f"__s{k}")[2 * j + 1]) for k in range(len(columns)) for j in range(len(probs))}
+    if by:
+        bracketed = attach_by_group(keyed, found, by, "__rows")
+    else:
+        row = found.first()
+        bracketed = keyed.withColumns({name: F.lit(row[name]).cast(kind) for name, kind in found.dtypes})
+    many = lambda kj: F.col(f"__n{kj[0]}") > 2 * ACCURACY  # noqa: E731  else all cells are few
+    least = {kj: F.when(many(kj), lo).otherwise(F.lit(-math.inf)) if probs[kj[1]] > reach else F.lit(-math.inf) for kj, (lo, _) in brackets.items()}
+    most = {kj: F.when(many(kj), hi).otherwise(F.lit(math.nan)) if probs[kj[1]] < 1 - reach else F.lit(math.nan)  # NaN is the greatest value
+            for kj, (_, hi) in brackets.items()}
+    value = lambda kj: F.col(f"__c{kj[0]}")
+
+    label = lambda kj: (F.lit(columns[kj[0]]).alias("column"), F.lit(probs[kj[1]]).alias("prob"))
+    below = bracketed.groupBy(*by).agg(*[F.sum((value(kj) < least[kj]).cast("long")).alias(f"__b{kj[0]}_{kj[1]}") for kj in brackets],
+                                       *[F.first(f"__n{k}").alias(f"__n{k}") for k in range(len(columns))])
+    below = below.select(*by, F.inline(F.array(*[F.struct(*label(kj), F.coalesce(f"__b{kj[0]}_{kj[1]}", F.lit(0)).alias("below"),
+                                                          F.col(f"__n{kj[0]}").alias("size")) for kj in brackets])))
+    cells = F.array(*[F.when(value(kj).between(least[kj], most[kj]), F.struct(*label(kj), value(kj).alias("value"))) for kj in brackets])
+    inside = bracketed.select(*by, F.explode(F.filter(cells, lambda c: c.isNotNull())).alias("cell")).groupBy(
+        *by, "cell.column", "cell.prob", "cell.value").agg(F.count(F.lit(1)).alias("n"))
+    inside = materialize(inside.select(*by, "column", "prob", "value", "n"))
+    group = [*by, "column", "prob"]
+    widest = inside.groupBy(*group).agg(F.count(F.lit(1)).alias("values")).agg(F.max("values")).first()[0] or 0
+    if widest <= WINDOW_VALUES:
+        upto = inside.withColumn("upto", F.sum("n").over(W.partitionBy(*group).orderBy("value")))
+    else:
+        upto = running(inside.withColumn("rows", F.col("n")), ["value"], {"upto": Running("rows")}, by=group)
+    at = (F.col("size") - 1) * F.col("prob")
+    low, high = F.floor(at), F.ceil(at)
+    ranked = upto.alias("u").join(below.alias("b"), _same("u", "b", group)).select("u.*", "below", "size")
+    before = F.col("below") + F.col("upto") - F.col("n")
+    covers = lambda place: (before <= place) & (place < before + F.col("n"))
+    out = materialize(ranked.groupBy(*group).agg(
+        F.max(F.when(covers(low), F.col("value"))).alias("lo"), F.max(F.when(covers(high), F.col("value"))).alias("hi"), F.first(at - low).alias("part")))
+    if not out.where("lo IS NULL OR hi IS NULL").isEmpty():
+        return _sorted_quantiles(df.dropna(subset=by) if by else df, columns, probs, by)
+    return out.select(*group, (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("value"))
+
+
+def _same(left: str, right: str, names: Sequence[str]) -> Column:
+    on = F.lit(True)
+    for c in names:
+        on = on & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return on
+
+
+def _sorted_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """``exact_quantiles`` by the ranks of all distinct values."""
     by = list(by)
     long = df.select(*by, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])).alias("cell"))

@@ -9,6 +9,7 @@ from panelkit.operators import panel as P
 from panelkit.operators import profile as PR
 from panelkit.operators import sampling
 from panelkit.operators.charts import box_stats
+from panelkit.operators import scan
 from panelkit.operators.scan import Running, attach_by_value, avg_rank, exact_quantiles, running, value_ranks
 
 
@@ -200,3 +201,24 @@ def test_panel_plans_hold_no_python_and_no_single_task_window(spark):
         assert "Python" not in plan and "ArrowEval" not in plan, name
         assert "SinglePartition" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_brackets_hold_quantiles_of_large_and_small_groups(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    parts = {"big": np.round(rng.normal(size=30_000), 2), "hot": np.where(rng.random(9_000) < 0.5, 1.5, rng.exponential(size=9_000)), "few": rng.normal(size=7), "one": np.array([3.0])}
+    pdf = pd.DataFrame([(g, float(v)) for g, values in parts.items() for v in values], columns=["g", "v"])
+    df = spark.createDataFrame(pdf).repartition(6).withColumn("w", -F.col("v"))
+    probs = [0, 0.001, 0.25, 0.5, 0.75, 0.999, 1]
+    monkeypatch.setattr(scan, "_sorted_quantiles", None)  # no bracket fails
+    got = exact_quantiles(df, ["v", "w"], probs, ["g"]).toPandas()
+    assert len(got) == 4 * 2 * 7
+    for r in got.itertuples():
+        want = np.quantile(parts[r.g] * (1 if r.column == "v" else -1), r.prob)
+        assert np.isclose(r.value, want, rtol=1e-12, atol=1e-12), r
+    monkeypatch.setattr(scan, "WINDOW_VALUES", 3)
+    monkeypatch.setattr(scan, "FEW_GROUPS", 1)
+    again = exact_quantiles(df, ["v", "w"], probs, ["g"]).toPandas()
+    key = ["g", "column", "prob"]
+    pd.testing.assert_frame_equal(got.sort_values(key, ignore_index=True), again.sort_values(key, ignore_index=True)[got.columns])
+    nothing = exact_quantiles(df.where("v > 1e9"), ["v"], [0.5])
+    assert nothing.count() == 0
