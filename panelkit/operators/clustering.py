@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
+import pyarrow as pa
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -18,20 +18,109 @@ from panelkit.functions.scalars import ratio
 from panelkit.operators.neighbors import BLOCK_ROWS, _block_count, _blocked, _matrix, _own_names, _tiles, distances
 from panelkit.operators.sampling import sample_cap
 from panelkit.operators.scan import attach_by_value
+from panelkit.session import materialize
 
 
-def kmeans_fit(df: DataFrame, k: int, features: str = "features", seed: int = DEFAULTS.seed,
-               max_iter: int = 300) -> KMeansModel:
-    return KMeans(k=k, seed=seed, maxIter=max_iter, initMode="k-means||", featuresCol=features,
-                  predictionCol="cluster").fit(df)
+@dataclass(frozen=True)
+class Centres:
+    """A k-means fit: centres in lexicographic order, which is the number of their cluster, and the squared distances to them."""
 
+    vectors: np.ndarray
+    cost: float
+    rounds: int
 
-def assign(df: DataFrame, model: KMeansModel) -> DataFrame:
-    """Rows with their cluster. Clusters are numbered by the order of their centres, so that labels are stable."""
-    centres = [tuple(c) for c in model.clusterCenters()]
-    order = {old: new for new, old in enumerate(sorted(range(len(centres)), key=lambda i: centres[i]))}
-    renumber = F.element_at(F.array(*[F.lit(order[i]) for i in range(len(centres))]), F.col("cluster") + 1)
-    return model.transform(df).withColumn("cluster", renumber)
+
+def _numbers(df: DataFrame, features: str) -> Column:
+    kind = df.schema[features].dataType.simpleString()
+    return vector_to_array(features) if kind == "vector" else F.col(features).cast("array<double>")
+
+
+def _literal(vector: np.ndarray) -> Column:
+    return F.array(*[F.lit(float(v)) for v in vector])
+
+
+def start_centres(rows: DataFrame, k: int, seed: int = DEFAULTS.seed) -> np.ndarray:
+    """k-means++ centres of rows (key, x): each next one is drawn with a chance in proportion to its squared distance to those taken.
+
+    The draw is a race: -ln(u) / distance is least for the row drawn, where u is a number in (0, 1) from a digest of seed, step
+    and key. So it depends on the rows alone, and ties go to the smaller key. Fewer different rows than k give fewer centres.
+    """
+    taken: list[np.ndarray] = []
+    for step in range(k):
+        digest = F.md5(F.concat_ws(":", F.lit(f"{seed}:{step}"), F.col("key").cast("string")).cast("binary"))
+        u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(2.0 ** 52)
+        far = F.least(*[_squared(F.col("x"), _literal(c)) for c in taken]) if len(taken) > 1 else (_squared(F.col("x"), _literal(taken[0])) if taken else F.lit(1.0))
+        drawn = rows.select("key", "x", far.alias("d"), (-F.log(u) / F.nullif(far, F.lit(0.0))).alias("race")).where("d > 0")
+        won = drawn.agg(F.min_by("x", F.struct("race", "key"))).first()[0]
+        if won is None:
+            break
+        taken.append(np.array(won, float))
+    return np.array(taken)
+
+
+def _lloyd_sums(rows: DataFrame, fits: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """For every set of centres the rows per nearest centre, their sums and the squared distances in all, from one pass.
+
+    Spark adds what each task found.
+    """
+    d = fits[0].shape[1]
+    first = np.cumsum([0, *[len(c) for c in fits]])
+
+    def run(batches):
+        total = np.zeros((first[-1], d + 2))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            for begin, centres in zip(first, fits):
+                for a, z in _tiles(len(x), len(centres), d):
+                    far = ((x[a:z, None, :] - centres[None]) ** 2).sum(axis=2)
+                    near = far.argmin(axis=1)
+                    np.add.at(total, begin + near, np.column_stack([np.ones(z - a), far[np.arange(z - a), near], x[a:z]]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["at", "v"])
+
+    sums = rows.select("x").mapInArrow(run, "at bigint, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()  # one row per centre and dimension
+    out = np.zeros(first[-1] * (d + 2))
+    out[[r["at"] for r in sums]] = [r["v"] for r in sums]
+    parts = np.split(out.reshape(-1, d + 2), first[1:-1])
+    return [(part[:, 0], part[:, 2:], float(part[:, 1].sum())) for part in parts]
+
+
+def kmeans_fits(df: DataFrame, ks: Sequence[int], features: str = "features", seed: int = DEFAULTS.seed, max_iter: int = 300, key: str = "id",
+                start: np.ndarray | None = None) -> dict[int, Centres]:
+    """Lloyd's steps for several numbers of centres at once, from the first k of ``start`` or of ``start_centres``.
+
+    Every round is one pass for all fits whose centres still move. A row belongs to the nearest centre, ties to the first one;
+    a centre without rows stays where it is. Rows with a null, NaN or infinite part are left out. Only sums per centre reach
+    the driver.
+    """
+    rows = materialize(df.select(F.col(key).alias("key"), _numbers(df, features).alias("x")).where(
+        F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))))
+    first = start_centres(rows, max(ks), seed) if start is None else np.array(start, float)
+    if not len(first):
+        raise ValueError("k-means needs at least one row")
+    now, done, rounds = {k: first[:k] for k in ks}, {}, 0
+    while now:
+        for (k, centres), (n, sums, cost) in zip(list(now.items()), _lloyd_sums(rows, list(now.values()))):
+            moved = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres)
+            if rounds == max_iter or np.allclose(moved, centres, rtol=1e-12, atol=1e-12):
+                done[k] = Centres(np.array(sorted(map(tuple, centres))), cost, rounds)
+                del now[k]
+            else:
+                now[k] = moved
+        rounds += 1
+    return done
+
+
+def kmeans_fit(df: DataFrame, k: int, features: str = "features", seed: int = DEFAULTS.seed, max_iter: int = 300, key: str = "id",
+               start: np.ndarray | None = None) -> Centres:
+    """``kmeans_fits`` for one number of centres."""
+    return kmeans_fits(df, [k], features, seed, max_iter, key, start)[k]
+
+
+def assign(df: DataFrame, model: Centres, features: str = "features") -> DataFrame:
+    """Rows with their cluster: the nearest centre, ties to the smaller number."""
+    x = _numbers(df, features)
+    near = F.array(*[F.struct(_squared(x, _literal(c)).alias("d"), F.lit(i).alias("l")) for i, c in enumerate(model.vectors)])
+    return df.withColumn("cluster", F.array_min(near)["l"])
 
 
 def assign_to_centres(df: DataFrame, centres: DataFrame, x: str = "x", label: str = "cluster") -> DataFrame:
@@ -190,46 +279,68 @@ def v_measure(df: DataFrame, truth: str, cluster: str) -> DataFrame:
     return out.withColumn("v_measure", F.coalesce(ratio(2 * F.col("homogeneity") * F.col("completeness"), both), F.lit(0.0)))
 
 
-def _expected_mutual(rows: Sequence[tuple[float, int]], cols: Sequence[tuple[float, int]], n: float) -> float:
-    """Expected mutual information of random partitions with these (size, multiplicity) margins.
+def overlap_information(a: float, b: float, n: float) -> float:
+    """Expected share in the mutual information of two sets of sizes a and b among n rows, placed at random.
 
-    The overlap of two sets is hypergeometric. Overlaps more than 40 standard deviations (and 40) from the mean are left out:
-    by Chebyshev's and Hoeffding's bounds all of them together weigh less than the rounding error of the sum.
+    Their overlap is hypergeometric. Its probabilities follow from the most likely overlap by their ratios, in both directions
+    until they vanish beside it, and are then scaled to 1; no factorials are needed.
     """
-    lg = np.vectorize(math.lgamma, otypes=[float])
-    total = 0.0
-    for a, times_a in rows:
-        for b, times_b in cols:
-            mean = a * b / n
-            sd = math.sqrt(max(a * b * (n - a) * (n - b) / (n * n * max(n - 1, 1)), 0.0))
-            low = max(1, a + b - n, math.floor(mean - 40 * sd - 40))
-            high = min(a, b, math.ceil(mean + 40 * sd + 40))
-            if high < low:
-                continue
-            x = np.arange(low, high + 1, dtype=float)
-            log_p = (math.lgamma(a + 1) + math.lgamma(b + 1) + math.lgamma(n - a + 1) + math.lgamma(n - b + 1)
-                     - math.lgamma(n + 1) - lg(x + 1) - lg(a - x + 1) - lg(b - x + 1) - lg(n - a - b + x + 1))
-            total += times_a * times_b * float(np.sum(x / n * np.log(n * x / (a * b)) * np.exp(log_p)))
-    return total
+    low, high = max(0.0, a + b - n), min(a, b)
+    mode = min(max(np.floor((a + 1) * (b + 1) / (n + 2)), low), high)
 
+    def side(first: float, end: float, step: int) -> tuple[np.ndarray, np.ndarray]:
+        at, weight, last = [], [], 1.0
+        while (end - first) * step >= 0 and last > 1e-30:
+            k = np.arange(first, min(first + 256 * step, end + step) if step > 0 else max(first + 256 * step, end + step), step)
+            ratio_ = (a - k + 1) * (b - k + 1) / (k * (n - a - b + k)) if step > 0 else (k + 1) * (n - a - b + k + 1) / ((a - k) * (b - k))
+            w = last * np.cumprod(ratio_)
+            at.append(k)
+            weight.append(w)
+            first, last = k[-1] + step, float(w[-1])
+        return (np.concatenate(at), np.concatenate(weight)) if at else (np.empty(0), np.empty(0))
 
-def adjusted_mutual_info(df: DataFrame, truth: str, cluster: str) -> DataFrame:
-    """Mutual information corrected for chance, over the mean of both entropies.
+    up, down = side(mode + 1, high, 1), side(mode - 1, low, -1)
+    k, w = np.concatenate([[mode], up[0], down[0]]), np.concatenate([[1.0], up[1], down[1]])
+    some = k > 0
+    return float((w[some] * k[some] / n * np.log(n * k[some] / (a * b))).sum() / w.sum())
 
-    The chance term depends on the distinct margin sizes only: that small table goes to the driver.
+
+SIZE_BLOCK = 256
+
+
+def _expected_mutual(margins: DataFrame, n: float) -> float:
+    """Expected mutual information of random partitions: one sum over pairs of distinct sizes of both margins.
+
+    ``margins``: level, n (size), times. Blocks of sizes meet in tasks by their numbers; a task sends on one sum.
     """
+    side = lambda lv: margins.where(F.col("level") == lv).select(F.col("n").cast("double").alias("id"), "times")
+    rows, cols = side(_ROW), side(_COL)
+    count = {r["level"]: r["c"] for r in margins.groupBy("level").agg(F.count(F.lit(1)).alias("c")).collect()}
+    blocks = {lv: _block_count(count.get(lv, 0), SIZE_BLOCK) for lv in (_ROW, _COL)}
+    left = _blocked(rows, "id", "__rb", blocks[_ROW], "__cb", blocks[_COL])
+    right = _own_names(_blocked(cols, "id", "__cb", blocks[_COL], "__rb", blocks[_ROW]))
+
+    def total(r: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        value = sum(ta * tb * overlap_information(a, b, n) for a, ta in zip(r["id"], r["times"]) for b, tb in zip(c["q_id"], c["q_times"]))
+        return pd.DataFrame({"value": [float(value)]})
+
+    met = left.groupBy("__rb", "__cb").cogroup(right.groupBy("q___rb", "q___cb")).applyInPandas(total, "value double")
+    return float(met.agg(F.coalesce(F.sum("value"), F.lit(0.0))).first()[0])
+
+
+def adjusted_mutual_info(df: DataFrame, truth: str, cluster: str) -> DataFrame:
+    """Mutual information corrected for chance, over the mean of both entropies."""
     spark = df.sparkSession
     e = _entropies(df, truth, cluster).first()
-    sizes = contingency(df, truth, cluster).where(F.col("level").isin(_ROW, _COL)).groupBy("level", "n").agg(
-        F.count(F.lit(1)).alias("times")).collect()
-    rows, cols = ([(float(r["n"]), r["times"]) for r in sizes if r["level"] == lv] for lv in (_ROW, _COL))
+    margins = materialize(contingency(df, truth, cluster).where(F.col("level").isin(_ROW, _COL)).groupBy("level", "n").agg(
+        F.count(F.lit(1)).alias("times")))
+    values = {r["level"]: r["values"] for r in margins.groupBy("level").agg(F.sum("times").alias("values")).collect()}
     mutual = max(e["h_truth"] + e["h_cluster"] - e["h_joint"], 0.0)
-    trivial = sum(t for _, t in rows) == sum(t for _, t in cols) == 1
-    expected = _expected_mutual(rows, cols, e["n"])
+    expected = _expected_mutual(margins, e["n"])
     spread = (e["h_truth"] + e["h_cluster"]) / 2 - expected
     tiny = float(np.finfo("float64").eps)
     spread = min(spread, -tiny) if spread < 0 else max(spread, tiny)
-    value = 1.0 if trivial else (mutual - expected) / spread
+    value = 1.0 if values.get(_ROW) == values.get(_COL) == 1 else (mutual - expected) / spread
     return spark.createDataFrame([(float(value),)], "adjusted_mutual_info double")
 
 
@@ -239,16 +350,12 @@ def kmeans_select(df: DataFrame, ks: Sequence[int] = DEFAULTS.cluster_k, key: st
 
     The silhouette is the linear one over all rows; with ``max_rows`` the Euclidean one on one sample of that many rows.
     """
-    rows = df.select(key, features).persist()
-    try:
-        table = []
-        for k in ks:
-            model = kmeans_fit(rows, k, features, seed)
-            scored = assign(rows, model).withColumn("x", vector_to_array(features))
-            score = (silhouette(scored, key, "x", "cluster", max_rows, seed) if max_rows else silhouette_linear(scored)).first()[0]
-            table.append((int(k), float(model.summary.trainingCost), score))
-    finally:
-        rows.unpersist()
+    rows = materialize(df.select(key, features))
+    table = []
+    for k, model in sorted(kmeans_fits(rows, ks, features, seed, key=key).items()):
+        scored = assign(rows, model, features).withColumn("x", _numbers(rows, features))
+        score = (silhouette(scored, key, "x", "cluster", max_rows, seed) if max_rows else silhouette_linear(scored)).first()[0]
+        table.append((int(k), model.cost, score))
     best = max((s for _, _, s in table if s is not None), default=None)
     chosen = next((k for k, _, s in table if s is not None and s == best), None)
     return df.sparkSession.createDataFrame([(*r, r[0] == chosen) for r in table],

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from panelkit.config import DEFAULTS
 from panelkit.operators import clustering as C
 from panelkit.operators import metrics as M
 from panelkit.operators import neighbors as N
 from panelkit.operators.panel import panel_features, temporal_split, time_series_folds
 from panelkit.operators.preprocess import Preprocessor, impute_median, impute_mode, standardize
+from panelkit.plans.cluster_sql import assigned_sql, kmeans_sql, pca_sql, points_sql, select_sql, summary_sql
 from panelkit.plans.registry import FEATURES_SQL, facts, query, r, rounded
 from panelkit.session import materialize
 from panelkit.sources.adapters import ERA_A, ERA_B, LINEITEM_CUTOFF, LINEITEM_HOLDOUT, table
@@ -260,28 +262,34 @@ def _prepared(spark, d):
     return prep.transform(train), prep.transform(test)
 
 
-@query("kmeans_select")
+POINTS_SQL = points_sql(NUMERIC, _Z)
+WIDTH = len(NUMERIC) + 5
+
+
+@query("kmeans_select", select_sql(POINTS_SQL, WIDTH, DEFAULTS.cluster_k))
 def kmeans_select(spark, d):
     train, _ = _prepared(spark, d)
-    return C.kmeans_select(train)
+    return rounded(C.kmeans_select(train))
 
 
-@query("kmeans_assign")
+@query("kmeans_assign", f"""WITH {POINTS_SQL}, {kmeans_sql(WIDTH, [4])}, {assigned_sql()}
+  SELECT id, fecha, subtema, sector, sexenio, {', '.join(f'{r(c)} AS {c}' for c in NUMERIC)}, cluster FROM g""")
 def kmeans_assign(spark, d):
     train, test = _prepared(spark, d)
     model = C.kmeans_fit(train, 4)
-    return C.assign(train, model).unionByName(C.assign(test, model)).select("id", "fecha", "subtema", "sector", "sexenio", *NUMERIC, "cluster")
+    both = C.assign(train, model).unionByName(C.assign(test, model))
+    return rounded(both.select("id", "fecha", "subtema", "sector", "sexenio", *NUMERIC, "cluster"))
 
 
-@query("cluster_summary")
+@query("cluster_summary", summary_sql(POINTS_SQL, WIDTH, 4))
 def cluster_summary(spark, d):
     train, test = _prepared(spark, d)
     model = C.kmeans_fit(train, 4)
     parts = {n: C.assign(p, model).withColumn("x", vector_to_array("features")) for n, p in (("train", train), ("test", test))}
-    return C.cluster_summary(parts, "sexenio")
+    return rounded(C.cluster_summary(parts, "sexenio"))
 
 
-@query("pca_2d")
+@query("pca_2d", pca_sql(POINTS_SQL))
 def pca_2d(spark, d):
     train, test = _prepared(spark, d)
-    return C.pca_2d(train, test).select("id", "pc1", "pc2", "explained")
+    return rounded(C.pca_2d(train, test).select("id", "pc1", "pc2", "explained"))

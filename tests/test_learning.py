@@ -215,7 +215,7 @@ def test_external_measures(spark):
         outer = p.sum(1, keepdims=True) * p.sum(0, keepdims=True)
         return np.sum(p[p > 0] * np.log(p[p > 0] / outer[p > 0]))
 
-    exact = C._expected_mutual([(float(v), 1) for v in ta], [(float(v), 1) for v in tc], 40.0)
+    exact = sum(C.overlap_information(float(a), float(b), 40.0) for a in ta for b in tc)
     sampled = np.mean([mutual(rng.permutation(t), c) for _ in range(4000)])
     assert np.isclose(exact, sampled, atol=0.003)
 
@@ -228,13 +228,52 @@ def test_kmeans_invariants_and_selection(blobs):
     assert all(a > b for a, b in zip(inertia[:2], inertia[1:3])) and [r.k for r in table if r.best] == [3]
     model = C.kmeans_fit(data, 3)
     got = C.assign(data, model).select("id", "x", "cluster").toPandas()
-    centres = np.array(sorted(tuple(c) for c in model.clusterCenters()))
+    centres = np.array(sorted(map(tuple, model.vectors)))
     near = [int(np.argmin([np.linalg.norm(np.array(x) - c) for c in centres])) for x in got.x]
     assert got.cluster.tolist() == near
     assert C.adjusted_rand(C.assign(data, model).join(df.select("id", F.col("cluster").alias("t")), "id"), "t", "cluster").first()[0] == 1
     assert 0.5 < C.silhouette_linear(C.assign(data, model).withColumn("x", vector_to_array("features"))).first()[0] <= 1
 
 
+def test_kmeans_from_a_given_start_with_ties_and_an_empty_cluster(spark):
+    rows = [(i, [float(v)]) for i, v in enumerate([0, 0, 2, 2, 4, 10])] + [(6, None), (7, [float("nan")])]
+    df = spark.createDataFrame(rows, "id long, features array<double>")
+    start = np.array([[1.0], [3.0], [100.0]])  # 2 is as near to the first as to the second; nothing is near the third
+    first = C.kmeans_fit(df, 3, max_iter=1, start=start)
+    assert first.vectors.tolist() == [[1.0], [7.0], [100.0]]
+    done = C.kmeans_fit(df, 3, start=start)
+    assert done.vectors.tolist() == [[1.6], [10.0], [100.0]] and np.isclose(done.cost, 11.2)
+    assert {r.id: r.cluster for r in C.assign(df.where("id < 6"), done).collect()} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 5: 1}
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(5)], "id long, features array<double>")
+    assert len(C.kmeans_fit(same, 3).vectors) == 1
+    with pytest.raises(ValueError):
+        C.kmeans_fit(df.where("id > 5"), 2)
+
+
+def test_overlaps_against_the_full_sum():
+    lg = np.vectorize(math.lgamma)
+    for a, b, n in ((1, 1, 1), (1, 5, 7), (6, 5, 7), (300, 400, 1000), (999, 999, 1000), (20000, 30000, 100000), (2, 99999, 100000)):
+        k = np.arange(max(1, a + b - n), min(a, b) + 1, dtype=float)
+        log_p = lg(a + 1) + lg(b + 1) + lg(n - a + 1) + lg(n - b + 1) - lg(n + 1) - lg(k + 1) - lg(a - k + 1) - lg(b - k + 1) - lg(n - a - b + k + 1)
+        want = float(np.sum(k / n * np.log(n * k / (a * b)) * np.exp(log_p)))
+        assert np.isclose(C.overlap_information(float(a), float(b), float(n)), want, rtol=1e-7, atol=1e-15)
+
+
+def test_many_sizes_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(C, "SIZE_BLOCK", 3)
+    rng = np.random.default_rng(5)
+    pairs = [(int(rng.integers(0, 12) ** 2 // 10), int(rng.integers(0, 15) ** 2 // 12)) for _ in range(600)]
+    df = spark.createDataFrame(pairs, "t int, c int")
+    (t, c), n = (np.array(v) for v in zip(*pairs)), 600
+    cells = np.zeros((t.max() + 1, c.max() + 1))
+    np.add.at(cells, (t, c), 1)
+    h = lambda v: -sum(x / n * math.log(x / n) for x in np.ravel(v) if x)
+    a, b = cells.sum(1), cells.sum(0)
+    expected = sum(C.overlap_information(x, y, float(n)) for x in a[a > 0] for y in b[b > 0])
+    want = (h(a) + h(b) - h(cells) - expected) / ((h(a) + h(b)) / 2 - expected)
+    assert np.isclose(C.adjusted_mutual_info(df, "t", "c").first()[0], want, rtol=1e-9)
+
+
 def test_pca_centres_and_fixes_signs(blobs):
     pts, _, df = blobs
     wide = df.withColumn("x", F.concat("x", F.array(F.sin(F.col("x")[0]) + F.col("x")[1])))  # two columns would come back as they are
