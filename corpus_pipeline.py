@@ -26,7 +26,10 @@ def with_length(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that neither the base nor the learned rules reject."""
+    """Documents that neither the base nor the learned rules reject.
+
+    A null or empty text has no words and goes; equal rows are judged alike; without labels only the base rules reject.
+    """
     rules = quality.learn_list(quality.labelled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
     return quality.judge(docs, rules).where("quality_stats.kept").select(*COLUMNS)
 
@@ -46,19 +49,28 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; each secret in their texts is replaced by its kind in angle brackets."""
-    findings, _ = secrets.scan_versions(docs)
+    """All documents; each secret in their texts is replaced by its kind in angle brackets.
+
+    A null text stays null; equal rows and rows without id are all kept.
+    """
+    findings = secrets.scan_with_ledger(docs, f"{checkpoint_dir(spark)}/secret-ledger-{uuid.uuid4().hex}")
     found = secrets.join_back(docs, findings, keep=COLUMNS)
     return with_length(found.withColumn("text", pii.redact(F.col("text"), F.col("secret_spans"))))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix takes, as documents: one row per text and round."""
+    """The words that the mix takes, as documents: one row per text and round.
+
+    A null or empty text has no words, so no row; equal rows are mixed each; a null source is a source of its own.
+    """
     return with_length(mixing.mixed_texts(docs.select(*COLUMNS)))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each text, whether they decode to its bytes, and a digest of the text, which tells rows of one id apart."""
+    """Ids of each text, whether they decode to its bytes, and a digest of the text, which tells rows of one id apart.
+
+    A null text counts as the empty one: no ids, restored. Every row gives one row.
+    """
     ranks = bpe.read_vocabulary(public_tokenizers.path(VOCABULARY))
     coded = docs.select(*COLUMNS, bpe.round_trip("text", ranks).alias("c"))
     bytes_ = F.coalesce("text", F.lit("")).cast("binary")
