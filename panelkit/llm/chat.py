@@ -78,13 +78,12 @@ def format_chat(messages: DataFrame, parts: Column | None = None, conv_id: str =
                 text: str = "text") -> DataFrame:
     """One row per conversation: ``formatted``, ``loss_mask`` (skip, take by turn) and ``attachments``."""
     parts = text_part(text) if parts is None else F.coalesce(parts, F.array().cast(f"array<{PART}>"))
-    one = messages.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), escape_role(F.col(role)).alias("role"),
-                          (F.col(role) == TRAINED).alias("trained"), parts.alias("parts"))
-    attached = F.transform(F.filter("parts", _is_attached),
-                           lambda p: F.struct(p["kind"].alias("kind"), p["ref"].alias("ref"), _tokens(p).alias("tokens")))
-    one = one.select("conv_id", F.struct("turn", "role", F.array_join(F.transform("parts", visit), "").alias("body"),
-                                         F.coalesce("trained", F.lit(False)).alias("trained"), attached.alias("attached")).alias("m"))
-    turns = one.groupBy("conv_id").agg(F.sort_array(F.collect_list("m")).alias("m"))
+    plain = F.coalesce(F.col(role), F.lit(""))
+    turns = messages.select(F.col(conv_id).alias("conv_id"), F.struct(F.col(turn).alias("turn"), plain.alias("role"), parts.alias("parts")).alias("m")).groupBy("conv_id").agg(
+        F.sort_array(F.collect_list("m")).alias("m"))  # by turn, null first, then by role and parts as they are
+    turns = turns.select("conv_id", F.transform("m", lambda m: F.struct(
+        escape_role(m["role"]).alias("role"), F.array_join(F.transform(m["parts"], visit), "").alias("body"), (m["role"] == TRAINED).alias("trained"),
+        F.transform(F.filter(m["parts"], _is_attached), lambda p: F.struct(p["kind"].alias("kind"), p["ref"].alias("ref"), _tokens(p).alias("tokens"))).alias("attached"))).alias("m"))
     head = lambda m: F.concat(F.lit(START), m["role"], F.lit("\n"))
     mask = F.transform("m", lambda m: F.struct(F.length(head(m)).alias("skip"),
                                                F.when(m["trained"], F.length(m["body"])).otherwise(0).alias("take")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from panelkit.llm import bpe, chat, lm, mixing, pii, positives, quality, search, secrets, sharding, superminhash, trie, vectors
 from panelkit.llm.batches import small_batches
-from panelkit.session import materialize
+from panelkit.session import checkpoint_dir, materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,7 +73,7 @@ def op2_pii_anchors(spark, d):
 @query("op7_secret_scan")
 def op7_secret_scan(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
-    findings, _ = secrets.scan_versions(docs)
+    findings = secrets.scan_with_ledger(docs, f"{checkpoint_dir(spark)}/secret-ledger-{uuid.uuid4().hex}")
     found = secrets.join_back(docs, findings, keep=["doc_id"])
     s, base = F.col("secret_spans"), [r.kind for r in secrets.BASE_RULES]
     return found.select("doc_id", *[count_kind(s, k) for k in base], sha256(joined_spans(s, base)).alias("base_sha256"), joined_spans(s).alias("spans"))
@@ -84,9 +85,9 @@ OP9_SQL = f"""WITH m AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '{FORGED}' UNION ALL SELECT -1, 1, 'assistant', '{FORGED}')
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   sum(24 + length({_ESC.format('role')}) + length({_ESC.format('text')}))::BIGINT AS formatted_chars
 FROM m GROUP BY conv_id"""
 

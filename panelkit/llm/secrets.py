@@ -7,14 +7,16 @@ Offsets come from the pieces between matches: a match starts where the lengths o
 The running sum is a window over the few findings of one blob.
 
 Defined results: a null text counts as empty and has no findings; repeated rows and copies share their blob's findings;
-null paths are kept; an empty table gives an empty table; other columns never enter the scan.
+null paths are kept; an empty table gives an empty table; other columns never enter the scan. ``scan_with_ledger`` keeps
+ledger and findings as tables, so that later scans show old secrets on every path and a raised rule replaces its old findings.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelkit.session import materialize
@@ -101,6 +103,40 @@ def scan_versions(versions: DataFrame, text: str = "text", ledger: DataFrame | N
     return scan(todo, rules), added
 
 
+LEDGER = "blob {}, kind string, version int"
+FINDINGS = "blob {}, place int, kind string, version int, start int, end int"
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of the ledger, empty before the first scan."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def _of_rules(rows: DataFrame, rules) -> DataFrame:
+    """Rows of the current version of each rule."""
+    current = F.array(*[F.lit(f"{r.kind}@{r.version}") for r in rules])
+    return rows.where(F.array_contains(current, F.concat_ws("@", "kind", "version")))
+
+
+def scan_with_ledger(versions: DataFrame, folder: str, text: str = "text", rules=RULES) -> DataFrame:
+    """All findings of the current rules in all versions scanned so far, whichever scan found them.
+
+    ``folder`` (shared) holds two tables that only grow: which blob was scanned by which version of a rule, and what was found.
+    Only unseen pairs are scanned. Findings are stored before the pairs, so that a scan that breaks off is done again; what it
+    had stored twice counts once. Findings of a rule's earlier versions stay in the table, but are not given.
+    """
+    spark = versions.sparkSession
+    kind = dict(versions.select(blob_id(F.col(text)).alias("blob")).dtypes)["blob"]
+    ledger = _stored(spark, f"{folder}/scanned", LEDGER.format(kind))
+    new, added = scan_versions(versions, text, ledger, rules)
+    new.write.mode("append").parquet(f"{folder}/found")
+    added.write.mode("append").parquet(f"{folder}/scanned")
+    return _of_rules(_stored(spark, f"{folder}/found", FINDINGS.format(kind)), rules).dropDuplicates()
+
+
 def spans_by_blob(findings: DataFrame) -> DataFrame:
     """One row per blob: its findings by start, then by rule. One text's findings make one row."""
     one = F.struct("start", "place", "kind", "end")

@@ -49,3 +49,9 @@ def test_typed_parts(spark):
     assert got[1].formatted == ("<|im_start|>user\nlook <\\|<|image|><|audio|><|im_end|>\n<|im_start|>assistant\n<|document|>doneodd<|image|><|im_end|>\n")
     assert [tuple(a) for a in got[1].attachments] == [(0, 0, "image", "a.png", 4), (0, 1, "audio", "b.wav", 26), (1, 0, "document", "c.pdf", 768), (1, 1, "image", None, 0)]
     assert [t.text for t in got[2].turns] == ["", ""] and got[2].attachments == []
+
+
+def test_rows_of_one_turn_are_ordered_by_their_texts_as_they_are(spark):
+    rows = [(1, 0, "user", "<|a"), (1, 0, "user", "b"), (1, 0, "user", "<z"), (1, 0, "user", "\\"), (1, 0, "user", "]"), (1, 0, "a<|", "x"), (1, 0, "aa", "x"), (1, None, "z", "z")]
+    got = _read(chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+    assert [(t.role, t.text) for t in got[1].turns] == sorted((r[2:] for r in rows), key=lambda x: (x[0] != "z", x))

@@ -100,3 +100,24 @@ def test_empty_table(texts_frame):
     frame = texts_frame([])
     findings, added = _scan(frame)
     assert added.count() == 0 and secrets.join_back(frame, findings).count() == 0
+
+
+def test_a_kept_ledger_shows_old_secrets_and_replaces_those_of_old_rules(texts_frame, tmp_path):
+    folder = str(tmp_path / "ledger")
+    one, two = "key AKIA" + "A" * 16, "token = 'abcdefghijklmnop'"
+    first = texts_frame([(1, one), (2, "nothing"), (3, None)])
+    assert secrets.scan_with_ledger(first, folder).count() == 1
+    later = texts_frame([(1, one), (4, one), (5, two), (6, None)])
+    found = secrets.scan_with_ledger(later, folder)
+    spans = {r.doc_id: [s.kind for s in r.secret_spans] for r in secrets.join_back(later, found, keep=["doc_id"]).collect()}
+    assert spans == {1: ["access"], 4: ["access"], 5: ["assign"], 6: []}
+    spark = first.sparkSession
+    scanned = spark.read.parquet(folder + "/scanned")
+    assert scanned.count() == scanned.distinct().count() == 4 * len(secrets.RULES)  # four blobs, each once per rule
+    assert secrets.scan_with_ledger(later, folder).count() == 2 and spark.read.parquet(folder + "/scanned").count() == scanned.count()
+    raised = tuple(secrets.Rule("access", "AKIA[B-Z]{14,}", version=2) if r.kind == "access" else r for r in secrets.RULES)
+    assert [r.kind for r in secrets.scan_with_ledger(later, folder, rules=raised).collect()] == ["assign"]
+    assert spark.read.parquet(folder + "/scanned").count() == 4 * len(secrets.RULES) + 3
+    # A scan that broke off after it had stored its findings is done again; they count once.
+    spark.read.parquet(folder + "/found").write.mode("append").parquet(folder + "/found")
+    assert secrets.scan_with_ledger(later, folder).count() == 2
