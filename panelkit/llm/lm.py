@@ -22,6 +22,7 @@ only the two columns named are read.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -91,6 +92,36 @@ def unpack(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint32, n) | np.frombuffer(data, np.uint16, n, 4 * n).astype(np.uint64) << np.uint64(32)
 
 
+def pack_sorted(grams: np.ndarray, segments: int, segment: int) -> bytes:
+    """Ascending n-grams of one segment as differences, of as many bytes each as the first byte says."""
+    gaps = np.diff((grams - np.uint64(segment)) // np.uint64(segments), prepend=np.uint64(0))
+    width = max(1, (int(gaps.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + np.ascontiguousarray(gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def unpack_sorted(data: bytes, segments: int, segment: int) -> np.ndarray:
+    width = data[0]
+    gaps = np.zeros(((len(data) - 1) // width, 8), np.uint8)
+    gaps[:, :width] = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
+    return np.cumsum(gaps.view("<u8").ravel(), dtype=np.uint64) * np.uint64(segments) + np.uint64(segment)
+
+
+def encode_words(one: np.ndarray) -> bytes:
+    """Hashes of successive words: each distinct one, frequent ones first, then their numbers by planes of bytes, compressed."""
+    distinct, number, times = np.unique(one, return_inverse=True, return_counts=True)
+    order = np.argsort(-times, kind="stable")
+    rank = np.empty(len(order), "<u4")
+    rank[order] = np.arange(len(order), dtype="<u4")
+    planes = rank[number].view(np.uint8).reshape(-1, 4).T
+    return len(distinct).to_bytes(4, "little") + pack(distinct[order]) + zlib.compress(planes.tobytes(), 1)
+
+
+def decode_words(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:4], "little")
+    planes = np.frombuffer(zlib.decompress(data[4 + 6 * n:]), np.uint8).reshape(4, -1)
+    return unpack(data[4:4 + 6 * n])[np.ascontiguousarray(planes.T).view("<u4").ravel()]
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """(word, n): partial counts of the words of ``text``."""
 
@@ -136,7 +167,7 @@ def count_grams(texts: DataFrame, segments: int) -> DataFrame:
             for s in range(segments):
                 at = order[cuts[s]:cuts[s + 1]]
                 if len(at):
-                    yield pa.RecordBatch.from_pydict({"segment": pa.array([s], pa.int32()), "grams": [pack(k[at])], "counts": [n[at].astype(np.uint32).tobytes()]})
+                    yield pa.RecordBatch.from_pydict({"segment": pa.array([s], pa.int32()), "grams": [pack_sorted(k[at], segments, s)], "counts": [n[at].astype(np.uint32).tobytes()]})
             keys.clear()
             counts.clear()
 
@@ -185,7 +216,7 @@ def build_filter(packed: DataFrame, segments: int) -> DataFrame:
         for batch in batches:
             for s, grams, counts in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 keys, own = held.setdefault(s, ([], []))
-                keys.append(unpack(grams))
+                keys.append(unpack_sorted(grams, segments, s))
                 own.append(np.frombuffer(counts, np.uint32).astype(np.int64))
                 if len(keys) > 16:
                     k, n = _merged(keys, own)
@@ -252,29 +283,37 @@ def log_probability(one: np.ndarray, pair: np.ndarray, model: BloomCounts | Know
     return np.log10(weight * share + (1 - weight) * np.minimum(1.0, (own + 1) / (total + distinct + 1)))
 
 
-SCORED = ("doc_id {}, uid bigint, held_out boolean, n_tokens bigint, known bigint, logs double, {}, "
-          "rare array<struct<word:binary,n:int>>")
+SCORED = "doc_id {}, uid bigint, held_out boolean, n_tokens bigint, known bigint, logs double, rare array<struct<word:binary,n:int>>, {}"
 RARE = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
+BLOCK = "uids binary, sizes binary, words binary"
 
 
 def score_tokens(docs: DataFrame, hot: Broadcast, model: Broadcast | None, bounds: np.ndarray | None, total: int, distinct: int) -> DataFrame:
     """One row per text: what the hot words and the model give, and the other words for the join.
 
-    Without a model, the packed hashes ``words`` stand in the place of the score.
+    Without a model there is no score, but a further row for every about ``BLOCK_WORDS`` tokens: the uids of the block's texts,
+    their sizes and the hashes of their words. The first uid names the block.
     """
 
     def run(batches):
         filter_, known = model and BloomCounts(model.value, bounds), hot.value
+        uids, sizes_held, hashes, held = [], [], [], 0
+
+        def block():
+            own, size = np.concatenate(uids), np.concatenate(sizes_held)
+            cells = {"uid": [int(own[0])], "uids": [own.tobytes()], "sizes": [size.tobytes()], "words": [encode_words(np.concatenate(hashes))]}
+            for part in (uids, sizes_held, hashes):
+                part.clear()
+            return pa.RecordBatch.from_arrays([pa.array(cells.get(f.name, [None]), f.type) for f in shape], names=shape.names)
+
         for batch in batches:
+            if filter_ is None:
+                shape = pa.schema([batch.schema.field("doc_id"), ("uid", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()),
+                                   ("logs", pa.float64()), ("rare", RARE), ("uids", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary())])
             at = 0
             for part in _chunks(batch.column("text")):
                 one, pair = _hashes(part)
-                sizes = [len(own) for own in part]
-                first = np.append(0, np.cumsum(sizes[:-1])).astype(np.intp)
-                if filter_:
-                    given = pa.array(np.add.reduceat(log_probability(one, pair, filter_, total, distinct), first))
-                else:
-                    given = pa.array([pack(own) for own in np.split(one, first[1:])], pa.binary())
+                sizes = np.array([len(own) for own in part], np.int64)
                 n_known, logs, rare = [], [], []
                 for own in part:
                     found = [known.get(w) for w in own]
@@ -284,52 +323,41 @@ def score_tokens(docs: DataFrame, hot: Broadcast, model: Broadcast | None, bound
                     rare.append([{"word": w, "n": n} for w, n in Counter(w for w, x in zip(own, found) if x is None).items()])
                 rows = batch.slice(at, len(part)).select(["doc_id", "uid", "held_out"])
                 at += len(part)
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(sizes, pa.int64()), pa.array(n_known, pa.int64()), pa.array(logs), given,
-                                                  pa.array(rare, RARE)], names=[*rows.schema.names, "n_tokens", "known", "logs", last.split()[0], "rare"])
-
-    last = "words binary" if model is None else "score double"
-    return docs.mapInArrow(run, SCORED.format(docs.schema["doc_id"].dataType.simpleString(), last))
-
-
-def _blocks(kept: DataFrame) -> DataFrame:
-    """(block, uids, sizes, words): successive texts of ``kept`` with about BLOCK_WORDS tokens; the first uid names the block."""
-
-    def run(batches):
-        uids, words, held = [], [], 0
-
-        def packed():
-            sizes = np.array([len(w) // 6 for w in words], np.int64)
-            row = {"block": pa.array(uids[:1], pa.int64()), "uids": [np.array(uids, np.int64).tobytes()], "sizes": [sizes.tobytes()],
-                   "words": [pack(np.concatenate([unpack(w) for w in words]))]}
-            uids.clear()
-            words.clear()
-            return pa.RecordBatch.from_pydict(row)
-
-        for batch in batches:
-            for uid, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if uids and held + len(w) > 6 * BLOCK_WORDS:
-                    yield packed()
+                columns = [*rows.columns, pa.array(sizes), pa.array(n_known, pa.int64()), pa.array(logs), pa.array(rare, RARE)]
+                names = [*rows.schema.names, "n_tokens", "known", "logs", "rare"]
+                if filter_:
+                    first = np.append(0, np.cumsum(sizes[:-1])).astype(np.intp)
+                    score = np.add.reduceat(log_probability(one, pair, filter_, total, distinct), first)
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], names=[*names, "score"])
+                    continue
+                yield pa.RecordBatch.from_arrays([*columns, *[pa.nulls(len(rows), pa.binary())] * 3], names=[*names, "uids", "sizes", "words"])
+                uids.append(rows.column("uid").to_numpy())
+                sizes_held.append(sizes)
+                hashes.append(one)
+                held += len(one)
+                if held >= BLOCK_WORDS:
+                    yield block()
                     held = 0
-                uids.append(uid)
-                words.append(w)
-                held += len(w)
-        if uids:
-            yield packed()
+        if held:
+            yield block()
 
-    return kept.select("uid", "words").mapInArrow(run, "block bigint, uids binary, sizes binary, words binary")
+    return docs.mapInArrow(run, SCORED.format(docs.schema["doc_id"].dataType.simpleString(), BLOCK if model is None else "score double"))
 
 
 def _by_segment(words: bytes, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct n-grams of a block, their order by segment and where each segment begins in it."""
-    one = unpack(words)
+    one = decode_words(words)
     grams = np.unique(np.concatenate([one, _pairs(one)]))
     segment = grams % np.uint64(segments)
     order = np.argsort(segment, kind="stable")
     return grams, order, np.searchsorted(segment[order], np.arange(segments + 1))
 
 
-def score_by_segments(kept: DataFrame, fields: DataFrame, segments: int, total: int, distinct: int) -> DataFrame:
-    """(uid, score) of the texts ``kept`` (uid, words), which must not change between uses; no task holds more than one segment or one block."""
+def score_by_segments(blocks: DataFrame, fields: DataFrame, segments: int, total: int, distinct: int) -> DataFrame:
+    """(uid, score) of the texts of ``blocks`` (block, uids, sizes, words), which must not change between uses.
+
+    No task holds more than one segment or one block.
+    """
 
     def ask(batches):
         for batch in batches:
@@ -337,7 +365,7 @@ def score_by_segments(kept: DataFrame, fields: DataFrame, segments: int, total:
                 grams, order, cuts = _by_segment(words, segments)
                 some = np.flatnonzero(cuts[1:] > cuts[:-1])
                 yield pa.RecordBatch.from_pydict({"segment": pa.array(some, pa.int32()), "block": pa.array([block] * len(some), pa.int64()),
-                                                  "data": [pack(grams[order[cuts[s]:cuts[s + 1]]]) for s in some]})
+                                                  "data": [pack_sorted(grams[order[cuts[s]:cuts[s + 1]]], segments, int(s)) for s in some]})
 
     def answer(batches):
         at, model = None, None
@@ -347,7 +375,7 @@ def score_by_segments(kept: DataFrame, fields: DataFrame, segments: int, total:
                     field = data if block is None else b""
                     at, model = s, BloomCounts(field, np.array([0, len(field)]))
                 if block is not None:
-                    level = model.levels(unpack(data)).astype(np.uint8)
+                    level = model.levels(unpack_sorted(data, segments, s)).astype(np.uint8)
                     yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "segment": pa.array([s], pa.int32()), "data": [level.tobytes()]})
 
     def score(batches):
@@ -365,13 +393,13 @@ def score_by_segments(kept: DataFrame, fields: DataFrame, segments: int, total:
                     if own:
                         yield scored()
                     grams, order, cuts = _by_segment(data, segments)
-                    own, level = (np.frombuffer(uids, np.int64), np.frombuffer(sizes, np.int64), unpack(data), grams), np.zeros(len(grams), np.int64)
+                    own, level = (np.frombuffer(uids, np.int64), np.frombuffer(sizes, np.int64), decode_words(data), grams), np.zeros(len(grams), np.int64)
                 else:
                     level[order[cuts[s]:cuts[s + 1]]] = np.frombuffer(data, np.uint8)
         if own:
             yield scored()
 
-    blocks, none = _blocks(kept), F.lit(None)
+    none = F.lit(None)
     asked = blocks.select("block", "words").mapInArrow(ask, "segment int, block bigint, data binary")
     both = fields.select("segment", none.cast("long").alias("block"), F.col("field").alias("data")).union(asked)
     placed = both.repartition(segments, "segment").sortWithinPartitions("segment", F.col("block").asc_nulls_first())
@@ -411,13 +439,15 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     named = docs.select("doc_id", "text", "held_out", F.monotonically_increasing_id().alias("uid"))  # kept by the next line
     scored = materialize(score_tokens(named, sc.broadcast(hot), model, bounds, total, distinct))
-    rare = scored.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.n")
+    texts = scored if fits else scored.where("words IS NULL")
+    rare = texts.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.n")
     counts = words.where(~is_hot).select("word", "c")
     more = rare.join(counts, "word").groupBy("uid").agg(F.sum("n").alias("more_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("more_logs"))
     more = more.withColumnRenamed("uid", "more_uid")
-    joined = scored.drop("rare").join(more, F.col("uid") == F.col("more_uid"), "left")
+    joined = texts.drop("rare", "uids", "sizes", "words").join(more, F.col("uid") == F.col("more_uid"), "left")
     if not fits:
-        joined = joined.drop("words").join(score_by_segments(scored, fields, segments, total, distinct), F.col("uid") == F.col("score_uid"))
+        blocks = scored.where("words IS NOT NULL").select(F.col("uid").alias("block"), "uids", "sizes", "words")
+        joined = joined.join(score_by_segments(blocks, fields, segments, total, distinct), F.col("uid") == F.col("score_uid"))
     logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(float(np.log10(total + distinct + 1)))
     return joined.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
                          F.lit(total).cast("long").alias("train_tokens"), logs.alias("base_score"), "score")

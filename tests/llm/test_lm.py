@@ -87,3 +87,16 @@ def test_false_probes_stay_rare_beyond_one_broadcast(spark, monkeypatch):
     bounds = np.append(0, np.cumsum([len(by_segment.get(s, b"")) for s in range(12)]))
     model = lm.BloomCounts(b"".join(by_segment.get(s, b"") for s in range(12)), bounds)
     assert (model.levels(unseen) > 0).mean() < 0.03
+
+
+def test_packing_gives_back_what_it_took():
+    rng = np.random.default_rng(2)
+    for n, segments, s in ((1, 1, 0), (1, 7, 3), (5_000, 7, 3), (400, 1, 0)):
+        grams = np.unique(rng.integers(0, 2**48 // segments, n, dtype=np.uint64)) * np.uint64(segments) + np.uint64(s)
+        data = lm.pack_sorted(grams, segments, s)
+        assert (lm.unpack_sorted(data, segments, s) == grams).all() and len(data) <= 1 + 6 * len(grams)
+    words = rng.integers(0, 2**48, 900, dtype=np.uint64)
+    one = words[(rng.pareto(1.0, 50_000) * 5).astype(int) % 900]
+    data = lm.encode_words(one)
+    assert (lm.decode_words(data) == one).all() and len(data) < 2 * len(one)
+    assert (lm.decode_words(lm.encode_words(one[:1])) == one[:1]).all()
