@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.session import materialize
@@ -71,12 +71,15 @@ def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def placed_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> tuple[DataFrame, list]:
-    """Texts (row_key, doc_id, sid, size, start) with their first word's place in the source; the sources with their sizes."""
+def placed_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", also: tuple[str, ...] = ()) -> tuple[DataFrame, list]:
+    """Texts (row_key, doc_id, sid, size, start) with their first word's place in the source; the sources with their sizes.
+
+    ``also``: further columns that tell rows apart.
+    """
     spark = docs.sparkSession
     value = F.coalesce(F.col(text), F.lit(""))
     sized = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), F.regexp_count(value, F.lit(WORD)).cast("long").alias("size"),
-                        row_key(F.col(doc_id), F.col(text), F.col(source)).alias("row_key"))
+                        row_key(*[F.col(f"`{c}`") for c in (doc_id, text, source, *also)]).alias("row_key"))
     sized = materialize(sized)
     found = sized.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES + 1).collect()
     if len(found) > MOST_SOURCES:
@@ -95,10 +98,9 @@ def placed_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", so
     return placed.select(*PLACED), found
 
 
-def row_key(doc_id, text, source):
-    """Digest of a row; equal rows share it."""
-    empty = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    return F.md5(F.concat(empty(doc_id), F.lit(":"), empty(source), F.lit(":"), F.md5(empty(text).cast("binary"))).cast("binary"))
+def row_key(*columns: Column) -> Column:
+    """Digest of a row's columns, null and empty apart; rows equal in them share it."""
+    return F.md5(F.concat(*[F.coalesce(F.md5(c.cast("string").cast("binary")), F.lit("-")) for c in columns]).cast("binary"))
 
 
 def draws(sizes: list[int], wanted: list[float], block_words: int = BLOCK_WORDS) -> list[int]:
@@ -157,9 +159,9 @@ def pieces(placed: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", block_words: int = BLOCK_WORDS,
-        shard_blocks: int = SHARD_BLOCKS):
+        shard_blocks: int = SHARD_BLOCKS, also: tuple[str, ...] = ()):
     """(placed texts, sources, targets, drawn slots) of the mix of ``docs``."""
-    placed, found = placed_texts(docs, doc_id, text, source)
+    placed, found = placed_texts(docs, doc_id, text, source, also)
     sizes = [int(r.words) for r in found]
     wanted = targets(sizes)
     slots = drawn_slots(docs.sparkSession, sizes, draws(sizes, wanted, block_words), block_words, shard_blocks)
@@ -213,10 +215,11 @@ def mixed_texts(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
     ``docs`` has doc_id, text, source and n_chars. A text taken twice gives two rows; one that no draw takes gives none.
     """
-    placed, _, _, slots = mix(docs, block_words=block_words)
+    also = tuple(c for c in docs.columns if c not in ("doc_id", "text", "source"))
+    placed, _, _, slots = mix(docs, block_words=block_words, also=also)
     placed = materialize(placed)
     whole = mixed_blocks(placed, slots, block_words).groupBy("row_key", "sid", "text_start", "turn").agg(F.collect_list(F.struct("first", "words")).alias("parts"))
-    keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], row_key(F.col("doc_id"), F.col("text"), F.col("source")).alias("__key"))
+    keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], row_key(*[F.col(f"`{c}`") for c in ("doc_id", "text", "source", *also)]).alias("__key"))
     keyed = keyed.dropDuplicates(["__key"])  # equal rows are told apart by their start
-    joined = keyed.join(whole, F.col("__key") == F.col("row_key"))
+    joined = keyed.join(whole.hint("merge"), F.col("__key") == F.col("row_key"))  # texts and their parts grow with the input: no broadcast
     return joined.select(*[words_between("text", "parts").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])

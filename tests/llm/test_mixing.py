@@ -105,3 +105,13 @@ def test_empty_table(spark):
 def test_cut_keeps_white_space_inside_runs():
     assert mixing.cut("  a \n b\tc  d ", [(2, 1), (0, 2)]) == "a \n b\tc"
     assert mixing.cut("a b c d", [(3, 1), (0, 1)]) == "a\nd" and mixing.cut("", []) == ""
+
+
+def test_rows_that_differ_in_other_columns_keep_them(spark):
+    text = " ".join(f"w{k}" for k in range(64))
+    rows = [(1, text, None, "en"), (1, text, "", "en"), (1, text, "", "de"), (1, text, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = Counter()
+    for r in mixing.mixed_texts(docs, block_words=16).collect():
+        got[r.source, r.lang] += len(r.text.split())
+    assert set(got) == {r[2:] for r in rows} and all(n <= 128 for n in got.values())
