@@ -104,6 +104,24 @@ def between_dates(df: DataFrame, column: str, low, high) -> DataFrame:
     return df.where(F.col(column).between(F.lit(low).cast(dtype), F.lit(high).cast(dtype)))
 
 
+def months_in_ranges(df: DataFrame, column: str, ranges: Iterable) -> DataFrame:
+    """Rows whose month begins inside one of the closed ranges, by a raw date or time column.
+
+    The bounds are moved to months and compared in the column's own type, before anything is derived from it, so that the scan
+    can use them.
+    """
+    dtype = dict(df.dtypes)[column]
+    keep = F.lit(False)
+    for _, low, high in ranges:
+        first = low if low.day == 1 else _next_month(low)
+        keep = keep | ((F.col(column) >= F.lit(first).cast(dtype)) & (F.col(column) < F.lit(_next_month(high)).cast(dtype)))
+    return df.where(keep)
+
+
+def _next_month(day: date) -> date:
+    return date(day.year + day.month // 12, day.month % 12 + 1, 1)
+
+
 def _parse(c: Column, patterns: Sequence[str]) -> Column:
     """Date by the first pattern that fits; a time of day after a space or ``T`` is left out."""
     day = F.regexp_replace(F.trim(c), "[ T].*$", "")

@@ -122,9 +122,9 @@ def forecast_table(panel: DataFrame, keys: Sequence[str] = (), holdout_start=DEF
     keys = list(keys)
     start = F.lit(holdout_start)
     observed = materialize(panel.withColumnRenamed(f"{measure}_asinh", "y"))
-    features = forecast_features(observed, keys, date, "y")
+    features = materialize(forecast_features(observed, keys, date, "y"))
     train, test = features.where(F.col(date) < start), features.where(F.col(date) >= start)
-    model = fit_forecaster(train, keys) if model is None else model
+    model = materialize(fit_forecaster(train, keys)) if model is None else model
     last_train = train.groupBy(*keys).agg(F.max(date).alias("__last"))
     last_seen = observed.groupBy(*keys).agg(F.max(date).alias("__last"))
 

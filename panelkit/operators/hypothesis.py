@@ -17,6 +17,9 @@ from panelkit.operators.scan import Running, attach_by_value, running, value_ran
 from panelkit.session import materialize
 
 
+FEW_TESTS = 100_000
+
+
 def two_sample_moments(df: DataFrame, y: str, group: str, a, b, by: Sequence[str] = ()) -> DataFrame:
     """Count, mean and sample variance of both sides, one row per ``by`` group."""
     out = []
@@ -61,12 +64,20 @@ def fdr_bh(df: DataFrame, p: str = "p_value", alpha: float = DEFAULTS.fdr_alpha,
            key: Sequence[str] = ()) -> DataFrame:
     """Benjamini-Hochberg adjusted p-values and rejections. ``key`` names the columns that tell tests apart.
 
-    Rows without a p-value keep null results and do not count as tests.
+    Rows without a p-value keep null results and do not count as tests. Up to ``FEW_TESTS`` tests are ordered by windows, more
+    of them in ranges.
     """
     by = list(by)
     df = materialize(df)  # one row per test; what computes them runs once
     tested = df.where(F.col(p).isNotNull())
     order = [p, *[k for k in key if k not in by]]
+    if df.count() <= FEW_TESTS:
+        group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
+        placed = tested.withColumns({"__m": F.count(F.lit(1)).over(group), "__rank": F.row_number().over(group.orderBy(*order))})
+        low = F.min(F.col(p) * F.col("__m") / F.col("__rank")).over(group.orderBy("__rank").rowsBetween(W.currentRow, W.unboundedFollowing))
+        done = placed.withColumn("p_adj_fdr", F.least(low, F.lit(1.0))).drop("__m", "__rank")
+        done = done.withColumn("rejected", F.col("p_adj_fdr") <= alpha)
+        return done.unionByName(df.where(F.col(p).isNull()), allowMissingColumns=True)
     tests = tested.groupBy(*by).agg(F.count(F.lit(1)).alias("__m"))
     placed = running(tested.withColumn("__one", F.lit(1)), order, {"__rank": Running("__one")}, by=by).drop("__one")
     if by:

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from panelkit.config import DEFAULTS
 from panelkit.functions.scalars import ratio, sinh
-from panelkit.functions.tails import chi2_sf, f_sf, t_sf2
+from panelkit.functions.tails import chi2_sf, f_sf, t_quantile, t_sf2
 from panelkit.operators.scan import Running, running
+from panelkit.session import materialize
 
 WIDE = 40
+MOST_LEVELS = 2_000
 
 
 @dataclass(frozen=True)
@@ -97,11 +99,19 @@ class Design:
 
 def fit_design(df: DataFrame, numeric: Sequence[str], factors: Sequence[str] = (),
                interactions: Sequence[tuple[str, str]] = (), intercept: bool = True) -> Design:
-    """Design whose factor levels come from ``df``; the first level in text order is the reference."""
-    levels = tuple(
-        (f, tuple(r[0] for r in df.where(F.col(f).isNotNull()).select(f).distinct().orderBy(f).collect()))
-        for f in factors)
-    return Design(tuple(numeric), levels, tuple(interactions), intercept)
+    """Design whose factor levels come from ``df`` in one pass; the first level in text order is the reference.
+
+    Every level is a column of the plan and of the cross products, so there may be ``MOST_LEVELS`` at most.
+    """
+    found: dict[str, list[str]] = {f: [] for f in factors}
+    if factors:
+        cells = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).cast("string").alias("level")) for f in factors])).alias("c")
+        rows = df.select(cells).select("c.*").where("level IS NOT NULL").distinct().limit(MOST_LEVELS + 1).collect()
+        if len(rows) > MOST_LEVELS:
+            raise ValueError(f"the factors {', '.join(factors)} have more than {MOST_LEVELS} levels, each of which is a column")
+        for r in rows:
+            found[r["f"]].append(r["level"])
+    return Design(tuple(numeric), tuple((f, tuple(sorted(found[f]))) for f in factors), tuple(interactions), intercept)
 
 
 def design_matrix(df: DataFrame, design: Design, keep: Sequence[str] = ()) -> DataFrame:
@@ -145,7 +155,8 @@ def complete_rows(df: DataFrame, target: str, design: Design) -> DataFrame:
 
 def ols(df: DataFrame, target: str, design: Design, cov: str | None = "HC3") -> LinearModel:
     """Least squares over complete rows; ``cov='HC3'`` adds the heteroskedasticity-robust covariance in a second pass."""
-    df = complete_rows(df, target, design)
+    used = [target, *design.numeric, *[f for f, _ in design.factors]]
+    df = materialize(complete_rows(df, target, design).select(*dict.fromkeys(used)))  # for up to three passes
     xs = [c for _, c in design.terms()]
     y, p = F.col(target).cast("double"), len(xs)
     move, shift = np.eye(p), 0.0
@@ -180,14 +191,22 @@ def ols(df: DataFrame, target: str, design: Design, cov: str | None = "HC3") ->
     return replace(model, rss=meat.yty, cov=inverse @ meat.xtx @ inverse)
 
 
-def coef_table(spark, model: LinearModel, factor: float = DEFAULTS.interval_factor, p_value: bool = True) -> DataFrame:
-    """Coefficient, error, t-value and interval per term, in formula order of the names."""
+def coef_table(spark, model: LinearModel, factor: float = DEFAULTS.interval_factor, p_value: bool = True, level: float | None = None,
+               t: bool = True) -> DataFrame:
+    """Coefficient, error, t-value and interval per term, in formula order of the names.
+
+    The interval is ``factor`` errors wide on either side. With a ``level`` it covers that share instead: by the t distribution
+    with the residual degrees of freedom, or by the normal one if ``t`` is false; without degrees of freedom it is null.
+    """
+    if level is not None:
+        factor = t_quantile((1 + level) / 2, model.df_resid if t else float("inf"))
     rows = []
     for name, b, v in zip(model.design.names, model.coef, np.diag(model.cov)):
         se = float(np.sqrt(max(v, 0.0)))
-        t = float(b / se) if se > 0 else None
-        p = t_sf2(t, model.df_resid) if p_value and t is not None else None
-        rows.append((name, float(b), se, t, p, float(b - factor * se), float(b + factor * se)))
+        t_value = float(b / se) if se > 0 else None
+        p = t_sf2(t_value, model.df_resid) if p_value and t_value is not None else None
+        ends = (None, None) if factor is None else (float(b - factor * se), float(b + factor * se))
+        rows.append((name, float(b), se, t_value, p, *ends))
     out = spark.createDataFrame(rows, "term string, coef double, std_err double, t_value double, p_value double, "
                                       "ci95_low double, ci95_high double")
     return out if p_value else out.drop("p_value")

@@ -108,7 +108,7 @@ TABLE_SQL = f"""WITH RECURSIVE {FIT_SQL}, lt AS (SELECT subtema, max(mi) AS l FR
     UNION ALL SELECT subtema, fecha, yhat FROM chain),
   o AS (SELECT coalesce(s.subtema, f.subtema) AS subtema, coalesce(s.fecha, f.fecha) AS fecha, s.y, s.monto, f.yhat, s.mi FROM series s
     FULL JOIN fit f ON s.subtema = f.subtema AND s.fecha = f.fecha)
-  SELECT subtema, fecha, {r('y')} AS y_true_asinh, {r('monto', 4)} AS y_true, {r('yhat', 5)} AS yhat_asinh,
+  SELECT subtema, fecha, {r('y')} AS y_true_asinh, {r('monto', 4)} AS y_true, {r('yhat', 5)} AS yhat_asinh, {r('(exp(yhat) - exp(-yhat)) / 2000', 1)} AS yhat_thousands,
     CASE WHEN fecha < DATE '2000-07-01' THEN 'train' WHEN mi IS NOT NULL THEN 'test' ELSE 'forecast' END AS split FROM o"""
 
 
@@ -117,4 +117,4 @@ def forecast_table(spark, d):
     panel = _series(spark, d)
     out = FC.forecast_table(panel, KEYS, holdout_start=LINEITEM_HOLDOUT)
     return out.select("subtema", "fecha", F.round("y_true_asinh", 6).alias("y_true_asinh"), F.round("y_true", 4).alias("y_true"),
-                      F.round("yhat_asinh", 5).alias("yhat_asinh"), "split")
+                      F.round("yhat_asinh", 5).alias("yhat_asinh"), (F.round(F.col("yhat") / 1000, 1) + 0.0).alias("yhat_thousands"), "split")

@@ -67,19 +67,34 @@ def welch_global(spark, d):
     return rounded(H.welch_t(total, "monto_asinh", "sexenio", ERA_A, ERA_B, p_value=False))
 
 
-@query("welch_by_group", f"""WITH {PANEL_SQL}, {_welch_sql('panel', 'v', 'subtema')}
-  SELECT subtema, n_a, n_b, {r('t_stat')} AS t_stat, {r('df')} AS df, {r('g')} AS hedges_g FROM w""")
+def t_tail_sql(t: str, df: str, steps: int = 2000) -> str:
+    """Two-sided tail of the t distribution: with t = sqrt(df) tan(x) it is a share of the integral of cos(x)^(df - 1), here by Simpson's rule."""
+    first = f"atan(abs({t}) / sqrt({df}))"
+    x = f"({first} + (pi() / 2 - {first}) * i / {steps})"
+    weight = f"CASE WHEN i IN (0, {steps}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    whole = f"(sqrt(pi()) / 2 * exp(lgamma({df} / 2) - lgamma(({df} + 1) / 2)))"
+    return f"(SELECT sum({weight} * pow(greatest(cos{x}, 0), {df} - 1)) FROM range({steps + 1}) s(i)) * (pi() / 2 - {first}) / {3 * steps} / {whole}"
+
+
+@query("welch_by_group", f"""WITH {PANEL_SQL}, {_welch_sql('panel', 'v', 'subtema')},
+  p AS (SELECT *, {t_tail_sql('t_stat', 'df')} AS p FROM w), k AS (SELECT *, row_number() OVER (ORDER BY p, subtema) AS i, count(*) OVER () AS m FROM p),
+  a AS (SELECT *, least(1.0, min(p * m / i) OVER (ORDER BY i DESC)) AS adj FROM k)
+  SELECT subtema, n_a, n_b, {r('t_stat')} AS t_stat, {r('df')} AS df, {r('g')} AS hedges_g, {r('p')} AS p_value, {r('adj')} AS p_adj_fdr, adj <= 0.05 AS rejected FROM a""")
 def welch_by_group(spark, d):
-    out = H.welch_by_group(_panel(spark, d), "monto_asinh", "sexenio", ERA_A, ERA_B, "subtema")
-    return rounded(out.drop("p_value", "p_adj_fdr", "rejected"))
+    return rounded(H.welch_by_group(_panel(spark, d), "monto_asinh", "sexenio", ERA_A, ERA_B, "subtema"))
 
 
-@query("hedges_g", f"""WITH t AS (SELECT c_nationkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'before' WHEN c_mktsegment = 'MACHINERY' THEN 'after' END AS sexenio,
-    c_acctbal FROM customer), {_welch_sql('t', 'c_acctbal', 'c_nationkey')} SELECT c_nationkey, n_a, n_b, {r('g')} AS hedges_g FROM w""")
+@query("hedges_g", f"""WITH t AS (SELECT CASE WHEN c_custkey % 97 = 0 THEN -c_custkey ELSE c_nationkey END AS nation,
+    CASE WHEN c_mktsegment = 'BUILDING' THEN 'before' ELSE 'after' END AS sexenio, c_acctbal FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')),
+  m AS (SELECT nation, count(c_acctbal) FILTER (sexenio = 'before') AS n_a, avg(c_acctbal) FILTER (sexenio = 'before') AS m_a, var_samp(c_acctbal) FILTER (sexenio = 'before') AS v_a,
+    count(c_acctbal) FILTER (sexenio = 'after') AS n_b, avg(c_acctbal) FILTER (sexenio = 'after') AS m_b, var_samp(c_acctbal) FILTER (sexenio = 'after') AS v_b FROM t GROUP BY 1)
+  SELECT nation, n_a, n_b, CASE WHEN n_a < 2 OR n_b < 2 THEN NULL WHEN v_a = 0 AND v_b = 0 THEN 0
+    ELSE {r('(m_a - m_b) / sqrt(((n_a - 1) * v_a + (n_b - 1) * v_b) / (n_a + n_b - 2)) * (1 - 3.0::DOUBLE / (4 * (n_a + n_b) - 9))')} END AS hedges_g FROM m""")
 def hedges_g(spark, d):
-    rows = table(spark, d, "customer")
-    out = H.hedges_g(rows, "c_acctbal", "c_mktsegment", "BUILDING", "MACHINERY", ["c_nationkey"])
-    return rounded(out.where((F.col("n_a") > 1) & (F.col("n_b") > 1)))
+    # Some customers are a nation of their own: groups with one value or none on a side, which have no effect size.
+    nation = F.when(F.col("c_custkey") % 97 == 0, -F.col("c_custkey")).otherwise(F.col("c_nationkey")).cast("long")
+    rows = table(spark, d, "customer").withColumn("nation", nation)
+    return rounded(H.hedges_g(rows, "c_acctbal", "c_mktsegment", "BUILDING", "MACHINERY", ["nation"]))
 
 
 def _ranks_sql(source: str, y: str, by: str) -> str:
@@ -187,7 +202,7 @@ OLS_SQL = f"{TRAIN_SQL}, {', '.join(_CTES)}"
 
 
 def _split(spark, d):
-    train, test = temporal_split(_model(spark, d), LINEITEM_HOLDOUT)
+    train, test = temporal_split(materialize(_model(spark, d)), LINEITEM_HOLDOUT)
     return train, known_levels(test, train, "subtema")
 
 
@@ -229,11 +244,18 @@ _P = len(DUMMIES)
 _MEASURES = {
     "n": "n", "df_model": f"{_P - 1}", "df_resid": f"n - {_P}", "r2": "1 - rss / tss", "r2_adj": f"1 - (rss / tss) * (n - 1) / (n - {_P})",
     "log_likelihood": "ll", "aic": f"-2 * ll + 2 * {_P}", "bic": f"-2 * ll + ln(n) * {_P}", "skew": "sk", "kurtosis": "ku",
-    "jarque_bera": "n / 6.0::DOUBLE * (sk ** 2 + (ku - 3) ** 2 / 4)", "durbin_watson": "dw"}
+    "jarque_bera": "jb", "jarque_bera_p": "exp(-jb / 2)", "omnibus": "om", "omnibus_p": "exp(-om / 2)", "durbin_watson": "dw"}
+# Normal scores of skewness and kurtosis; a chi-squared variable with two degrees of freedom has the tail exp(-x / 2).
+_NORMAL = """q1 AS (SELECT *, n / 6.0::DOUBLE * (sk ** 2 + (ku - 3) ** 2 / 4) AS jb, sk * sqrt((n + 1) * (n + 3) / (6 * (n - 2))) AS y,
+    sqrt(2 * (3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9)) - 1)) - 1 AS w2,
+    (ku - 3 * (n - 1) / (n + 1)) / sqrt(24 * n * (n - 2) * (n - 3) / ((n + 1) ** 2 * (n + 3) * (n + 5))) AS x,
+    6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3))) AS third FROM m),
+  q2 AS (SELECT *, 6 + 8 / third * (2 / third + sqrt(1 + 4 / third ** 2)) AS a FROM q1),
+  q3 AS (SELECT *, (asinh(y / sqrt(2 / (w2 - 1))) / sqrt(ln(sqrt(w2)))) ** 2 + (((1 - 2 / (9 * a)) - cbrt((1 - 2 / a) / (1 + x * sqrt(2 / (a - 4))))) / sqrt(2 / (9 * a))) ** 2 AS om FROM q2)"""
 DIAG_SQL = f"""WITH {OLS_SQL}, o AS (SELECT e, monto_asinh AS y, e - lag(e) OVER (ORDER BY fecha, subtema) AS de FROM fitted),
   m AS (SELECT count(*)::DOUBLE AS n, sum(e * e) AS rss, var_pop(y) * count(*) AS tss, avg(e ** 3) / avg(e ** 2) ** 1.5 AS sk,
     avg(e ** 4) / avg(e ** 2) ** 2 AS ku, sum(de * de) / sum(e * e) AS dw FROM o),
-  z AS (SELECT *, -n / 2 * (ln(2 * pi()) + ln(rss / n) + 1) AS ll FROM m)
+  {_NORMAL}, z AS (SELECT *, -n / 2 * (ln(2 * pi()) + ln(rss / n) + 1) AS ll FROM q3)
   {' UNION ALL '.join(f"SELECT '{k}' AS measure, {r(f'({v})::DOUBLE', 5)} AS value FROM z" for k, v in _MEASURES.items())}"""
 
 
@@ -244,6 +266,33 @@ def ols_diagnostics(spark, d):
     return rounded(out.where(F.col("measure").isin(list(_MEASURES))), 5)
 
 
+@query("ols_diagnostics_all")
+def ols_diagnostics_all(spark, d):
+    # Also the robust F test and the condition number, which need matrices.
+    train, _ = _split(spark, d)
+    return rounded(L.fit_diagnostics(train, _fit(train), ["fecha", "subtema"]), 5)
+
+
+_QUANTILE = 8  # Newton steps for the t quantile
+
+
+def t_quantile_sql(p: float, df: str) -> str:
+    """CTEs q0, q1, ... (df, q): steps from the normal quantile of 0.975 toward the t quantile of ``p``."""
+    density = "exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(pi() * df) * pow(1 + q * q / df, -(df + 1) / 2)"
+    steps = [f"q0 AS MATERIALIZED (SELECT ({df})::DOUBLE AS df, 1.96::DOUBLE AS q)"]
+    steps += [f"q{i} AS MATERIALIZED (SELECT df, q + ({t_tail_sql('q', 'df')} / 2 - {1 - p}) / ({density}) AS q FROM q{i - 1})" for i in range(1, _QUANTILE + 1)]
+    return ", ".join(steps)
+
+
+@query("ols_intervals", f"""WITH {OLS_SQL}, {t_quantile_sql(0.95, f'(SELECT count(*) - {len(DUMMIES)} FROM train)')}
+  {' UNION ALL '.join(f"SELECT '{n}' AS term, {r(f'any_value(b{j}) - (SELECT q FROM q{_QUANTILE}) * sqrt(sum((w{j} * e / (1 - h)) ** 2))', 5)} AS low, "
+                      f"{r(f'any_value(b{j}) + (SELECT q FROM q{_QUANTILE}) * sqrt(sum((w{j} * e / (1 - h)) ** 2))', 5)} AS high FROM fitted" for j, n in enumerate(DUMMIES))}""")
+def ols_intervals(spark, d):
+    train, _ = _split(spark, d)
+    out = L.coef_table(spark, _fit(train), p_value=False, level=0.9)
+    return rounded(out.select("term", F.col("ci95_low").alias("low"), F.col("ci95_high").alias("high")), 5)
+
+
 PRED_SQL = f"""WITH {OLS_SQL}, test AS (SELECT * FROM model WHERE fecha >= DATE '2000-07-01'),
   coef AS (SELECT {', '.join(f'any_value(b{j}) AS b{j}' for j in range(_P))} FROM fitted),
   pred AS (SELECT fecha, sexenio, subtema, monto_asinh, {' + '.join(f'b{j} * {x}' for j, x in enumerate(DUMMIES.values()))} AS y_pred FROM test, coef)"""

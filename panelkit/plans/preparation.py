@@ -135,7 +135,7 @@ RANGES_SQL = """CASE WHEN fecha BETWEEN DATE '1995-01-01' AND DATE '1995-12-31'
   WHERE {RANGES_SQL} IS NOT NULL GROUP BY 1""")
 def label_ranges(spark, d):
     label = D.label_ranges("fecha", LINEITEM_FIRST_YEARS)
-    labelled = facts(spark, d).where(D.in_ranges("fecha", LINEITEM_FIRST_YEARS)).withColumn("sexenio", label)
+    labelled = facts(spark, d, LINEITEM_FIRST_YEARS).where(D.in_ranges("fecha", LINEITEM_FIRST_YEARS)).withColumn("sexenio", label)
     return labelled.groupBy("sexenio").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -145,7 +145,7 @@ def label_ranges(spark, d):
 def relative_month(spark, d):
     from panelkit.operators.charts import first_year
 
-    rows = first_year(facts(spark, d), LINEITEM_FIRST_YEARS)
+    rows = first_year(facts(spark, d, LINEITEM_FIRST_YEARS), LINEITEM_FIRST_YEARS)
     return rows.groupBy("sexenio", "fecha", "mes_relativo").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -154,7 +154,7 @@ FIRST_YEAR_SQL = f"""{FACTS_SQL}, fy AS (SELECT * EXCLUDE (sexenio), {RANGES_SQL
 
 
 def _first_year(spark, d):
-    return charts.first_year(facts(spark, d), LINEITEM_FIRST_YEARS)
+    return charts.first_year(facts(spark, d, LINEITEM_FIRST_YEARS), LINEITEM_FIRST_YEARS)
 
 
 @query("chart_line_first_year", f"""WITH {FIRST_YEAR_SQL} SELECT mes_relativo, subtema, sexenio, {r('sum(monto)', 4)} AS monto FROM y GROUP BY ALL""")

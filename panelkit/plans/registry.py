@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelkit.config import MONTHS_ES
 from panelkit.operators.panel import prepare_facts
 from panelkit.sources.adapters import ERA_A, ERA_B, LINEITEM_CUTOFF, lineitem_facts, orders_facts
 
@@ -33,8 +34,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
                        for n, t in df.dtypes])
 
 
-def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_facts(lineitem_facts(spark, sf_dir), cutoff=LINEITEM_CUTOFF, before=ERA_A, after=ERA_B)
+def facts(spark: SparkSession, sf_dir: str, ranges: Sequence | None = None) -> DataFrame:
+    return prepare_facts(lineitem_facts(spark, sf_dir, ranges), cutoff=LINEITEM_CUTOFF, before=ERA_A, after=ERA_B)
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,8 +47,7 @@ def r(expr: str, digits: int = 6) -> str:
     return f"(CASE WHEN abs({expr}) < {0.5 * 10 ** -digits:.10f} THEN 0::DOUBLE ELSE round(({expr})::DOUBLE, {digits}) END)"
 
 
-MONTHS_SQL = ("['Enero','Febrero','Marzo','Abril','Mayo','Junio','Julio','Agosto','Septiembre','Octubre',"
-              "'Noviembre','Diciembre']")
+MONTHS_SQL = str(list(MONTHS_ES))
 AMOUNT_SQL = "(CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END) * l_extendedprice * (1 - l_discount)"
 FACTS_SQL = f"""facts AS (
   SELECT year(l_shipdate)::INT AS ciclo, month(l_shipdate)::INT AS mes_num,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.functions.dates import month_name
+from panelkit.functions.dates import month_name, months_in_ranges
 
 LINEITEM_CUTOFF = date(1998, 6, 1)
 LINEITEM_HOLDOUT = date(2000, 7, 1)
@@ -22,10 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def lineitem_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Year, Spanish month name, two categories and a signed amount per line item."""
+def lineitem_facts(spark: SparkSession, sf_dir: str, ranges: Sequence | None = None) -> DataFrame:
+    """Year, Spanish month name, two categories and a signed amount per line item; ``ranges`` keeps their months only."""
     sign = F.when(F.col("l_returnflag") == "R", -1).otherwise(1)
-    return table(spark, sf_dir, "lineitem").select(
+    rows = table(spark, sf_dir, "lineitem")
+    rows = months_in_ranges(rows, "l_shipdate", ranges) if ranges else rows
+    return rows.select(
         F.year("l_shipdate").alias("ciclo"),
         month_name(F.month("l_shipdate")).alias("mes"),
         F.col("l_returnflag").alias("subtema"),

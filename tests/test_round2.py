@@ -128,3 +128,65 @@ def test_workers_load_the_package_from_any_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert done.stdout.strip().endswith("fine"), done.stderr[-2000:]
+
+
+def test_month_ranges_reach_the_scan(spark, tmp_path):
+    from datetime import date
+
+    spark.range(800).select(F.expr("timestamp_ntz'2019-01-01 12:00:00' + make_dt_interval(int(id))").alias("ts"), "id").write.parquet(str(tmp_path / "t"))
+    raw = spark.read.parquet(str(tmp_path / "t"))
+    ranges = [("a", date(2019, 2, 1), date(2019, 3, 1)), ("b", date(2019, 12, 15), date(2020, 1, 31)), ("c", date(2020, 12, 2), date(2021, 2, 1))]
+    kept = D.months_in_ranges(raw, "ts", ranges)
+    want = raw.where(D.in_ranges(F.trunc("ts", "month"), ranges))
+    assert kept.exceptAll(want).isEmpty() and want.exceptAll(kept).isEmpty() and kept.count() == 28 + 31 + 31 + 31 + 28
+    assert "GreaterThanOrEqual(ts" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_t_quantiles_and_intervals_by_level(spark):
+    from panelkit.functions.tails import t_quantile
+    from panelkit.operators import linear as L
+
+    assert math.isclose(t_quantile(0.975, 1), math.tan(math.pi * 0.475), rel_tol=1e-12)
+    for p in (0.6, 0.9, 0.995):
+        assert math.isclose(t_quantile(p, 2), (2 * p - 1) * math.sqrt(2 / (1 - (2 * p - 1) ** 2)), rel_tol=1e-12)
+    assert math.isclose(t_quantile(0.975, math.inf), 1.959963984540054, rel_tol=1e-12) and math.isclose(t_quantile(0.975, 1e7), 1.95996422, rel_tol=1e-8)
+    assert t_quantile(0.5, 5) < 1e-12 and t_quantile(0.975, 0) is None
+    df = spark.createDataFrame([(float(x), 2.0 * x + (-1) ** x) for x in range(8)], "x double, y double")
+    model = L.ols(df, "y", L.fit_design(df, ["x"]), cov=None)
+    for kwargs, q in (({}, 1.96), ({"level": 0.95}, t_quantile(0.975, 6)), ({"level": 0.95, "t": False}, t_quantile(0.975, math.inf))):
+        for r in L.coef_table(spark, model, p_value=False, **kwargs).collect():
+            assert math.isclose(r.ci95_high - r.ci95_low, 2 * q * r.std_err, rel_tol=1e-12)
+    two = df.limit(2)
+    assert {r.ci95_low for r in L.coef_table(spark, L.ols(two, "y", L.fit_design(two, ["x"]), cov=None), p_value=False, level=0.9).collect()} == {None}
+
+
+def test_more_levels_than_columns_fail(spark, monkeypatch):
+    from panelkit.operators import linear as L
+
+    monkeypatch.setattr(L, "MOST_LEVELS", 3)
+    df = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", None)], "f string, g string")
+    with pytest.raises(ValueError, match="more than 3 levels"):
+        L.fit_design(df, [], ["f", "g"])
+    assert L.fit_design(df, [], ["f"]).factors == (("f", ("a", "b", "c")),)
+
+
+def test_false_discovery_by_windows_and_by_ranges(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [("ab"[i % 2], i, None if i % 9 == 0 else float(rng.integers(1, 20)) / 40) for i in range(60)]
+    df = spark.createDataFrame(rows, "g string, k int, p double")
+    one = {tuple(r) for r in H.fdr_bh(df, "p", 0.3, ["g"], ["k"]).select("g", "k", "p_adj_fdr", "rejected").collect()}
+    monkeypatch.setattr(H, "FEW_TESTS", 0)
+    assert {tuple(r) for r in H.fdr_bh(df, "p", 0.3, ["g"], ["k"]).select("g", "k", "p_adj_fdr", "rejected").collect()} == one
+
+
+def test_limit_law_of_the_rank_sum():
+    worst = {}
+    for n1 in range(1, 9):
+        for n2 in (250, 1000):
+            us = [0, 1, 5, *range(n2 // 3, n1 * n2 // 2 + 1, max(1, n1 * n2 // 60))]
+            worst[n1, n2] = max(abs(T.rank_sum_limit(u, n1, n2) - T.rank_sum_exact(u, n1, n2)) for u in us)
+    assert worst[1, 250] < 1e-12 and max(v for (_, n), v in worst.items() if n == 1000) < 2e-5
+    assert all(worst[k, 1000] < worst[k, 250] / 8 for k in range(2, 9))  # falls with the square of the size
+    small = [T._rank_sum(u, 8, 31_000, 0, "auto", 1_000_000) for u in (100, 100_000)]
+    large = [T._rank_sum(u, 8, 31_500, 0, "auto", 1_000_000) for u in (100, 100_000 * 31_500 / 31_000)]
+    assert math.isclose(small[1], large[1], rel_tol=1e-5) and small[0] > 0 and large[0] > 0
