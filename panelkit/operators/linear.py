@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from panelkit.config import DEFAULTS
 from panelkit.functions.scalars import ratio, sinh
 from panelkit.functions.tails import chi2_sf, f_sf, t_quantile, t_sf2
-from panelkit.operators.scan import Running, running
+from panelkit.operators.scan import Running, attach_by_group, running
 from panelkit.session import materialize
 
 WIDE = 40
@@ -191,6 +191,65 @@ def ols(df: DataFrame, target: str, design: Design, cov: str | None = "HC3") ->
     return replace(model, rss=meat.yty, cov=inverse @ meat.xtx @ inverse)
 
 
+@dataclass(frozen=True)
+class AbsorbedModel:
+    """Least squares with one effect per level of a large factor, which is swept out instead of being coded."""
+
+    names: tuple[str, ...]
+    coef: np.ndarray  # NaN where a column does not vary inside any level
+    cov: np.ndarray
+    n: int
+    levels: int
+    df_resid: int
+    rss: float
+    tss: float
+    effects: DataFrame = field(repr=False)  # level, n, effect
+
+
+def ols_absorbed(df: DataFrame, target: str, design: Design, absorb: str) -> AbsorbedModel:
+    """``ols`` with robust errors (HC3) and a further factor ``absorb`` of any number of levels.
+
+    Coefficients, residuals and their robust covariance are those of the fit with one indicator per level: target and columns
+    are taken as deviations from their level's means, and a row's leverage grows by one over its level's rows. Level means are
+    grouped sums that are joined back; no list of levels is made. A level of a single row has no residual and adds nothing to
+    the covariance. The effects, one row per level, stay a table.
+    """
+    terms = replace(design, intercept=False).terms()
+    names, p = tuple(n for n, _ in terms), len(terms)
+    cells = {"__y": F.col(target).cast("double"), **{f"__x{i}": c for i, (_, c) in enumerate(terms)}}
+    rows = materialize(complete_rows(df, target, design).where(F.col(absorb).isNotNull()).select(F.col(absorb).alias("level"), *[c.alias(k) for k, c in cells.items()]))
+    means = materialize(rows.groupBy("level").agg(F.count(F.lit(1)).alias("__n"), *[F.avg(k).alias(f"__m{k}") for k in cells]))
+    within = materialize(attach_by_group(rows, means, ["level"], "__n").select("__n", *[(F.col(k) - F.col(f"__m{k}")).alias(k) for k in cells]))
+    xs = [F.col(f"__x{i}") for i in range(p)]
+    g = gram(within, xs, F.col("__y"), complete=True)
+    spread = np.diag(g.xtx).copy()
+    total = rows.agg(*[(F.var_pop(k) * F.count(k)).alias(k) for k in cells]).first()
+    fixed = spread <= 1e-12 * np.array([total[f"__x{i}"] or 0.0 for i in range(p)])  # a column that the levels determine
+    scale = np.where(fixed, 1.0, np.sqrt(np.where(spread > 0, spread, 1.0)))
+    unit = g.xtx / np.outer(scale, scale)
+    unit[fixed, :] = unit[:, fixed] = 0.0
+    inverse = np.linalg.pinv(unit, hermitian=True) / np.outer(scale, scale)
+    coef, rank = inverse @ g.xty, int(np.linalg.matrix_rank(unit, hermitian=True))
+    residual = F.col("__y") - sum((x * F.lit(float(b)) for x, b in zip(xs, coef)), F.lit(0.0))
+    lever = 1 / F.col("__n") + sum((xs[i] * xs[j] * F.lit(float(inverse[i, j]) * (1 if i == j else 2)) for i in range(p) for j in range(i, p)), F.lit(0.0))
+    weighted = within.withColumn("__e", residual).withColumn("__w", F.when(F.col("__n") > 1, ratio("__e", 1 - lever)))
+    meat = gram(weighted, [x * F.col("__w") for x in xs], F.col("__e"), complete=True)
+    levels = means.count()
+    effect = F.col("__m__y") - sum((F.col(f"__m__x{i}") * F.lit(float(b)) for i, b in enumerate(coef)), F.lit(0.0))
+    effects = means.select("level", F.col("__n").alias("n"), effect.alias("effect"))
+    return AbsorbedModel(names, np.where(fixed, np.nan, coef), inverse @ meat.xtx @ inverse, g.n, levels, g.n - levels - rank, meat.yty, total["__y"] or 0.0, effects)
+
+
+def absorbed_table(spark, model: AbsorbedModel, level: float = 0.95) -> DataFrame:
+    """Coefficient, error and t interval per term; null for a column that the levels determine."""
+    q, rows = t_quantile((1 + level) / 2, model.df_resid), []
+    for name, b, v in zip(model.names, model.coef, np.diag(model.cov)):
+        se = float(np.sqrt(max(v, 0.0)))
+        known = np.isfinite(b)
+        rows.append((name, float(b) if known else None, se if known else None, *((float(b - q * se), float(b + q * se)) if known and q else (None, None))))
+    return spark.createDataFrame(rows, "term string, coef double, std_err double, low double, high double")
+
+
 def coef_table(spark, model: LinearModel, factor: float = DEFAULTS.interval_factor, p_value: bool = True, level: float | None = None,
                t: bool = True) -> DataFrame:
     """Coefficient, error, t-value and interval per term, in formula order of the names.

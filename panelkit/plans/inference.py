@@ -293,6 +293,32 @@ def ols_intervals(spark, d):
     return rounded(out.select("term", F.col("ci95_low").alias("low"), F.col("ci95_high").alias("high")), 5)
 
 
+ABSORBED_SQL = """WITH g AS (SELECT l_partkey, l_extendedprice / 1000 AS y, l_quantity AS x, l_discount AS z FROM lineitem),
+  w AS (SELECT l_partkey, count(*) OVER p AS n, y - avg(y) OVER p AS y, x - avg(x) OVER p AS x, z - avg(z) OVER p AS z FROM g WINDOW p AS (PARTITION BY l_partkey)),
+  s AS (SELECT sum(x * x) AS xx, sum(x * z) AS xz, sum(z * z) AS zz, sum(x * y) AS xy, sum(z * y) AS zy FROM w),
+  b AS (SELECT *, xx * zz - xz * xz AS det, (zz * xy - xz * zy) / (xx * zz - xz * xz) AS bx, (xx * zy - xz * xy) / (xx * zz - xz * xz) AS bz FROM s),
+  r AS (SELECT x, z, CASE WHEN n > 1 THEN (y - bx * x - bz * z) / (1 - 1.0::DOUBLE / n - (zz * x * x - 2 * xz * x * z + xx * z * z) / det) END AS u FROM w, b),
+  m AS (SELECT sum(x * x * u * u) AS mxx, sum(x * z * u * u) AS mxz, sum(z * z * u * u) AS mzz FROM r)"""
+
+
+@query("ols_absorbed", f"""{ABSORBED_SQL}
+  SELECT 'l_quantity' AS term, {r('bx')} AS coef, {r('sqrt(zz * zz * mxx - 2 * zz * xz * mxz + xz * xz * mzz) / det')} AS std_err FROM b, m
+  UNION ALL SELECT 'l_discount', {r('bz')}, {r('sqrt(xz * xz * mxx - 2 * xz * xx * mxz + xx * xx * mzz) / det')} FROM b, m""")
+def ols_absorbed(spark, d):
+    return rounded(L.absorbed_table(spark, _absorbed(spark, d)).drop("low", "high"))
+
+
+@query("ols_absorbed_effects", f"""{ABSORBED_SQL}, a AS (SELECT l_partkey, count(*) AS n, avg(y) AS y, avg(x) AS x, avg(z) AS z FROM g GROUP BY 1)
+  SELECT l_partkey AS level, n, {r('y - bx * x - bz * z')} AS effect FROM a, b""")
+def ols_absorbed_effects(spark, d):
+    return rounded(_absorbed(spark, d).effects)
+
+
+def _absorbed(spark, d):
+    rows = table(spark, d, "lineitem").select("l_partkey", (F.col("l_extendedprice") / 1000).alias("y"), "l_quantity", "l_discount")
+    return L.ols_absorbed(rows, "y", L.Design(("l_quantity", "l_discount")), "l_partkey")
+
+
 PRED_SQL = f"""WITH {OLS_SQL}, test AS (SELECT * FROM model WHERE fecha >= DATE '2000-07-01'),
   coef AS (SELECT {', '.join(f'any_value(b{j}) AS b{j}' for j in range(_P))} FROM fitted),
   pred AS (SELECT fecha, sexenio, subtema, monto_asinh, {' + '.join(f'b{j} * {x}' for j, x in enumerate(DUMMIES.values()))} AS y_pred FROM test, coef)"""

@@ -190,3 +190,37 @@ def test_limit_law_of_the_rank_sum():
     small = [T._rank_sum(u, 8, 31_000, 0, "auto", 1_000_000) for u in (100, 100_000)]
     large = [T._rank_sum(u, 8, 31_500, 0, "auto", 1_000_000) for u in (100, 100_000 * 31_500 / 31_000)]
     assert math.isclose(small[1], large[1], rel_tol=1e-5) and small[0] > 0 and large[0] > 0
+
+
+def test_absorbed_factor_equals_indicators(spark, monkeypatch):
+    from panelkit.operators import scan
+
+    rng = np.random.default_rng(6)
+    level = np.concatenate([rng.integers(0, 9, 200), [50, 51]])  # two levels of a single row
+    x, small = rng.normal(size=202) + level / 5, rng.choice(list("pq"), 202)
+    y = 3 * x + level + 2.0 * (small == "q") + rng.normal(size=202) * (1 + np.abs(x))
+    rows = [(int(a), float(b), str(c), float(v), float(a) * 2) for a, b, c, v in zip(level, x, small, y)] + [(None, 1.0, "p", 1.0, 1.0), (3, None, "p", 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "g int, x double, s string, y double, fixed double")
+    design = L.fit_design(df, ["x", "fixed"], ["s"])
+    big = np.column_stack([small == "q", x, *[level == v for v in np.unique(level)]]).astype(float)
+    inv = np.linalg.inv(big.T @ big)
+    coef = inv @ big.T @ y
+    e, h = y - big @ coef, np.einsum("ij,jk,ik->i", big, inv, big)
+    keep = h < 1 - 1e-9
+    cov = inv @ (big[keep].T * (e[keep] / (1 - h[keep])) ** 2) @ big[keep] @ inv
+    for few in (10_000, 0):
+        monkeypatch.setattr(scan, "FEW_GROUPS", few)
+        m = L.ols_absorbed(df, "y", design, "g")
+        assert m.names == ("C(s)[T.q]", "x", "fixed") and np.isnan(m.coef[2]) and np.allclose(m.coef[:2], coef[:2])
+        assert np.allclose(np.diag(m.cov)[:2], np.diag(cov)[:2]) and (m.n, m.levels, m.df_resid) == (202, 11, 189)
+        assert math.isclose(m.rss, float(e @ e)) and math.isclose(m.tss, float(((y - y.mean()) ** 2).sum()))
+        assert np.allclose([r.effect for r in m.effects.orderBy("level").collect()], coef[2:])
+    table = {r.term: r for r in L.absorbed_table(spark, m).collect()}
+    assert table["fixed"].coef is None and table["x"].low < table["x"].coef < table["x"].high
+
+
+def test_absorbed_factor_of_very_many_levels(spark):
+    df = spark.range(300_000).selectExpr("id % 100000 AS g", "cast(id % 7 + id % 100000 AS double) AS x", "cast(2 * (id % 7 + id % 100000) + id % 100000 AS double) AS y")
+    m = L.ols_absorbed(df, "y", L.Design(("x",)), "g")
+    assert m.levels == 100_000 and math.isclose(m.coef[0], 2, rel_tol=1e-9) and m.rss < 1e-6
+    assert m.effects.where("abs(effect - level) > 1e-6").isEmpty()
