@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from panelkit.config import DEFAULTS
 from panelkit.functions.scalars import ratio
 from panelkit.functions.tails import chi2_pvalue, f_pvalue, rank_sum_pvalue, t_pvalue
-from panelkit.operators.linear import gram
+from panelkit.operators.linear import MOST_LEVELS, gram
 from panelkit.operators.scan import Running, attach_by_value, running, value_ranks
 from panelkit.session import materialize
 
@@ -152,34 +152,33 @@ def anova_two_way(df: DataFrame, y: str, a: str, b: str, p_value: bool = True) -
     """Two-way analysis of variance with interaction, type II sums of squares and partial eta squared.
 
     Everything follows from the cell table. The factor with fewer levels is swept out of the other one, so the
-    system solved here has one row per level of the smaller factor. Empty cells lower the degrees of freedom.
+    system solved here has one row per level of the smaller factor, of which there may be ``MOST_LEVELS``; the larger one may have
+    any number. Empty cells lower the degrees of freedom.
     """
     spark = df.sparkSession
-    cells = anova_cells(df, y, a, b).persist()
-    try:
-        centre = cells.agg(F.sum(F.col("n") * F.col("mean")) / F.sum("n")).scalar()
-        centred = cells.withColumn("__s", F.col("n") * (F.col("mean") - centre))
-        # Grouping levels of (a, b): 0 cells, 1 margin of a, 2 margin of b, 3 everything.
-        margins = centred.cube(a, b).agg(F.sum("__s").alias("s"), F.sum("n").alias("n"), F.sum("m2").alias("m2"),
-                                         F.grouping_id().alias("level"))
-        found = margins.groupBy("level").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("m2").alias("m2"),
-                                             F.sum(F.col("s") * F.col("s") / F.col("n")).alias("ss"))
-        by_level = {r["level"]: r for r in found.collect()}
-        if not by_level.get(0):
-            return spark.createDataFrame([], "term string, sum_sq double, df double, F double, eta_sq_partial double" + ", `PR(>F)` double" * p_value)
-        n, residual, n_cells = by_level[0]["n"], by_level[0]["m2"], by_level[0]["k"]
-        k_a, k_b = by_level[1]["k"], by_level[2]["k"]
-        ss_a, ss_b, ss_cells = by_level[1]["ss"], by_level[2]["ss"], by_level[0]["ss"]
-        small, large, level = (a, b, 1) if k_a <= k_b else (b, a, 2)
-        own = margins.where(F.col("level") == level).orderBy(small).select(small, "n", "s").collect()
-        # Rows: one per level of the larger factor, holding the counts of the smaller factor's levels.
-        here = lambda lv: F.coalesce(F.sum(F.when(F.col(small) == F.lit(lv), F.col("n"))), F.lit(0)).cast("double")
-        wide = centred.groupBy(large).agg(F.sum("n").alias("n"), F.sum("__s").alias("s"),
-                                          *[here(r[0]).alias(f"n{i}") for i, r in enumerate(own)])
-        share = [F.col(f"n{i}") / F.sqrt("n") for i in range(len(own))]
-        cross = gram(wide, share, F.col("s") / F.sqrt("n"))
-    finally:
-        cells.unpersist()
+    cells = materialize(anova_cells(df, y, a, b))
+    centre = cells.agg(F.sum(F.col("n") * F.col("mean")) / F.sum("n")).scalar()
+    centred = cells.withColumn("__s", F.col("n") * (F.col("mean") - centre))
+    # Grouping levels of (a, b): 0 cells, 1 margin of a, 2 margin of b, 3 everything.
+    margins = materialize(centred.cube(a, b).agg(F.sum("__s").alias("s"), F.sum("n").alias("n"), F.sum("m2").alias("m2"), F.grouping_id().alias("level")))
+    found = margins.groupBy("level").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("m2").alias("m2"),
+                                         F.sum(F.col("s") * F.col("s") / F.col("n")).alias("ss"))
+    by_level = {r["level"]: r for r in found.collect()}
+    if not by_level.get(0):
+        return spark.createDataFrame([], "term string, sum_sq double, df double, F double, eta_sq_partial double" + ", `PR(>F)` double" * p_value)
+    n, residual, n_cells = by_level[0]["n"], by_level[0]["m2"], by_level[0]["k"]
+    k_a, k_b = by_level[1]["k"], by_level[2]["k"]
+    if min(k_a, k_b) > MOST_LEVELS:
+        raise ValueError(f"both factors have more than {MOST_LEVELS} levels; those of the smaller one are columns")
+    ss_a, ss_b, ss_cells = by_level[1]["ss"], by_level[2]["ss"], by_level[0]["ss"]
+    small, large, level = (a, b, 1) if k_a <= k_b else (b, a, 2)
+    own = margins.where(F.col("level") == level).orderBy(small).select(small, "n", "s").collect()
+    # Rows: one per level of the larger factor, holding the counts of the smaller factor's levels.
+    here = lambda lv: F.coalesce(F.sum(F.when(F.col(small) == F.lit(lv), F.col("n"))), F.lit(0)).cast("double")
+    wide = centred.groupBy(large).agg(F.sum("n").alias("n"), F.sum("__s").alias("s"),
+                                      *[here(r[0]).alias(f"n{i}") for i, r in enumerate(own)])
+    share = [F.col(f"n{i}") / F.sqrt("n") for i in range(len(own))]
+    cross = gram(wide, share, F.col("s") / F.sqrt("n"))
     swept = np.diag([float(r["n"]) for r in own]) - cross.xtx
     rest = np.array([r["s"] for r in own]) - cross.xty
     rank = int(np.linalg.matrix_rank(swept, tol=1e-8 * n, hermitian=True))
