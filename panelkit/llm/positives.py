@@ -6,8 +6,9 @@ pi * R+(positives, good) + max(0, R-(unlabelled, bad) - pi * R-(positives, bad))
 part estimates the loss on bad texts and must not fall below zero, so a step that takes it there is shortened. The risk and its
 derivatives are sums over all documents that Spark adds up; the driver holds one vector and solves for one Newton step a round.
 
-The prior pi is estimated from the same two samples: a first model tells positives from unlabelled texts, and the least ratio
-of unlabelled to positive documents above a score is the share of good texts among the unlabelled ones (best bin estimation).
+The prior pi is estimated from the same two samples: a first model, fitted to one half of them, tells positives from unlabelled
+texts, and in the other half the least ratio of unlabelled to positive documents above a score is the share of good texts among
+the unlabelled ones (best bin estimation).
 
 Defined results: null and empty texts have all-zero counts and get a score as others do; repeated rows count and are scored
 each by itself; without any positive or any unlabelled row every score is 1/2; a row without
@@ -29,7 +30,7 @@ from panelkit.session import materialize
 
 PIECE_BYTES = 1 << 20
 ROUNDS, STEPS = 12, (1.0, 0.5, 0.25, 0.1)
-RIDGE = 3e-3
+RIDGE, RIDGE_ROWS = 3e-3, 5.0  # penalty, and what it grows by over the number of positives
 WIDEST = 4.0  # deviations at which a number is held
 BINS = 400
 LEAST_SHARE = 0.05  # of the positives above a score that may give the prior
@@ -160,7 +161,7 @@ def _fit(rows: DataFrame, scale: Scale, prior: float | None) -> np.ndarray:
             good, bad, unlabelled = part[0] / n_p, part[1] / n_p, part[2] / n_u
             g_u, h_u = part[3:3 + d] / n_u, part[3 + d:3 + d + d * d].reshape(d, d) / n_u
             g_p, h_p = part[3 + d + d * d:3 + 2 * d + d * d] / n_p, part[3 + 2 * d + d * d:].reshape(d, d) / n_p
-            ridge = np.full(d, RIDGE)
+            ridge = np.full(d, RIDGE + RIDGE_ROWS / n_p)
             ridge[0] = 1e-9
             mean_p = s[2:2 + d] / n_p
             if prior is None:
@@ -204,12 +205,13 @@ def estimate_prior(rows: DataFrame, scale: Scale, weights: np.ndarray) -> float:
 
 
 def learn(rows: DataFrame) -> Model:
-    """Model from rows (numbers, positive): positive is true for trusted positives, false for unlabelled rows."""
+    """Model from rows (numbers, positive, half): positive is true for trusted positives, false for unlabelled rows."""
     scale = fit_scale(rows)
     known = _vector(_summed(rows, lambda x, y: np.array([y.sum(), (~y).sum()], float)), 2)
     if not known.all():
         return Model(scale, np.zeros(1 + 2 * len(NAMES)), 0.5)
-    prior = estimate_prior(rows, scale, _fit(rows, scale, None))
+    # The first model must not be asked about rows that it was fitted to; equal texts are in one half.
+    prior = estimate_prior(rows.where("half = 1"), scale, _fit(rows.where("half = 0"), scale, None))
     return Model(scale, np.round(_fit(rows, scale, prior), 9), prior)
 
 
@@ -222,7 +224,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, may_learn: Column, doc_id
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("good_id")).distinct()
     measured = docs.select(F.col(doc_id).alias("doc_id"), numbers(text).alias("numbers"))
     marked = measured.join(good, F.col("doc_id") == F.col("good_id"), "left").select(
-        "doc_id", "numbers", F.col("good_id").isNotNull().alias("positive"), F.coalesce(may_learn, F.lit(False)).alias("may_learn"))
+        "doc_id", "numbers", F.col("good_id").isNotNull().alias("positive"), F.coalesce(may_learn, F.lit(False)).alias("may_learn"),
+        F.pmod(F.xxhash64("numbers"), F.lit(2)).alias("half"))
     rows = materialize(marked)
     model = learn(rows.where("may_learn"))
 
