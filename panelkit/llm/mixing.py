@@ -170,7 +170,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 def mixed_blocks(placed: DataFrame, slots: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The mix itself: (shard, slot, sid, block, turn, row_key, doc_id, text_start, first, words), blocks joined with slots by number."""
-    return pieces(placed, block_words).join(slots, ["sid", "block"]).select(
+    # Spark takes the slots for as few as the sources they are made from, and would broadcast them.
+    return pieces(placed, block_words).join(slots.hint("merge"), ["sid", "block"]).select(
         "shard", "slot", "sid", "block", "turn", "row_key", "doc_id", F.col("start").alias("text_start"), "first", "words")
 
 
@@ -179,7 +180,7 @@ def taken_words(docs: DataFrame, block_words: int = BLOCK_WORDS, **names) -> Dat
     placed, found, wanted, slots = mix(docs, block_words=block_words, **names)
     placed = materialize(placed)
     times = slots.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times"))
-    taken = pieces(placed, block_words).join(times, ["sid", "block"]).groupBy("sid", "start").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    taken = pieces(placed, block_words).join(times.hint("merge"), ["sid", "block"]).groupBy("sid", "start").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     facts = docs.sparkSession.createDataFrame([(i, int(r.words), float(t)) for i, (r, t) in enumerate(zip(found, wanted))],
                                               "sid int, source_size long, target double")
     full = placed.where("size > 0").join(taken, ["sid", "start"], "left")
