@@ -22,6 +22,7 @@ only the two columns named are read.
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -31,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm.superminhash import GOLD, mix
@@ -409,6 +410,15 @@ def score_by_segments(blocks: DataFrame, fields: DataFrame, segments: int, total
     return back.repartition("block").sortWithinPartitions("block", "segment").mapInArrow(score, "score_uid bigint, score double")
 
 
+def _forget_shuffles(spark: SparkSession) -> None:
+    """Let go of the files of shuffles whose results are written: Spark removes them once the driver has collected its garbage.
+
+    The counted blocks are as large as all that scoring shuffles later. Without this they stay until the driver happens to need memory.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: tuple[int, int] = (7, 2), most_bytes: int = MOST_BYTES) -> DataFrame:
     """Rows of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -429,6 +439,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     segments = max(1, -(-total // SEGMENT_TOKENS))
     fields = materialize(build_filter(count_grams(train, segments), segments))
+    _forget_shuffles(docs.sparkSession)
     fits = fields.agg(F.coalesce(F.sum(F.length("field")), F.lit(0))).first()[0] <= most_bytes
     model, bounds = None, None
     if fits:
