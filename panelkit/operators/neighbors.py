@@ -6,7 +6,8 @@ the cell from several sides. A query visits cells best first, in a few rounds: e
 order of their lower bounds, and its k-th best distance so far shrinks the bound for the next round, until no cell lies
 within it. On rows without any clusters few cells can be left out. Cells are cut into blocks by a hash of the row key; two
 blocks meet in one task as two small matrices, and what leaves a task is k rows per query, never all pairs. Rows of one key
-share a block.
+share a block. Euclidean distances come from a matrix product first, with a bound of its error; only pairs that can be among the
+nearest are measured one by one.
 
 A row with a null, NaN or infinite part (or without parts) has no distance to any row: as training row it is nobody's
 neighbour, as query it has no neighbours; other rows are not affected by it. A null level counts as a level that no column of
@@ -29,11 +30,16 @@ from panelkit.operators.metrics import roc_auc
 from panelkit.operators.preprocess import Preprocessor
 from panelkit.session import materialize
 
-BLOCK_ROWS = 4_096
+BLOCK_ROWS = 16_384
 MOST_PIVOTS = 1_024
 REFERENCES = 24
 FIRST_CELLS, MORE_CELLS = 1, 4  # cells a query visits in the first round, and the growth of that number from round to round
 MATRIX_CELLS = 4_000_000
+PRODUCT_CELLS = 2_000_000  # of a matrix product
+MOST_SQUARE = 1e300
+MANY = 16  # times k: candidates per query beyond which the k-th best of a block is looked for
+SLACK = 1e-9
+MOST_TASKS = 2_000
 
 
 def _block_count(n: int, rows: int) -> int:
@@ -51,6 +57,12 @@ def _own_names(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(f"q_{c}") for c in df.columns])
 
 
+def cogroups(t: DataFrame, q: DataFrame, on: Sequence[str], q_on: Sequence[str], pairs: int):
+    """Blocks that meet. The bytes of a pair do not tell its work, so that tasks are not merged by bytes: about one pair each, while they are few."""
+    tasks = min(MOST_TASKS, max(2 * pairs, t.sparkSession.sparkContext.defaultParallelism))
+    return t.repartition(tasks, *on).groupBy(*on).cogroup(q.repartition(tasks, *q_on).groupBy(*q_on))
+
+
 def _matrix(col: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=float) for v in col])
 
@@ -76,8 +88,46 @@ def distances(x: np.ndarray, y: np.ndarray, p: int, codes=None) -> np.ndarray:
     return total if p == 1 else np.sqrt(total)
 
 
-def _tiles(n_query: int, n_train: int, width: int):
-    step = max(1, MATRIX_CELLS // max(1, n_train * width))
+def products(y: np.ndarray):
+    """Function that gives the squared Euclidean distances of some rows to ``y`` by one matrix product, and for each of these rows
+    how far they can be off.
+
+    Both sides are moved to the middle of ``y`` first, so that lengths, and with them the error, stay near the distances. The
+    error is infinite where numbers are too large to be squared.
+    """
+    with np.errstate(all="ignore"):
+        middle = y.mean(axis=0)
+        moved = y - middle
+        yy = np.einsum("ij,ij->i", moved, moved)
+        other = np.column_stack([-2 * moved, np.ones(len(y)), yy]).T
+        most = yy.max(initial=0.0) + y.shape[1] * np.square(np.abs(middle).max(initial=0.0))
+
+    def squares(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        with np.errstate(all="ignore"):
+            x = x - middle
+            xx = np.einsum("ij,ij->i", x, x)
+            # A sum of n products errs by n rounding steps of its terms' sizes at most; moving the rows adds some of the middle's size.
+            off = 8 * (x.shape[1] + 4) * np.finfo(float).eps * (xx + most) + np.finfo(float).tiny
+            return np.column_stack([x, xx, np.ones(len(x))]) @ other, np.where(xx + most < MOST_SQUARE, off, np.inf)
+
+    return squares
+
+
+def pairs_where(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.divmod(np.flatnonzero(mask), mask.shape[1])
+
+
+def pair_distances(x: np.ndarray, y: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Euclidean distances of single pairs, bit by bit those of ``distances``."""
+    out, step = np.empty(len(rows)), max(1, MATRIX_CELLS // max(1, x.shape[1]))
+    for a in range(0, len(rows), step):
+        diff = x[rows[a:a + step]] - y[cols[a:a + step]]
+        out[a:a + step] = np.sqrt((diff * diff).sum(axis=1))
+    return out
+
+
+def _tiles(n_query: int, n_train: int, width: int, cells: int = MATRIX_CELLS):
+    step = max(1, cells // max(1, n_train * width))
     return ((i, min(i + step, n_query)) for i in range(0, n_query, step))
 
 
@@ -115,27 +165,42 @@ def knn_neighbors(train: DataFrame, query: DataFrame, k: int, ps: Sequence[int]
         ids, qids, labels = t["id"].to_numpy(), q["q_id"].to_numpy(), t["label"].to_numpy()
         place = pd.factorize(ids, sort=True)[0]
         parts, p = [], int(t["p"].iloc[0])
-        for a, z in _tiles(len(q), len(t), xt.shape[1]):
-            d = distances(xq[a:z], xt, p, (codes[1][a:z], codes[0]) if codes else None)
-            if exclude_self:
-                d[qids[a:z, None] == ids[None, :]] = np.inf
-            limit = np.partition(d, min(k, len(t)) - 1, axis=1)[:, min(k, len(t)) - 1]
-            rows, cols = np.nonzero((d <= limit[:, None]) & np.isfinite(d))
-            order = np.lexsort((place[cols], d[rows, cols], rows))
-            rows, cols = rows[order], cols[order]
+        known = q["q_bound"].to_numpy() if "q_bound" in q else np.full(len(q), np.inf)
+        squares = products(xt) if p == 2 and codes is None else None
+        few = min(k, len(t)) - 1
+        for a, z in _tiles(len(q), len(t), 1, PRODUCT_CELLS) if squares else _tiles(len(q), len(t), xt.shape[1]):
+            limit, swift = known[a:z] + SLACK * (1 + known[a:z]), False  # no farther row is among the nearest
+            if squares:  # the product finds the few candidates, which are then measured as all pairs would be
+                d, off = squares(xq[a:z])
+                swift = bool(np.isfinite(off).all())
+            if swift:
+                limit = np.square(limit)
+            else:
+                d, off = np.concatenate([distances(xq[i:j], xt, p, (codes[1][i:j], codes[0]) if codes else None)
+                                         for i, j in ((a + i, a + j) for i, j in _tiles(z - a, len(t), xt.shape[1]))]), np.zeros(z - a)
+            near = d <= (limit + 2 * off)[:, None]
+            if np.count_nonzero(near) > MANY * k * (z - a):
+                if exclude_self:
+                    d[qids[a:z, None] == ids[None, :]] = np.inf
+                near = d <= (np.minimum(limit, np.partition(d, few, axis=1)[:, few]) + 2 * off)[:, None]
+            rows, cols = pairs_where(near)
+            exact = pair_distances(xq[a:z], xt, rows, cols) if swift else d[rows, cols]
+            other = np.isfinite(exact) & ((qids[a:z][rows] != ids[cols]) if exclude_self else True)
+            rows, cols, exact = rows[other], cols[other], exact[other]
+            order = np.lexsort((place[cols], exact, rows))
+            rows, cols, exact = rows[order], cols[order], exact[order]
             first = np.searchsorted(rows, rows, side="left")
             keep = np.arange(len(rows)) - first < k
             rows, cols = rows[keep], cols[keep]
             parts.append(pd.DataFrame({"p": p, "id": qids[a:z][rows], "neighbor": ids[cols],
-                                       "distance": d[rows, cols], "label": labels[cols]}))
+                                       "distance": exact[keep], "label": labels[cols]}))
         out = pd.concat(parts)
         for b in by:
             out[b] = t[b].iloc[0]
         return out[[*by, "p", "id", "neighbor", "distance", "label"]]
 
-    def meet(t: DataFrame, q: DataFrame, group: list[str]) -> DataFrame:
-        q = _own_names(q)
-        return t.groupBy(*group).cogroup(q.groupBy(*[f"q_{g}" for g in group])).applyInPandas(nearest, schema)
+    def meet(t: DataFrame, q: DataFrame, group: list[str], pairs: int) -> DataFrame:
+        return cogroups(t, _own_names(q), group, [f"q_{g}" for g in group], pairs).applyInPandas(nearest, schema)
 
     def ranked(found: DataFrame) -> DataFrame:
         order = W.partitionBy(*by, "p", "id").orderBy("distance", "neighbor")
@@ -148,7 +213,7 @@ def knn_neighbors(train: DataFrame, query: DataFrame, k: int, ps: Sequence[int]
     left = left.withColumn("p", F.explode(F.array(*[F.lit(p) for p in ps])))
     right = right.withColumn("p", F.explode(F.array(*[F.lit(p) for p in ps])))
     left, right = _blocked(left, "id", "__tb", 1, "__qb", blocks), _blocked(right, "id", "__qb", blocks, "__tb", 1)
-    return ranked(meet(left, right, [*by, "p", "__tb", "__qb"]))
+    return ranked(meet(left, right, [*by, "p", "__tb", "__qb"], len(ps) * blocks))
 
 
 def _pivot_distances(frame: pd.DataFrame, px: np.ndarray, plevels: pd.Series, p: int) -> np.ndarray:
@@ -187,7 +252,7 @@ def _best_first(left: DataFrame, right: DataFrame, rows: int, asking: int, k: in
     px, plevels = _matrix(sample["x"]), sample["levels"]
     refs = {p: _far_apart(_pivot_distances(sample, px, plevels, p), REFERENCES) for p in ps}
     width = max(map(len, refs.values()))
-    group, slack = [*by, "p"], 1e-9
+    group = [*by, "p"]
 
     def place(frames):
         for frame in frames:
@@ -225,17 +290,17 @@ def _best_first(left: DataFrame, right: DataFrame, rows: int, asking: int, k: in
         least = np.maximum(least, 0.0)
         by_low = np.argsort(least, axis=1, kind="stable")
         lows = np.take_along_axis(least, by_low, 1)
-        within = (lows <= (first + slack * (1 + np.abs(first)))[:, None]).sum(axis=1)
+        within = (lows <= (first + SLACK * (1 + np.abs(first)))[:, None]).sum(axis=1)
         return q[names].assign(cells=[cell[o[:w]].tolist() for o, w in zip(by_low, within)], lows=[o[:w].tolist() for o, w in zip(lows, within)], bound=first)
 
     keys = [*group, "__qb"]
     todo = materialize(queries.groupBy(*keys).cogroup(near.groupBy(*keys)).applyInPandas(order, f"{types}, cells array<int>, lows array<double>, bound double"))
     best, take, on = None, FIRST_CELLS, [*group, "__cell"]
-    inside = lambda v: v <= F.col("bound") + slack * (1 + F.abs("bound"))
+    inside = lambda v: v <= F.col("bound") + SLACK * (1 + F.abs("bound"))
     while True:
         zipped = F.arrays_zip(F.slice("cells", 1, take).alias("cell"), F.slice("lows", 1, take).alias("low"))
         visits = materialize(todo.select(*right.columns, "p", F.explode(F.filter(F.transform(zipped, lambda z: F.struct(z["cell"].alias("cell"), z["low"].alias("low"))),
-                                                                               lambda z: inside(z["low"]))).alias("v")).select(*right.columns, "p", F.col("v.cell").alias("__cell")))
+                                                                               lambda z: inside(z["low"]))).alias("v"), "bound").select(*right.columns, "p", "bound", F.col("v.cell").alias("__cell")))
         if tally is not None:
             tally.append(visits.count())
         met = _joined(visits.groupBy(*on).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("__nq")), cells.withColumn(
@@ -244,7 +309,8 @@ def _best_first(left: DataFrame, right: DataFrame, rows: int, asking: int, k: in
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
         own = _joined(placed.drop("__refs"), met, on, columns=["__nt", "__nq"]).withColumn("__tb", block("__nt")).withColumn("__qb", every("__nq"))
         ask = _joined(visits, met, on, columns=["__nt", "__nq"]).withColumn("__qb", block("__nq")).withColumn("__tb", every("__nt"))
-        found = meet(own.drop("__nt", "__nq"), ask.drop("__nt", "__nq"), [*on, "__tb", "__qb"])
+        pairs = met.agg(F.coalesce(F.sum(F.col("__nt").cast("long") * F.col("__nq")), F.lit(0))).first()[0]
+        found = meet(own.drop("__nt", "__nq"), ask.drop("__nt", "__nq"), [*on, "__tb", "__qb"], pairs)
         best = materialize(ranked(found if best is None else best.drop("rank").unionByName(found)))
         reached = best.groupBy(*group, "id").agg(F.when(F.count(F.lit(1)) == k, F.max("distance")).alias("kth"))
         rest = _joined(todo, reached, [*group, "id"], "left", ["kth"]).withColumn("bound", F.least("bound", "kth")).drop("kth")
