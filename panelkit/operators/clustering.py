@@ -15,12 +15,15 @@ from pyspark.sql import functions as F
 
 from panelkit.config import DEFAULTS
 from panelkit.functions.scalars import ratio
-from panelkit.operators.neighbors import BLOCK_ROWS, _block_count, _blocked, _matrix, _own_names, _tiles, distances
+from panelkit.operators.neighbors import BLOCK_ROWS, PRODUCT_CELLS, _block_count, _matrix, _own_names, _tiles, cogroups, pair_distances, pairs_where, products
 from panelkit.operators.sampling import sample_cap
 from panelkit.operators.scan import attach_by_value
 from panelkit.session import materialize
 
 
+CLOSE = 1e9  # squared distances less than this many times their error are measured pair by pair
+
+
 @dataclass(frozen=True)
 class Centres:
     """A k-means fit: centres in lexicographic order, which is the number of their cluster, and the squared distances to them."""
@@ -136,29 +139,44 @@ def _squared(a: Column, b: Column) -> Column:
 
 def silhouette_points(df: DataFrame, key: str = "id", x: str = "x", cluster: str = "cluster",
                       block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Silhouette of every row with Euclidean distance, over all rows given."""
+    """Silhouette of every row with Euclidean distance, over all rows given.
+
+    Blocks of rows meet in pairs, each pair once: its distances count for the rows of both sides.
+    """
     side = df.select(F.col(key).alias("id"), F.col(x).alias("x"), F.col(cluster).alias("cluster"))
     types = {f.name: f.dataType.simpleString() for f in side.schema}
     blocks = _block_count(side.count(), block_rows)
-    left = _blocked(side, "id", "__tb", blocks, "__qb", blocks)
-    right = _own_names(_blocked(side, "id", "__qb", blocks, "__tb", blocks))
+    own_block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    left = side.withColumn("__tb", own_block).withColumn("__qb", F.explode(F.sequence("__tb", F.lit(blocks - 1))))
+    right = _own_names(side.withColumn("__qb", own_block).withColumn("__tb", F.explode(F.sequence(F.lit(0), "__qb"))))
+
+    def members(clusters: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+        code, names = pd.factorize(clusters)
+        return names, np.eye(len(names) + 1)[code][:, :-1]  # a null cluster is nobody's
+
+    def wide(ids, clusters, names, total: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"id": np.repeat(ids, len(names)), "cluster": np.repeat(clusters, len(names)),
+                             "other": np.tile(names, len(ids)), "total": total.ravel()})
 
     def sums(t: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if t.empty or q.empty:
             return pd.DataFrame(columns=["id", "cluster", "other", "total"])
         xt, xq = _matrix(t["x"]), _matrix(q["q_x"])
-        names, code = np.unique(t["cluster"].to_numpy(), return_inverse=True)
-        member = np.eye(len(names))[code]
-        parts = []
-        for a, z in _tiles(len(q), len(t), xt.shape[1]):
-            total = distances(xq[a:z], xt, 2) @ member
-            parts.append(pd.DataFrame({
-                "id": np.repeat(q["q_id"].to_numpy()[a:z], len(names)),
-                "cluster": np.repeat(q["q_cluster"].to_numpy()[a:z], len(names)),
-                "other": np.tile(names, z - a), "total": total.ravel()}))
-        return pd.concat(parts)
-
-    found = left.groupBy("__tb", "__qb").cogroup(right.groupBy("q___tb", "q___qb")).applyInPandas(
+        (t_names, t_member), (q_names, q_member) = members(t["cluster"]), members(q["q_cluster"])
+        twice = t["__tb"].iloc[0] != q["q___qb"].iloc[0]
+        back, parts, squares = np.zeros((len(t), len(q_names))), [], products(xt)
+        for a, z in _tiles(len(q), len(t), 1, PRODUCT_CELLS):
+            d, off = squares(xq[a:z])
+            rows, cols = pairs_where(~(d > CLOSE * off[:, None]))  # near each other, or not finite
+            with np.errstate(all="ignore"):
+                np.sqrt(d, out=d)
+            d[rows, cols] = pair_distances(xq[a:z], xt, rows, cols)
+            parts.append(wide(q["q_id"].to_numpy()[a:z], q["q_cluster"].to_numpy()[a:z], t_names, d @ t_member))
+            if twice:
+                back += d.T @ q_member[a:z]
+        return pd.concat([*parts, wide(t["id"].to_numpy(), t["cluster"].to_numpy(), q_names, back)] if twice else parts)
+
+    found = cogroups(left, right, ["__tb", "__qb"], ["q___tb", "q___qb"], blocks * (blocks + 1) // 2).applyInPandas(
         sums, f"id {types['id']}, cluster {types['cluster']}, other {types['cluster']}, total double")
     per = found.groupBy("id", "cluster", "other").agg(F.sum("total").alias("total"))
     sizes = side.groupBy(F.col("cluster").alias("other")).agg(F.count(F.lit(1)).alias("size"))
