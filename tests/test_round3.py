@@ -36,3 +36,20 @@ def test_silhouette_of_blocks_that_meet_once(spark, monkeypatch):
     b = np.array([min(d[i][label == c].mean() for c in range(3) if c != label[i]) for i in range(96)])
     assert sent[0][0] + sent[0][1] <= 96 * 10  # 8 blocks: before, each row went out 16 times
     assert np.isclose(got, ((b - a) / np.maximum(a, b)).mean(), rtol=1e-12)
+
+
+def test_large_groups_are_cut_before_a_task_sorts_them(spark):
+    from panelkit.operators import sampling as S
+
+    key = F.when(F.col("id") % 5 == 0, F.lit(7)).otherwise(F.col("id"))  # one key holds a fifth of the rows
+    df = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), key.alias("k"), "id")
+    df = df.unionByName(spark.range(40).select(F.lit(9).cast("long").alias("g"), F.col("id").alias("k"), "id"))
+    got = S.sample_per_group(df, ["g"], ["k"], 1_200, ties=["id"])
+    rows = df.withColumn("m", F.md5(F.concat_ws("|", F.lit("42"), F.col("k").cast("string")).cast("binary"))).toPandas()
+    assert S.DEFAULTS.seed == 42
+    want = rows.sort_values(["m", "k", "id"]).groupby("g", dropna=False).head(1_200)
+    out = got.toPandas()
+    assert sorted(out.id) == sorted(want.id) and len(out) == 3 * 1_200 + 40 and out.g.isna().sum() == 1_200
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") >= 2 and "__cut" in plan
+    assert S.sample_per_group(df, [], ["k"], 1_200, ties=["id"]).count() == 1_200
