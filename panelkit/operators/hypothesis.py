@@ -74,7 +74,7 @@ def fdr_bh(df: DataFrame, p: str = "p_value", alpha: float = DEFAULTS.fdr_alpha,
     if df.count() <= FEW_TESTS:
         group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
         placed = tested.withColumns({"__m": F.count(F.lit(1)).over(group), "__rank": F.row_number().over(group.orderBy(*order))})
-        low = F.min(F.col(p) * F.col("__m") / F.col("__rank")).over(group.orderBy("__rank").rowsBetween(W.currentRow, W.unboundedFollowing))
+        low = F.min(F.col(p) * F.col("__m") / F.col("__rank")).over(group.orderBy(F.desc("__rank")).rowsBetween(W.unboundedPreceding, W.currentRow))
         done = placed.withColumn("p_adj_fdr", F.least(low, F.lit(1.0))).drop("__m", "__rank")
         done = done.withColumn("rejected", F.col("p_adj_fdr") <= alpha)
         return done.unionByName(df.where(F.col(p).isNull()), allowMissingColumns=True)

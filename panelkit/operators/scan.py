@@ -49,16 +49,17 @@ def running(df: DataFrame, order: Sequence[str], aggs: Mapping[str, Running], by
     ranges = df.repartitionByRange(parts, *by, *order) if parts else df.repartitionByRange(*by, *order)
     ranged = materialize(ranges.withColumn(PART, F.spark_partition_id()))
 
-    inner = W.partitionBy(*by, PART).orderBy(*order)
+    first = W.unboundedPreceding
     totals, outer_cols, combined = [], {}, {}
-    across = W.partitionBy(*by).orderBy(PART) if by else W.partitionBy(F.lit(0)).orderBy(PART)
-    first, here, last = W.unboundedPreceding, W.currentRow, W.unboundedFollowing
 
     for name, agg in aggs.items():
         value, total, before = col(agg.expr), f"__total_{name}", f"__before_{name}"
-        edge = here if agg.inclusive else (1 if agg.reverse else -1)
-        frame = (edge, last) if agg.reverse else (first, edge)
-        outside = (1, last) if agg.reverse else (first, -1)
+        # A frame that reaches to the end is summed anew for each row; in the opposite order it grows by one row at a time.
+        turn = F.desc if agg.reverse else F.asc
+        inner = W.partitionBy(*by, PART).orderBy(*map(turn, order))
+        across = (W.partitionBy(*by) if by else W.partitionBy(F.lit(0))).orderBy(turn(PART))
+        frame = (first, W.currentRow if agg.inclusive else -1)
+        outside = (first, -1)
         if agg.how == "last":
             if agg.reverse:
                 raise ValueError("'last' runs forward only")
