@@ -1,11 +1,13 @@
 import math
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
 
 from panelkit.llm import lm
+from panelkit.session import checkpoint_dir
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -100,3 +102,36 @@ def test_packing_gives_back_what_it_took():
     data = lm.encode_words(one)
     assert (lm.decode_words(data) == one).all() and len(data) < 2 * len(one)
     assert (lm.decode_words(lm.encode_words(one[:1])) == one[:1]).all()
+
+
+def test_blocks_give_exact_counts_and_keep_little(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SEGMENT_TOKENS", 9_000)
+    monkeypatch.setattr(lm, "BLOCK_WORDS", 20_000)
+    monkeypatch.setattr(lm, "HOT_SHARE", 20)  # most words are rare, as in a large corpus
+    rows = [(i, " ".join(f"word{(i * 131 + k * k) % 30_011}" if k % 3 else "The" for k in range(150))) for i in range(900)]
+    odd = [(None, "cat É é"), (4, None), (5, ""), (5, ""), (70, "unheard " * 9_000), (71, " \x0b two\x0clines \r\n"), (72, "\x1cone\x1fword É"), (1_000, "a\x00b a\x00b")]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string").repartition(3).localCheckpoint()
+    kept = Path(checkpoint_dir(spark).removeprefix("file:"))
+    before = {p for p in kept.rglob("*") if p.is_file()}
+    got = lm.score_documents(docs, most_bytes=0)
+    size = sum(p.stat().st_size for p in kept.rglob("*") if p.is_file() and p not in before)
+    assert 0 < size < sum(len(t or "") for _, t in rows + odd)
+    got = got.collect()
+    whole = lm.score_documents(docs).collect()
+    assert sorted((str(r.doc_id), round(r.score, 6)) for r in got) == sorted((str(r.doc_id), round(r.score, 6)) for r in whole)
+    counts = Counter(w for i, t in rows + odd if not is_held_out(i) for w in (t or "").encode().lower().split() + [b""])
+    n, v = sum(counts.values()), len(counts)
+    want = []
+    for i, t in rows + odd:
+        own = (t or "").encode().lower().split() + [b""]
+        want.append((str(i), is_held_out(i), len(own), sum(counts[w] > 0 for w in own), n, round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in own), 5)))
+    assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in got) == sorted(want)
+
+
+def test_blocks_keep_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("a", "one two"), ("b", None), (None, "two"), ("a", "one two")], "doc_id string, text string")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    check(lm.score_documents(docs, most_bytes=0).collect(), rows)
+    assert lm.score_documents(docs.limit(0), most_bytes=0).count() == 0
+    held = [(i, "a b") for i in range(200) if is_held_out(i)][:3]
+    check(lm.score_documents(spark.createDataFrame(held, "doc_id long, text string"), most_bytes=-1).collect(), held)
