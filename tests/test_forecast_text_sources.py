@@ -2,6 +2,7 @@ from collections import Counter
 from datetime import date
 
 import numpy as np
+import pyarrow as pa
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -113,6 +114,41 @@ def test_slices_and_caps(spark):
     assert np.isclose(w[("s1", "uno")], 60) and np.isclose(w[("s1", "dos")], 10) and np.isclose(w[("s2", "dos")], 10)
 
 
+def test_tasks_send_one_row_per_slice_and_term():
+    rng = np.random.default_rng(3)
+    vocabulary = ["a", "la", "uno", "dos", "tres", "ñu", "y_b", "𝒳𝒳"]
+    rows = [(g, w, " ".join(rng.choice(vocabulary, int(k)))) for g, w, k in zip(rng.choice(["p", "q", None], 300), rng.integers(1, 3, 300).tolist(), rng.integers(0, 12, 300))]
+    rows += [("p", 1, None), ("p", 1, " uno  dos "), ("q", 2, "la")]
+    table = pa.table({"g": pa.array([r[0] for r in rows]), "w": [r[1] for r in rows], "t": pa.array([r[2] for r in rows])})
+    tf, df = Counter(), Counter()
+    for g, w, t in rows:
+        words = [x for x in (t or "").split() if len(x) >= 2 and x != "la"]
+        grams = [(g, w, n, " ".join(words[i:i + n])) for n in (1, 2, 3, 4) for i in range(len(words) - n + 1)]
+        tf.update(grams)
+        df.update(set(grams))
+    pieces = list(T._pieces(table.to_batches(max_chunksize=7)))
+    assert len(pieces) == 1
+    got = [tuple(r.values()) for batch in T._count_terms(pieces[0], (1, 2, 3, 4), pa.array(["la"]), 2) for r in batch.to_pylist()]
+    assert len(got) == len(tf) and {r[:4]: r[4:] for r in got} == {k: (c, df[k]) for k, c in tf.items()}
+
+
+def test_pieces_keep_every_text_once(monkeypatch):
+    monkeypatch.setattr(T, "PIECE_BYTES", 10)
+    texts = ["a" * k for k in (3, 0, 4, 5, 25, 1, 1, 9, 10, 2)] + [None]
+    batch = pa.table({"i": list(range(11)), "t": pa.array(texts)})
+    pieces = list(T._pieces(batch.to_batches(max_chunksize=4)))
+    assert [i for p in pieces for i in p.column("i").to_pylist()] == [0, 2, 3, 4, 5, 6, 7, 8, 9]
+    assert len(pieces) > 3 and all(sum(map(len, p.column("t").to_pylist()[:-1])) <= 10 for p in pieces)
+
+
+def test_slices_of_any_type_and_weights_of_their_own(spark):
+    rows = [(1.5, [1], 2, "uno dos uno"), (1.5, [1], None, "uno"), (float("nan"), [1], 1, "uno"), (0.0, [1], 3, "uno dos"), (-0.0, [1], 4, "uno"), (0.0, [2], 1, ""), (None, [1], 1, "uno")]
+    df = spark.createDataFrame(rows, "x double, a array<int>, weight int, texto string")
+    got = {(str(r.x), r.a[0], r.n, r.term): (r.freq, r.doc_freq) for r in T.term_freq(df, n=(2, 1), by=["x", "a"], min_df=0, stopwords=()).collect()}
+    assert got == {("1.5", 1, 1, "uno"): (4, 2), ("1.5", 1, 1, "dos"): (2, 2), ("1.5", 1, 2, "uno dos"): (2, 2), ("1.5", 1, 2, "dos uno"): (2, 2),
+                   ("0.0", 1, 1, "uno"): (7, 7), ("0.0", 1, 1, "dos"): (3, 3), ("0.0", 1, 2, "uno dos"): (3, 3)}
+
+
 def test_text_column_fallback(spark):
     df = spark.createDataFrame([("a", "b", 1, "c")], "p string, q string, n int, r string")
     assert T.text_columns(df) == ["p", "q", "r"]
