@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from panelkit.config import DEFAULTS
 from panelkit.functions.scalars import ratio
-from panelkit.operators.neighbors import BLOCK_ROWS, PRODUCT_CELLS, _block_count, _matrix, _own_names, _tiles, cogroups, pair_distances, pairs_where, products
+from panelkit.operators.neighbors import BLOCK_ROWS, PRODUCT_CELLS, _block_count, _blocked, _matrix, _own_names, _tiles, cogroups, pair_distances, pairs_where, products
 from panelkit.operators.sampling import sample_cap
 from panelkit.operators.scan import attach_by_value
 from panelkit.session import materialize
